@@ -87,19 +87,27 @@ def augment_text(df: DataFrame, key: str = "doc_id", col: str = "text", delim: s
 
 def prepare_documents(df: DataFrame, key: str = "doc_id", col: str = "text", min_chars: int = 100,
                       count_delim: str = T.EN_COUNT_DELIM, min_marks: int = 2, delim: str = T.EN_SENTENCE_DELIM,
-                      p: float = 0.05, seed=DEFAULT_SEED, strip_first: bool = True) -> DataFrame:
+                      p: float = 0.05, seed=DEFAULT_SEED, strip_first: bool = True,
+                      flag: str | None = None) -> DataFrame:
     """The corpus-preparation record step: absent text -> "", strip, length and
     mark-count filter, then :func:`augment_text`.  Narrow: one stage.
 
     ``strip_first=False`` is the older behaviour: the filter tests the stripped
-    text, the split uses the unstripped one (SURVEY 2.16 item 2)."""
+    text, the split uses the unstripped one (SURVEY 2.16 item 2).
+    ``flag="passed"`` keeps every record and marks survivors instead of
+    filtering (chunk assembly numbers records before the filter)."""
     from tokenloom.operators.filters import default_field, quality_predicate
 
     d = default_field(df, col)
     d = d.withColumn("_stripped", T.strip(col))
-    d = d.filter(quality_predicate("_stripped", min_chars, count_delim, min_marks))
+    ok = quality_predicate("_stripped", min_chars, count_delim, min_marks)
     src = "_stripped" if strip_first else col
-    d = augment_text(d, key, src, delim, p, seed, out=col)
+    if flag:
+        d = d.withColumn(flag, ok)
+        d = augment_text(d, key, src, delim, p, seed, out="_aug")
+        d = d.withColumn(col, F.when(F.col(flag), F.col("_aug"))).drop("_aug")
+    else:
+        d = augment_text(d.filter(ok), key, src, delim, p, seed, out=col)
     return d.drop("_stripped")
 
 
@@ -116,17 +124,14 @@ def corpus_sentences(df: DataFrame, key: str = "doc_id", col: str = "text", deli
     ``(sent_id, doc order, fragment)``, which never groups whole sentences;
     ``glue=True`` concatenates fragments per sentence id.
     """
-    if not (len(delim) >= 1 and delim.endswith(joiner)) and len(delim) > 1:
-        raise ValueError("corpus_sentences: delimiter must end with the joiner for an exact border rule")
     last = df.agg(F.max(key).alias("m")).first()["m"]
     d = df.withColumn("_t", F.when(F.col(key) == F.lit(last), F.col(col)).otherwise(F.concat(F.col(col), F.lit(joiner))))
     d = d.withColumn("_frags", T.split_literal("_t", delim)).withColumn("_nd", (F.size("_frags") - 1).cast("long"))
-    d = row_index(d, [key], out="_seq")  # 0-based document order for glueing
     from tokenloom.operators.positions import prefix_sum
 
     d = prefix_sum(d, "_nd", [key], out="_first_sent")
-    frags = d.select("_seq", "_first_sent", F.posexplode("_frags").alias("_i", "frag"))
-    frags = frags.select((F.col("_first_sent") + F.col("_i")).alias("sent_id"), F.col("_seq").alias("part"), "frag")
+    frags = d.select(key, "_first_sent", F.posexplode("_frags").alias("_i", "frag"))
+    frags = frags.select((F.col("_first_sent") + F.col("_i")).alias("sent_id"), F.col(key).alias("part"), "frag")
     if not glue:
         return frags
     return frags.groupBy("sent_id").agg(
@@ -142,7 +147,7 @@ def assemble_chunks(df: DataFrame, order: str = "doc_id", col: str = "text", pas
     passing texts joined with ``sep`` in record order.  Full chunks get one
     trailing ``sep`` (an all-filtered full chunk is just ``sep``); the last
     partial chunk has none and is absent when nothing in it passed.
-    Output ``(chunk_id, text, n_records, full)``.  Groups are bounded by
+    Output ``(chunk_id, text, n_records, is_full)``.  Groups are bounded by
     ``chunk_size`` records.
     """
     d = row_index(df, [order], out="_rn")
@@ -158,13 +163,13 @@ def assemble_chunks(df: DataFrame, order: str = "doc_id", col: str = "text", pas
         "chunk_id",
         F.when(full, F.concat(body, F.lit(sep))).otherwise(body).alias("text"),
         F.col("n_records").cast("long").alias("n_records"),
-        full.alias("full"),
+        full.alias("is_full"),
         (F.size("_l") > 0).alias("_any"),
     )
-    return out.filter(F.col("full") | F.col("_any")).drop("_any")
+    return out.filter(F.col("is_full") | F.col("_any")).drop("_any")
 
 
-def corpus_totals(chunks: DataFrame, col: str = "text", full: str = "full", sep: str = " ") -> DataFrame:
+def corpus_totals(chunks: DataFrame, col: str = "text", full: str = "is_full", sep: str = " ") -> DataFrame:
     """Characters written, trailing separators of full chunks not
     counted; also chunk count.  Partial + final aggregate."""
     n = T.char_len(col) - F.when(F.col(full), F.lit(len(sep))).otherwise(F.lit(0))

@@ -5,3 +5,4 @@ Importing this package registers everything in
 """
 
 from tokenloom.plans import flagship  # noqa: F401
+from tokenloom.plans import text_plans  # noqa: F401
