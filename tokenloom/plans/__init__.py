@@ -6,3 +6,5 @@ Importing this package registers everything in
 
 from tokenloom.plans import flagship  # noqa: F401
 from tokenloom.plans import text_plans  # noqa: F401
+from tokenloom.plans import token_plans  # noqa: F401
+from tokenloom.plans import score_plans  # noqa: F401

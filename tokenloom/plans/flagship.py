@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.operators import augment, ngram, pack, splits, tokenizer
-from tokenloom.plans import sqlparts as S
+from tokenloom.plans import sqlparts as S  # noqa: F401  (re-exported for plan modules)
 from tokenloom.plans.registry import register, table
 from tokenloom.session import cut_lineage
 
