@@ -98,29 +98,31 @@ def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", col: str = "tex
     one shuffle.  ``carry`` columns (small ones: language, split...) ride
     along as grouping keys.
     """
-    carry = [c for c in (carry if carry is not None else df.columns) if c not in (key, col)]
-    base = df.select(key, *carry, col).repartition(key)
-    ex = base.select(key, *carry, F.posexplode_outer(T.whitespace_words(col)).alias("_p", "token"))
+    keys = [key] if isinstance(key, str) else list(key)
+    carry = [c for c in (carry if carry is not None else df.columns) if c not in (*keys, col)]
+    base = df.select(*keys, *carry, col).repartition(*keys)
+    ex = base.select(*keys, *carry, F.posexplode_outer(T.whitespace_words(col)).alias("_p", "token"))
     j = ex.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    agg = j.groupBy(key, *carry).agg(
+    agg = j.groupBy(*keys, *carry).agg(
         F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct(F.col("_p").alias("p"), F.col("id").alias("i"))))).alias("_l")
     )
-    return agg.select(key, *carry, F.transform("_l", lambda x: x["i"]).alias(out))
+    return agg.select(*keys, *carry, F.transform("_l", lambda x: x["i"]).alias(out))
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids", out: str = "text",
            skip_special: bool = True, sep: str = " ") -> DataFrame:
     """Ids -> text, special ids removed (anti-join against the
     broadcast specials), tokens joined with ``sep``."""
-    base = df.select(key, ids).repartition(key)
-    ex = base.select(key, F.posexplode_outer(ids).alias("_p", "id"))
+    keys = [key] if isinstance(key, str) else list(key)
+    base = df.select(*keys, ids).repartition(*keys)
+    ex = base.select(*keys, F.posexplode_outer(ids).alias("_p", "id"))
     v = vocab.select("id", "token", "special")
     j = ex.join(F.broadcast(v), "id", "left")
     keep = F.col("token").isNotNull()
     if skip_special:
         keep = keep & ~F.col("special")
-    agg = j.groupBy(key).agg(F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("_p").alias("p"), F.col("token").alias("t"))))).alias("_l"))
-    return agg.select(key, F.array_join(F.transform("_l", lambda x: x["t"]), sep).alias(out))
+    agg = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("_p").alias("p"), F.col("token").alias("t"))))).alias("_l"))
+    return agg.select(*keys, F.array_join(F.transform("_l", lambda x: x["t"]), sep).alias(out))
 
 
 def drop_special(df: DataFrame, vocab: DataFrame, ids: str = "ids") -> DataFrame:

@@ -8,3 +8,5 @@ from tokenloom.plans import flagship  # noqa: F401
 from tokenloom.plans import text_plans  # noqa: F401
 from tokenloom.plans import token_plans  # noqa: F401
 from tokenloom.plans import score_plans  # noqa: F401
+from tokenloom.plans import sft_plans  # noqa: F401
+from tokenloom.plans import metric_plans  # noqa: F401
