@@ -7,6 +7,7 @@ parquet statistics and run right after the scan in the same codegen stage.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -82,10 +83,10 @@ def filter_udf(df: DataFrame, fn, cols) -> DataFrame:
 
     ``fn`` takes pandas Series (one per column in ``cols``) and returns a
     boolean Series.  Prefer a Column predicate with :func:`filter_rows`."""
-    import pandas as pd
+    names = list(cols)
 
     @F.pandas_udf("boolean")
-    def _pred(*series: pd.Series) -> pd.Series:
-        return fn(*series).astype(bool)
+    def _pred(batch: pd.DataFrame) -> pd.Series:
+        return fn(*[batch[c] for c in names]).astype(bool)
 
-    return df.filter(_pred(*[F.col(c) for c in cols]))
+    return df.filter(_pred(F.struct(*[F.col(c) for c in names])))

@@ -107,7 +107,10 @@ def concat_batches(df: DataFrame, order: str = "row_no", cols=("input_ids", "att
     shard = F.when(r < big, F.floor(r / F.lit(div + 1))).otherwise(F.lit(mod) + F.floor((r - big) / F.lit(max(div, 1))))
     start = F.when(shard < F.lit(mod), shard * F.lit(div + 1)).otherwise(big + (shard - F.lit(mod)) * F.lit(div))
     d = df.withColumn("shard", shard.cast("int")).withColumn("batch", F.floor((r - start) / F.lit(rows)).cast("long"))
-    aggs = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, c))), lambda x, c=c: x[c])).alias(c) for c in cols]
+    def field(name):
+        return lambda x: x[name]
+
+    aggs = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, c))), field(c))).alias(c) for c in cols]
     return d.groupBy("shard", "batch").agg(*aggs)
 
 
