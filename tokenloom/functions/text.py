@@ -18,6 +18,15 @@ PY_WHITESPACE_CLASS = (
     "[\\t\\n\\x0B\\f\\r \\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}"
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
+# The same set as a string of characters, for ``btrim``.
+PY_WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# Java regex for one run of that set: (?U) makes \s the Unicode White_Space
+# property, plus the four separators U+001C-U+001F.
+PY_WHITESPACE_RUN_JAVA = "(?U)[\\s\\x{1C}-\\x{1F}]+"
 # Kana and CJK ideographs: U+3040-U+30FF, U+3400-U+4DBF, U+4E00-U+9FFF.
 JA_SCRIPT_CLASS = "[\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}]"
 # Sentence marks used by the reference corpora.
@@ -35,10 +44,10 @@ def _c(col) -> Column:
 def strip(col) -> Column:
     """Python ``str.strip()`` (Unicode white space at both ends).
 
-    Spark's ``trim`` only removes U+0020, so two anchored regex replaces are
-    used (``\\A``/``\\z`` so a trailing newline is not special-cased)."""
-    c = F.regexp_replace(_c(col), "\\A" + PY_WHITESPACE_CLASS + "+", "")
-    return F.regexp_replace(c, PY_WHITESPACE_CLASS + "+\\z", "")
+    Spark's one-argument ``trim`` only removes U+0020; ``btrim`` with the
+    explicit character set is a linear scan from both ends (a regex anchored
+    at the end would be retried at every white-space run)."""
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE_CHARS))
 
 
 def has_non_space(col) -> Column:
@@ -63,7 +72,7 @@ def count_literal(col, delim: str) -> Column:
 
 def whitespace_words(col) -> Column:
     """``str.split()``: runs of white space separate words, no empty words."""
-    return F.filter(F.split(_c(col), PY_WHITESPACE_CLASS + "+", -1), lambda w: w != F.lit(""))
+    return F.filter(F.split(_c(col), PY_WHITESPACE_RUN_JAVA, -1), lambda w: w != F.lit(""))
 
 
 def has_script(col, char_class: str = JA_SCRIPT_CLASS) -> Column:

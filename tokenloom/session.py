@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,12 +50,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss) into the shared folder.
+def stage_path(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh folder for a materialised stage under the shared checkpoint
+    folder (``spark.checkpoint.dir``)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tokenloom-stages/{name or 'stage'}-{uuid.uuid4().hex}"
 
-    Used by iterative jobs (BPE rounds, generation rounds) so their plans do
-    not grow without bound.  Never a local checkpoint: executor-local blocks
-    are lost with the executor.
+
+def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Materialise a stage as a parquet table in the shared checkpoint folder
+    and read it back.
+
+    Used where one stage output feeds several consumers (prepared corpus,
+    vocabulary, offsets, block table) and by iterative jobs (BPE rounds,
+    generation rounds) so their plans do not grow.  One job writes the table
+    (an eager ``checkpoint()`` would compute the input twice), the write is
+    committed atomically so a lost executor only retries its tasks, and the
+    re-read gets column pruning and filter pushdown.  Never a local
+    checkpoint: executor-local blocks are lost with the executor.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = stage_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
