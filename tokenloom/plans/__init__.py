@@ -11,3 +11,4 @@ from tokenloom.plans import score_plans  # noqa: F401
 from tokenloom.plans import sft_plans  # noqa: F401
 from tokenloom.plans import metric_plans  # noqa: F401
 from tokenloom.plans import packaged_plans  # noqa: F401
+from tokenloom.plans import io_plans  # noqa: F401
