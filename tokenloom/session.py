@@ -43,11 +43,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured ``spark.checkpoint.dir``; only when it is unset
     (local tests) fall back to a fresh scratch folder."""
-    d = checkpoint_dir(spark)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:  # already set (setCheckpointDir adds a fresh sub-folder per call)
+        return current
+    d = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="tokenloom-ckpt-")
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def stage_path(spark: SparkSession, name: str | None = None) -> str:
