@@ -52,6 +52,35 @@ def pairs_in_split(pairs: DataFrame, bounds: DataFrame, split: str, streams=())
     return j.filter((F.col("pos") >= F.col("start")) & (F.col("pos") + 1 < F.col("end"))).drop("start", "end")
 
 
+def split_pair_counts(pairs: DataFrame, bounds: DataFrame, streams=()) -> DataFrame:
+    """One pass over the pairs: tag each with its split (both positions in
+    train, or both in validation; the crossing pair belongs to neither) and
+    count ``(streams, split, prev, next)`` with partial aggregation.  Feeds
+    both the model (train rows) and the evaluation (val rows)."""
+    streams = _as_list(streams)
+    cuts = bounds.groupBy(*streams).agg(
+        F.max(F.when(F.col("split") == "train", F.col("end"))).alias("_te"), F.max("end").alias("_n")
+    )
+    if streams:
+        j = pairs.join(F.broadcast(cuts), streams)
+    else:
+        from tokenloom.operators.positions import attach_scalars
+
+        j = attach_scalars(pairs, cuts)
+    pos = F.col("pos")
+    split = F.when(pos + 1 < F.col("_te"), F.lit("train")).when((pos >= F.col("_te")) & (pos + 1 < F.col("_n")), F.lit("val"))
+    j = j.withColumn("split", split).filter(F.col("split").isNotNull())
+    return j.groupBy(*streams, "split", "prev", "next").agg(F.count(F.lit(1)).alias("c"))
+
+
+def fit_from_counts(counts: DataFrame, streams=()) -> DataFrame:
+    """M1 from pre-aggregated training pair counts ``(streams, prev, next, c)``."""
+    streams = _as_list(streams)
+    pc = counts.select(*streams, "prev", "next", "c")
+    prev = pc.groupBy(*streams, "prev").agg(F.sum("c").alias("c_prev"))
+    return pc.join(prev, [*streams, "prev"])
+
+
 def fit_next_token(train_pairs: DataFrame, streams=()) -> DataFrame:
     """M1: the model table ``(streams..., prev, next, c, c_prev)``."""
     streams = _as_list(streams)
@@ -81,7 +110,10 @@ def score_pairs(pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: floa
     joins carry distinct pairs; then left joins to pair and prev counts."""
     streams, group = _as_list(streams), _as_list(group)
     keys = list(dict.fromkeys([*group, *streams]))
-    m = pairs.groupBy(*keys, "prev", "next").agg(F.count(F.lit(1)).alias("mult"))
+    if "mult" in pairs.columns:  # already aggregated (split_pair_counts)
+        m = pairs.select(*keys, "prev", "next", "mult")
+    else:
+        m = pairs.groupBy(*keys, "prev", "next").agg(F.count(F.lit(1)).alias("mult"))
     pc = model.select(*streams, "prev", "next", "c")
     prev = model.select(*streams, "prev", "c_prev").distinct()
     j = m.join(pc, [*streams, "prev", "next"], "left").join(prev, [*streams, "prev"], "left")

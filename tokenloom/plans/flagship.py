@@ -64,9 +64,9 @@ def lm_blocks(spark: SparkSession, sf_dir: str, lookahead: int = 1):
 def perplexity_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, v = lm_blocks(spark, sf_dir, lookahead=1)
     bounds = splits.split_ratio(splits.stream_lengths(blocks, STREAMS, BLOCK), VAL_RATIO, STREAMS)
-    pairs = ngram.block_pairs(blocks, BLOCK, STREAMS)
-    model = ngram.fit_next_token(ngram.pairs_in_split(pairs, bounds, "train", STREAMS), STREAMS)
-    val = ngram.pairs_in_split(pairs, bounds, "val", STREAMS)
+    counts = cut_lineage(ngram.split_pair_counts(ngram.block_pairs(blocks, BLOCK, STREAMS), bounds, STREAMS), "pair-counts")
+    model = ngram.fit_from_counts(counts.filter(F.col("split") == "train"), STREAMS)
+    val = counts.filter(F.col("split") == "val").withColumnRenamed("c", "mult")
     return ngram.evaluate_model(val, model, tokenizer.vocab_size(v), ALPHA, STREAMS)
 
 

@@ -20,7 +20,8 @@ from tokenloom.session import cut_lineage, stage_path
 from tokenloom.sources import sinks
 from tokenloom.streaming import early_stop, prepare
 
-OUT_TEXT = ["doc_id", F.md5("text").alias("text_md5"), T.char_len("text").alias("n_chars")]
+def _out_text():
+    return ["doc_id", F.md5("text").alias("text_md5"), T.char_len("text").alias("n_chars")]
 
 
 @register("s7_write_corpus", sql=TP.CHUNK_SQL + " SELECT chunk_id, md5(text) AS text_md5, length(text) AS n_chars FROM chunks")
@@ -44,14 +45,14 @@ def s9_write_if_absent(spark, sf):
     path = stage_path(spark, "prepared")
     sinks.write_if_absent(FL.prepared_docs(spark, sf), path)
     again = sinks.write_if_absent(FL.prepared_docs(spark, sf), path)  # present: skipped, no job planned
-    return again.select(*OUT_TEXT)
+    return again.select(*_out_text())
 
 
 @register("s10_mirror_output", sql=TP.AUG_SQL)
 def s10_mirror_output(spark, sf):
     path, path2 = stage_path(spark, "prepared"), stage_path(spark, "mirror")
     sinks.write_if_absent(FL.prepared_docs(spark, sf), path)
-    return sinks.mirror_output(spark, path, path2).select(*OUT_TEXT)
+    return sinks.mirror_output(spark, path, path2).select(*_out_text())
 
 
 @register("s11_require_nonempty", sql=f"WITH {FL.PREPARED_SQL} SELECT count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM aug")
@@ -110,7 +111,7 @@ def s4_stream_corpus(spark, sf):
     s = prepare.stream_corpus(spark, sf, _doc_schema(spark, sf), glob="documents.parquet")
     out, ck = stage_path(spark, "stream-docs"), stage_path(spark, "stream-docs-ckpt")
     prepare.run_available(s.select("doc_id", "text"), out, ck)
-    return spark.read.parquet(out).select(*OUT_TEXT)
+    return spark.read.parquet(out).select(*_out_text())
 
 
 def _stream_prepared(spark, sf, runs: int = 1):
@@ -127,14 +128,14 @@ def _stream_prepared(spark, sf, runs: int = 1):
 @register("st1_stream_prepare", sql=TP.AUG_SQL)
 def st1_stream_prepare(spark, sf):
     d, _ = _stream_prepared(spark, sf)
-    return d.select(*OUT_TEXT)
+    return d.select(*_out_text())
 
 
 @register("st3_stream_resume", sql=TP.AUG_SQL)
 def st3_stream_resume(spark, sf):
     """Second run on the same checkpoint processes nothing new: no duplicates."""
     d, _ = _stream_prepared(spark, sf, runs=2)
-    return d.select(*OUT_TEXT)
+    return d.select(*_out_text())
 
 
 @register("st4_stream_progress")

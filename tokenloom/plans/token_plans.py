@@ -325,8 +325,8 @@ vv AS (SELECT count(*) + 2 AS v FROM vocab)"""
 def _model(spark, sf):
     blocks, v = FL.lm_blocks(spark, sf, lookahead=1)
     bounds = splits.split_ratio(splits.stream_lengths(blocks, ST, B), FL.VAL_RATIO, ST)
-    pairs = ngram.block_pairs(blocks, B, ST)
-    model = cut_lineage(ngram.fit_next_token(ngram.pairs_in_split(pairs, bounds, "train", ST), ST))
+    counts = ngram.split_pair_counts(ngram.block_pairs(blocks, B, ST), bounds, ST).filter(F.col("split") == "train")
+    model = cut_lineage(ngram.fit_from_counts(counts, ST), "model")
     return model, v
 
 

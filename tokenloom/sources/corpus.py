@@ -13,11 +13,26 @@ from pyspark.sql import functions as F
 from tokenloom.functions import text as T
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster's default
+    parallelism (a small input, e.g. one parquet row group) over all cores,
+    so per-record work (strip, augment, word split) is not single-threaded.
+    Large inputs are already split by the reader and are left untouched
+    (no extra shuffle at scale).  Results never depend on partitioning."""
+    spark = df.sparkSession
+    if spark.conf.get("tokenloom.spreadSmallScans", "true") != "true":
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def scan_corpus(spark: SparkSession, path: str, text_col: str = "text", id_col: str | None = "doc_id",
                 fmt: str = "parquet", out_text: str = "text") -> DataFrame:
     """Load a corpus as ``(id, text)``; an absent text field reads as
     ``""`` (the reference's ``item.get("text", "")``), null as well."""
-    df = spark.read.format(fmt).load(path)
+    df = spread_small(spark.read.format(fmt).load(path))
     txt = F.coalesce(F.col(text_col), F.lit("")) if text_col in df.columns else F.lit("")
     cols = ([F.col(id_col)] if id_col else []) + [txt.alias(out_text)]
     return df.select(*cols)
