@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.functions import structs
+from tokenloom.functions import text as T
 from tokenloom.operators import metrics
 from tokenloom.operators.positions import row_index
 from tokenloom.plans.registry import register, table
@@ -98,7 +99,8 @@ nm AS (SELECT run_id, step, 'ckpt_step_' || printf('%07d', step) || '.pkl' AS pk
 SELECT run_id, arg_max(dir_name, step) AS latest_numeric, max(dir_name) AS latest_lexicographic, max(pkl_name) AS latest_pkl FROM nm GROUP BY run_id""")
 def o3_latest_checkpoint(spark, sf):
     n = metrics.checkpoint_names(_ckpts(spark, sf), "step")
-    a = metrics.latest_checkpoint(n, "run_id", "dir_name", "step", "numeric").withColumnRenamed("latest", "latest_numeric")
+    n = n.withColumn("dir_step", T.step_suffix("dir_name", "-"))  # X10: int(name.split("-")[-1])
+    a = metrics.latest_checkpoint(n, "run_id", "dir_name", "dir_step", "numeric").withColumnRenamed("latest", "latest_numeric")
     b = metrics.latest_checkpoint(n, "run_id", "dir_name", "step", "lexicographic").withColumnRenamed("latest", "latest_lexicographic")
     c = metrics.latest_checkpoint(n, "run_id", "pkl_name", "step", "lexicographic").withColumnRenamed("latest", "latest_pkl")
     return a.join(b, "run_id").join(c, "run_id")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
 from tokenloom.operators import filters, ngram, pack, sft, splits, tokenizer
-from tokenloom.operators.positions import row_index
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table
 from tokenloom.session import cut_lineage
@@ -31,12 +30,6 @@ def _rows(spark, sf, truncate_pad=True):
     return cut_lineage(sft.sft_rows(_triples(spark, sf), v, KEYS, B, EOS, truncate_pad)), v
 
 
-def _numbered(spark, sf):
-    rows, v = _rows(spark, sf)
-    d = row_index(rows, KEYS, out="row_no", key_source=table(spark, sf, "conversations").select("conv_id"))
-    return cut_lineage(d), v
-
-
 BASE = f"""WITH cv AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 tw AS (SELECT unnest({S.words('text')}) AS token FROM cv),
 cnt AS (SELECT token, count(*) AS c FROM tw WHERE token NOT IN ('<|endoftext|>', '<pad>') GROUP BY token),
@@ -133,6 +126,13 @@ def k3_split_rows(spark, sf):
     return d.select(*KEYS, "split")
 
 
+@register("g2_dataset_sizes", sql=f"{NUM_SQL} SELECT split, count(*) AS n_rows FROM sp GROUP BY split")
+def g2_dataset_sizes(spark, sf):
+    """Sizes of the SFT splits (``groupBy("split").count()``)."""
+    rows, _ = _rows(spark, sf)
+    return splits.split_rows(rows, VAL_RATIO, KEYS).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _split_frames(spark, sf):
     rows, v = _rows(spark, sf)
     d = cut_lineage(splits.split_rows(rows, VAL_RATIO, KEYS))
