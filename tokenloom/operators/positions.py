@@ -56,6 +56,8 @@ def quantile_splits(df: DataFrame, key: str, n_buckets: int) -> list[float]:
 def _bucketize(df: DataFrame, key: str, n_buckets: int, splits=None, key_source: DataFrame | None = None):
     if splits is None:
         splits = quantile_splits(key_source if key_source is not None else df.select(key), key, n_buckets)
+    if not splits:  # empty or constant key: one bucket
+        return df.withColumn("_bkt", F.lit(0))
     edges = [float("-inf")] + sorted(set(splits)) + [float("inf")]
     tmp = df.withColumn("_okey", _numeric_key(df, key))
     out = Bucketizer(splits=edges, inputCol="_okey", outputCol="_bktd", handleInvalid="keep").transform(tmp)
