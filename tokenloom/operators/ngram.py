@@ -78,15 +78,16 @@ def fit_from_counts(counts: DataFrame, streams=()) -> DataFrame:
     streams = _as_list(streams)
     pc = counts.select(*streams, "prev", "next", "c")
     prev = pc.groupBy(*streams, "prev").agg(F.sum("c").alias("c_prev"))
-    return pc.join(prev, [*streams, "prev"])
+    # at most (streams x vocabulary) rows: broadcast, so a frequent prev
+    # token (followed by many distinct tokens) never lands in one task
+    return pc.join(F.broadcast(prev), [*streams, "prev"])
 
 
 def fit_next_token(train_pairs: DataFrame, streams=()) -> DataFrame:
     """M1: the model table ``(streams..., prev, next, c, c_prev)``."""
     streams = _as_list(streams)
     pc = train_pairs.groupBy(*streams, "prev", "next").agg(F.count(F.lit(1)).alias("c"))
-    prev = pc.groupBy(*streams, "prev").agg(F.sum("c").alias("c_prev"))
-    return pc.join(prev, [*streams, "prev"])
+    return fit_from_counts(pc, streams)
 
 
 def next_token_probs(model: DataFrame, vocab_size, alpha: float = 1.0) -> DataFrame:
@@ -115,8 +116,8 @@ def score_pairs(pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: floa
     else:
         m = pairs.groupBy(*keys, "prev", "next").agg(F.count(F.lit(1)).alias("mult"))
     pc = model.select(*streams, "prev", "next", "c")
-    prev = model.select(*streams, "prev", "c_prev").distinct()
-    j = m.join(pc, [*streams, "prev", "next"], "left").join(prev, [*streams, "prev"], "left")
+    prev = model.select(*streams, "prev", "c_prev").distinct()  # <= streams x vocabulary rows
+    j = m.join(pc, [*streams, "prev", "next"], "left").join(F.broadcast(prev), [*streams, "prev"], "left")
     if isinstance(vocab_size, DataFrame):  # one-row frame with column vocab_size
         from tokenloom.operators.positions import attach_scalars
 

@@ -71,7 +71,7 @@ def masked_losses(pairs: DataFrame, model: DataFrame, vocab_size, alpha: float =
 
     m = model.select("prev", F.col("next").alias("target"), "c")
     pv = model.select("prev", "c_prev").distinct()
-    j = pairs.join(m, ["prev", "target"], "left").join(pv, "prev", "left")
+    j = pairs.join(m, ["prev", "target"], "left").join(F.broadcast(pv), "prev", "left")  # pv: <= vocabulary rows
     if isinstance(vocab_size, DataFrame):
         j = attach_scalars(j, vocab_size.select("vocab_size"))
         v = F.col("vocab_size")
