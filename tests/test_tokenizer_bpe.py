@@ -135,3 +135,16 @@ def test_tokenizer_save_load(spark, tmp_path):
     assert len(calls) == 1
     assert sorted(map(tuple, v1.collect())) == sorted(map(tuple, v2.collect()))
     assert m1.count() == m2.count() == m2.filter(F.col("rank") >= 0).count()
+
+
+def test_bpe_greedy_mode_deterministic_and_compresses(spark):
+    corpus = TINY * 2 + ["a cat and a dog", "the dog ran to the cat"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(corpus)], "doc_id long, text string")
+    n_alpha = len({c for t in corpus for c in t if not c.isspace()})
+    v1, m1 = bpe.train_bpe(df, "text", vocab_size=2 + n_alpha + 15, batch="greedy")
+    v2, m2 = bpe.train_bpe(df.repartition(3), "text", vocab_size=2 + n_alpha + 15, batch="greedy")
+    assert [tuple(r) for r in m1.orderBy("rank").collect()] == [tuple(r) for r in m2.orderBy("rank").collect()]
+    assert m1.agg(F.max("round")).first()[0] < 15  # more than one merge per round
+    enc = bpe.encode_bpe(df, v1, m1, "doc_id", "text")
+    n_ids = enc.select(F.sum(F.size("ids"))).first()[0]
+    assert n_ids < sum(len(w) for t in corpus for w in t.split())

@@ -63,18 +63,29 @@ def _chars(col) -> F.Column:
     return F.regexp_extract_all(col, F.lit("(?s)."), 0)
 
 
-def _select_batch(top, remaining: int):
+def _select_batch(top, remaining: int, mode: str = "exact"):
+    """``exact``: the longest conflict-free prefix (equals sequential BPE).
+    ``greedy``: skip conflicting pairs instead of stopping -- many more
+    merges per round for large vocabularies, not identical to sequential
+    BPE (deterministic; tested for determinism and compression only)."""
     batch, used = [], set()
     for a, b, _c in top:
         if len(batch) >= remaining:
             break
-        if a == b:
-            if not batch:
-                batch.append((a, b))
-            break
-        if a in used or b in used:
-            break
-        batch.append((a, b))
+        conflict = a == b and bool(batch) or a in used or b in used
+        if mode == "exact":
+            if conflict:
+                break
+            batch.append((a, b))
+            if a == b:
+                break
+        else:
+            if conflict or (a == b and batch):
+                continue
+            batch.append((a, b))
+            if a == b:
+                used.add(a)
+                continue
         used.update((a, b))
     return batch
 
@@ -99,11 +110,14 @@ def _apply(sym: F.Column, m: F.Column) -> F.Column:
 
 
 def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, specials=DEFAULT_SPECIALS,
-              pretokenize: str = "whitespace", top_pairs: int = 2000, lineage_every: int = 1, max_rounds: int | None = None):
+              pretokenize: str = "whitespace", top_pairs: int = 2000, lineage_every: int = 1, max_rounds: int | None = None,
+              batch: str = "exact"):
     """Returns ``(vocab, merges)`` DataFrames.
 
     ``vocab``: ``(token, id, special)``; ``merges``: ``(rank, left, right, id,
-    round)``.  Training ends at ``vocab_size`` ids or when no pair is left."""
+    round)``.  Training ends at ``vocab_size`` ids or when no pair is left.
+    Each round is one pass over the distinct units; ``batch="greedy"``
+    trades exactness for many more merges per round (see ``_select_batch``)."""
     spark: SparkSession = df.sparkSession
     specials = list(specials)
     st = cut_lineage(units(df, col, pretokenize), "bpe-units")
@@ -124,13 +138,13 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
         top = [(r["a"], r["b"], r["c"]) for r in pairs.orderBy(F.col("c").desc(), "a", "b").limit(top_pairs).collect()]
         if not top:
             break
-        batch = _select_batch(top, vocab_size - len(tokens))
+        chosen = _select_batch(top, vocab_size - len(tokens), batch)
         ids = {}
-        for a, b in batch:
+        for a, b in chosen:
             ids[(a, b)] = len(tokens)
             merges.append((len(merges), a, b, len(tokens), rnd))
             tokens.append(tokens[a] + tokens[b])
-        lefts = F.array(*[F.lit(a) for a, _ in batch])
+        lefts = F.array(*[F.lit(a) for a, _ in chosen])
         merged = F.when(F.arrays_overlap("sym", lefts), _apply(F.col("sym"), _merge_map(ids))).otherwise(F.col("sym"))
         st = st.select("count", merged.alias("sym")).filter(F.size("sym") > 1)
         rnd += 1
