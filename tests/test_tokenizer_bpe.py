@@ -148,3 +148,12 @@ def test_bpe_greedy_mode_deterministic_and_compresses(spark):
     enc = bpe.encode_bpe(df, v1, m1, "doc_id", "text")
     n_ids = enc.select(F.sum(F.size("ids"))).first()[0]
     assert n_ids < sum(len(w) for t in corpus for w in t.split())
+
+
+def test_doc_line_groups_equal_line_groups(spark):
+    docs = [(0, "a\nb\n\nc"), (1, "  \nd\ne"), (2, ""), (3, "f\n\n\ng\nh"), (4, "i")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    lines = [(i, l) for i, l in enumerate(l for _, t in docs for l in t.split("\n"))]
+    ref = tokenizer.line_groups(spark.createDataFrame(lines, "line_no long, line string"), "line_no", "line", 3)
+    got = tokenizer.doc_line_groups(df, "doc_id", "text", 3)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))

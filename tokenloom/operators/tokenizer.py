@@ -191,6 +191,32 @@ def estimate_tokens(chunks: DataFrame, vocab: DataFrame | None = None, order: st
     return r.withColumn("estimated_aligned", F.col("estimated") - F.col("estimated") % F.lit(block))
 
 
+def doc_line_groups(docs: DataFrame, key: str = "doc_id", col: str = "text", n_lines: int = 20000,
+                    key_source: DataFrame | None = None) -> DataFrame:
+    """T9 grouping straight from documents (the corpus file is the documents'
+    lines in ``key`` order).  Same rule as :func:`line_groups`, but both
+    running counts are document-level: a line's global number is its
+    document's line offset plus its index, and its group id is the number
+    of non-blank boundary lines in earlier documents plus earlier lines of
+    its own document.  No line-level window."""
+    from tokenloom.operators.positions import prefix_sum
+
+    d = docs.select(key, F.split(F.coalesce(F.col(col), F.lit("")), "\n", -1).alias("_ls"))
+    d = d.withColumn("_n", F.size("_ls"))
+    d = prefix_sum(d, "_n", [key], out="_off", key_source=key_source)
+    flag = F.transform("_ls", lambda l, k: F.when((F.length(T.strip(l)) > 0) & (((F.col("_off") + k + 1) % F.lit(n_lines)) == 0),
+                                                  F.lit(1)).otherwise(F.lit(0)))
+    d = d.withColumn("_fl", flag).withColumn("_nf", F.aggregate("_fl", F.lit(0).cast("long"), lambda a, x: a + x))
+    d = prefix_sum(d, "_nf", [key], out="_foff", key_source=key_source)
+    before = F.transform("_fl", lambda x, k: F.aggregate(F.slice("_fl", 1, k), F.lit(0).cast("long"), lambda a, y: a + y))
+    ex = d.select("_off", "_foff", F.posexplode(F.arrays_zip(F.col("_ls").alias("l"), before.alias("b"))).alias("_k", "_z"))
+    ex = ex.select((F.col("_off") + F.col("_k")).alias("line_no"), (F.col("_foff") + F.col("_z.b")).alias("group_id"),
+                   T.strip(F.col("_z.l")).alias("_s")).filter(F.length("_s") > 0)
+    return ex.groupBy("group_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "_s"))), lambda x: x["_s"]), " ").alias("text")
+    )
+
+
 def line_groups(lines: DataFrame, line_no: str = "line_no", col: str = "line", n_lines: int = 20000) -> DataFrame:
     """T9 grouping: lines are stripped and blanks skipped *before* the flush
     test, so a blank boundary line (``(i+1) % n == 0``) extends the group to

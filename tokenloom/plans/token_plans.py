@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tokenloom.functions import arrays as A
 from tokenloom.functions import text as T
 from tokenloom.operators import ngram, pack, splits, tokenizer
-from tokenloom.operators.positions import row_index
 from tokenloom.plans import flagship as FL
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table
@@ -154,12 +153,6 @@ lg AS (SELECT line_no, line, sum(b) OVER (ORDER BY line_no ROWS UNBOUNDED PRECED
 grp AS (SELECT group_id, string_agg(line, ' ' ORDER BY line_no) AS text FROM lg WHERE length(line) > 0 GROUP BY group_id)"""
 
 
-def line_table(spark, sf):
-    """Every line of the corpus (blank ones too) with its global line number."""
-    d = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("k", "line"))
-    return row_index(d, ["doc_id", "k"], out="line_no", key_source=table(spark, sf, "documents").select("doc_id"))
-
-
 @register("t9_encode_line_chunks", sql=f"""WITH {FL.PREPARED_SQL}, {FL.VOCAB_SQL}, {LINES_SQL},
 gw AS (SELECT group_id, unnest({S.words('text')}) AS token, generate_subscripts({S.words('text')}, 1) AS wpos FROM grp),
 gi AS (SELECT g.group_id, list(v.id ORDER BY gw.wpos) FILTER (WHERE v.id IS NOT NULL) AS l
@@ -170,7 +163,8 @@ SELECT group_id, CAST(len(l) AS INTEGER) AS n_tokens, CAST(len(l) - len(l) % {B}
 FROM ga""")
 def t9_encode_line_chunks(spark, sf):
     v = cut_lineage(FL.vocab(spark, sf))
-    groups = tokenizer.line_groups(line_table(spark, sf), "line_no", "line", N_LINES)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    groups = tokenizer.doc_line_groups(docs, "doc_id", "text", N_LINES, key_source=table(spark, sf, "documents").select("doc_id"))
     enc = tokenizer.encode(groups, v, "group_id", "text", carry=[])
     n = F.size("ids")
     enc = enc.withColumn("n_tokens", n)
@@ -302,8 +296,8 @@ wt AS (SELECT ds.lang, ds.step, ds.micro, ds.slot, ds.pos, list(kt.id ORDER BY k
        GROUP BY ds.lang, ds.step, ds.micro, ds.slot, ds.pos)"""
 
 
-def _windows(spark, sf, split, steps, micro, batch):
-    blocks, v = FL.lm_blocks(spark, sf, lookahead=0)
+def _windows(spark, sf, split, steps, micro, batch, staged=None):
+    blocks, v = staged if staged is not None else FL.lm_blocks(spark, sf, lookahead=0)
     bounds = splits.split_ratio(splits.stream_lengths(blocks, ST, B), FL.VAL_RATIO, ST)
     starts = splits.draw_starts(spark, bounds, split, steps, micro, batch, B, FL.SEED, streams=ST)
     w = splits.gather_windows(starts, blocks, B, "tokens", streams=ST)
@@ -338,8 +332,8 @@ pv AS (SELECT lang, prev, sum(c) AS cp FROM pc GROUP BY lang, prev),
 vv AS (SELECT count(*) + 2 AS v FROM vocab)"""
 
 
-def _model(spark, sf):
-    blocks, v = FL.lm_blocks(spark, sf, lookahead=1)
+def _model(spark, sf, staged=None):
+    blocks, v = staged if staged is not None else FL.lm_blocks(spark, sf, lookahead=1)
     bounds = splits.split_ratio(splits.stream_lengths(blocks, ST, B), FL.VAL_RATIO, ST)
     counts = ngram.split_pair_counts(ngram.block_pairs(blocks, B, ST), bounds, ST).filter(F.col("split") == "train")
     model = cut_lineage(ngram.fit_from_counts(counts, ST), "model")
@@ -362,8 +356,9 @@ sc AS (SELECT dp.doc_id, dp.lang, -ln((coalesce(pc.c, 0) + {FL.ALPHA}) / (coales
 SELECT doc_id, lang, count(*) AS n_pairs, round(avg(nll), 6) AS cross_entropy, round(exp(avg(nll)), 6) AS perplexity
 FROM sc GROUP BY doc_id, lang""")
 def m6_rank_docs_by_perplexity(spark, sf):
-    model, v = _model(spark, sf)
-    enc, _ = _enc(spark, sf)
+    enc, v = _enc(spark, sf)
+    enc = cut_lineage(enc, "encoded")  # feeds both the block table and the scoring
+    model, _ = _model(spark, sf, FL.lm_blocks(spark, sf, lookahead=1, encoded=(enc, v)))
     return ngram.rank_docs_by_perplexity(enc, model, tokenizer.vocab_size(v), FL.ALPHA, "doc_id", "ids", ST)
 
 
@@ -395,8 +390,9 @@ def g8_mean_step_loss(spark, sf):
     windows), averaged over the micro-batches of each step."""
     from tokenloom.operators.metrics import mean_step_loss
 
-    w, blocks, bounds, v = _windows(spark, sf, "train", STEPS, MICRO, BATCH)
-    model = cut_lineage(_model(spark, sf)[0])
+    staged = FL.lm_blocks(spark, sf, lookahead=1)  # one pipeline: windows read the first B tokens of each block
+    w, blocks, bounds, v = _windows(spark, sf, "train", STEPS, MICRO, BATCH, staged)
+    model = _model(spark, sf, staged)[0]
     pairs = w.select("lang", "step", "micro", "slot", F.explode(F.arrays_zip(F.col("x").alias("prev"), F.col("y").alias("next"))).alias("p"))
     pairs = pairs.select("lang", "step", "micro", "slot", F.col("p.prev").alias("prev"), F.col("p.next").alias("next"))
     s = ngram.score_pairs(pairs, model, tokenizer.vocab_size(v), FL.ALPHA, ST, group=["lang", "step", "micro"])
