@@ -167,7 +167,9 @@ def st5_stream_early_stop(spark, sf):
         e.filter((F.col("eval_idx") >= cuts[i]) & (F.col("eval_idx") < cuts[i + 1])).coalesce(1).write.mode("append").parquet(src)
     s = prepare.stream_corpus(spark, src, spark.read.parquet(src).schema, max_files_per_trigger=1)
     out, ck = stage_path(spark, "early-stop"), stage_path(spark, "early-stop-ckpt")
-    prepare.run_available(early_stop.stream_early_stop(s, MP.PATIENCE), out, ck)
+    # state is three numbers per run: one state partition per core is plenty
+    prepare.run_available(early_stop.stream_early_stop(s, MP.PATIENCE), out, ck,
+                          state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(out).select("run_id", "step", "best_before", "improved", "patience_after", "stop")
 
 

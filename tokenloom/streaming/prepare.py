@@ -37,14 +37,27 @@ def stream_prepare(stream: DataFrame, key: str = "doc_id", col: str = "text", mi
     return augment.prepare_documents(stream, key, col, min_chars, count_delim, min_marks, delim, p, seed)
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_cols=()):
+def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_cols=(),
+                  state_partitions: int | None = None):
     """ST3: process everything available now into a file sink and stop;
     re-running with the same checkpoint resumes where it stopped.  Returns
-    the finished query (its ``recentProgress`` holds the ST4 counters)."""
+    the finished query (its ``recentProgress`` holds the ST4 counters).
+
+    ``state_partitions``: number of state-store partitions of a stateful
+    query.  Spark fixes it from ``spark.sql.shuffle.partitions`` when the
+    query first starts (and keeps it in the checkpoint), so it is set only
+    around ``start()`` and restored afterwards."""
+    spark = stream.sparkSession
     w = stream.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    q = w.trigger(availableNow=True).start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = w.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination()
     return q
 
