@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
-from tokenloom.functions import text as T
 from tokenloom.operators import filters, pack, splits, tokenizer, udf
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table

@@ -4,7 +4,6 @@ count model (M1, M6, G3, G8) over the prepared corpus."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
