@@ -76,11 +76,12 @@ def p6_chunk_fixed(spark, sf):
 
 # --- UD: user-defined functions ------------------------------------------------
 
-@register("ud1_filter_udf", sql="SELECT doc_id FROM documents WHERE lang IN ('de', 'fr') AND n_chars % 2 = 0")
+@register("ud1_filter_udf", sql=f"SELECT doc_id FROM documents WHERE lang IN ('de', 'fr') AND {S.count_lit('text', '.')} > 20")
 def ud1_filter_udf(spark, sf):
-    """UD1 with a caller-side pandas predicate (Arrow batches)."""
-    return filters.filter_udf(table(spark, sf, "documents"), lambda lang, n: lang.isin(["de", "fr"]) & (n % 2 == 0),
-                              ["lang", "n_chars"]).select("doc_id")
+    """UD1 with a caller-side pandas predicate (Arrow batches): German or
+    French documents with more than 20 full stops."""
+    return filters.filter_udf(table(spark, sf, "documents"), lambda lang, text: lang.isin(["de", "fr"]) & (text.str.count(r"\.") > 20),
+                              ["lang", "text"]).select("doc_id")
 
 
 @register("ud2_map_rows", sql=f"SELECT doc_id, CAST(length({S.strip('text')}) AS BIGINT) AS n_stripped FROM documents")
