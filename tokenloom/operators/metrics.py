@@ -24,12 +24,24 @@ from tokenloom.operators.positions import running
 
 INF = float("inf")
 
+# --- fixed values -----------------------------------------------------------
+# Checkpoint names of the two trainers: "ckpt_step_" + 7-digit zero-padded
+# step + ".pkl", and "checkpoint-" + step.  Run name: prefix "gpt2", time
+# stamp yyyyMMdd-HHmmss, label "steps<N>" or "epochs<N>", "bs<batch>",
+# "lr<lr>", joined with "-".  Default patience 800 evaluations, evaluation
+# every 50 steps, checkpoint every 100 steps, cosine floor 0.5 of the peak.
+CKPT_FILE_PREFIX, CKPT_FILE_SUFFIX, CKPT_STEP_DIGITS = "ckpt_step_", ".pkl", 7
+CKPT_DIR_PREFIX = "checkpoint-"
+RUN_NAME_PREFIX = "gpt2"
+DEFAULT_PATIENCE, DEFAULT_EVAL_EVERY, DEFAULT_CKPT_EVERY, DEFAULT_LR_FLOOR = 800, 50, 100, 0.5
+# ---------------------------------------------------------------------------
+
 
 def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def eval_every(df: DataFrame, every: int = 50, step: str = "step") -> DataFrame:
+def eval_every(df: DataFrame, every: int = DEFAULT_EVAL_EVERY, step: str = "step") -> DataFrame:
     """Rows of evaluation steps (``step % every == 0``)."""
     return df.filter(F.col(step) % F.lit(every) == 0)
 
@@ -62,7 +74,7 @@ def patience(evals: DataFrame, run: str = "run_id", order: str = "step", idx: st
     return d.withColumn("patience_after", after.cast("long")).withColumn("patience_before", before.cast("long")).drop("_li", "_lp")
 
 
-def early_stop(evals: DataFrame, n: int, run: str = "run_id", step: str = "step") -> DataFrame:
+def early_stop(evals: DataFrame, n: int = DEFAULT_PATIENCE, run: str = "run_id", step: str = "step") -> DataFrame:
     """Per run, the first evaluation step with ``patience_after >= n``
     (null when it never fires)."""
     hit = F.when(F.col("patience_after") >= F.lit(n), F.col(step))
@@ -76,7 +88,8 @@ def cut_after_stop(df: DataFrame, stops: DataFrame, run: str = "run_id", step: s
     return j.filter(F.col("stop_step").isNull() | (F.col(step) <= F.col("stop_step"))).drop("stop_step")
 
 
-def checkpoint_events(steps: DataFrame, evals: DataFrame, every: int = 100, eval_every_n: int = 50, nested: bool = True,
+def checkpoint_events(steps: DataFrame, evals: DataFrame, every: int = DEFAULT_CKPT_EVERY, eval_every_n: int = DEFAULT_EVAL_EVERY,
+                      nested: bool = True,
                       run: str = "run_id", step: str = "step") -> DataFrame:
     """Steps that would save a checkpoint.
 
@@ -99,9 +112,9 @@ def checkpoint_events(steps: DataFrame, evals: DataFrame, every: int = 100, eval
 def checkpoint_names(events: DataFrame, step: str = "step") -> DataFrame:
     """File names the two trainers write: ``ckpt_step_%07d.pkl`` and
     ``checkpoint-<step>``."""
-    return events.withColumn("pkl_name", F.concat(F.lit("ckpt_step_"), zero_padded(step, 7), F.lit(".pkl"))).withColumn(
-        "dir_name", F.concat(F.lit("checkpoint-"), F.col(step).cast("string"))
-    )
+    return events.withColumn(
+        "pkl_name", F.concat(F.lit(CKPT_FILE_PREFIX), zero_padded(step, CKPT_STEP_DIGITS), F.lit(CKPT_FILE_SUFFIX))
+    ).withColumn("dir_name", F.concat(F.lit(CKPT_DIR_PREFIX), F.col(step).cast("string")))
 
 
 def latest_checkpoint(ckpts: DataFrame, run: str = "run_id", name: str = "name", step: str = "step",
@@ -147,7 +160,7 @@ def resume_cursor(metrics: DataFrame, run: str = "run_id", step: str = "step") -
 
 
 def run_name(runs: DataFrame, ts: str = "started", max_steps: str = "max_steps", epochs: str = "epochs",
-             batch: str = "batch", lr: str = "lr", prefix: str = "gpt2") -> DataFrame:
+             batch: str = "batch", lr: str = "lr", prefix: str = RUN_NAME_PREFIX) -> DataFrame:
     """``<prefix>-<yyyyMMdd-HHmmss>-<steps N | epochs N>-bs<batch>-lr<lr>``."""
     label = F.when(F.col(max_steps) > 0, F.concat(F.lit("steps"), F.col(max_steps).cast("string"))).otherwise(
         F.concat(F.lit("epochs"), F.col(epochs).cast("string"))
@@ -157,7 +170,7 @@ def run_name(runs: DataFrame, ts: str = "started", max_steps: str = "max_steps",
     return runs.withColumn("run_name", name)
 
 
-def lr_schedule(df: DataFrame, step: str = "step", peak: float = 1e-3, warmup=None, total=None, floor: float = 0.5,
+def lr_schedule(df: DataFrame, step: str = "step", peak: float = 1e-3, warmup=None, total=None, floor: float = DEFAULT_LR_FLOOR,
                 out: str = "lr") -> DataFrame:
     """Linear warm-up from 0 to ``peak`` over ``warmup`` steps, then
     cosine decay to ``floor * peak`` over ``total - warmup`` steps.
