@@ -65,3 +65,18 @@ def test_entry_contract(spark):
     assert len(rows) >= 1 and all(r["perplexity"] > 1 for r in rows)
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 100
+
+
+def test_stage_tables_live_under_checkpoint_dir(spark):
+    from tokenloom.session import checkpoint_dir, cut_lineage, ensure_checkpoint_dir, stage_path
+    from tokenloom.sources.corpus import spread_small
+
+    d1 = ensure_checkpoint_dir(spark)
+    d2 = ensure_checkpoint_dir(spark)
+    assert d1 == d2 == checkpoint_dir(spark)  # set once, never nested
+    assert stage_path(spark, "x").startswith(d1.rstrip("/") + "/tokenloom-stages/x-")
+    df = cut_lineage(spark.range(5), "t")
+    assert sorted(r[0] for r in df.collect()) == list(range(5))
+    assert "InMemoryFileIndex" in df._jdf.queryExecution().executedPlan().toString() or df.inputFiles()
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread_small(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
