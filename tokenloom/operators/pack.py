@@ -78,11 +78,19 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
     d = d.filter(lo <= hi).select(*streams, "_ids", "_s", "_n", "_kept", F.explode(F.sequence(lo, hi)).alias("block_id"))
     a = F.greatest(s, F.col("block_id") * B)
     e = F.least(s + n, F.col("block_id") * B + F.lit(B + L), k)
+    want = F.least(F.col("block_id") * B + F.lit(B + L), k) - F.col("block_id") * B  # tokens the block holds
     d = d.filter(e > a).select(
-        *streams, "block_id", a.alias("_a"), F.slice("_ids", (a - s + 1).cast("int"), (e - a).cast("int")).alias("_piece")
+        *streams, "block_id", a.alias("_a"), F.slice("_ids", (a - s + 1).cast("int"), (e - a).cast("int")).alias("_piece"),
+        ((a == F.col("block_id") * B) & ((e - a) == want)).alias("_whole"),
     )
-    g = d.groupBy(*streams, "block_id").agg(F.array_sort(F.collect_list(F.struct("_a", "_piece"))).alias("_l"))
-    return g.select(*streams, "block_id", F.flatten(F.transform("_l", lambda x: x["_piece"])).alias("tokens"))
+    # A block inside one document is complete as it is: no grouping.  Only
+    # blocks that span documents are regrouped, after one exchange on the
+    # block key (no map-side partial collect).
+    whole = d.filter("_whole").select(*streams, "block_id", F.col("_piece").alias("tokens"))
+    parts = d.filter(~F.col("_whole")).repartition(*[F.col(c) for c in streams], F.col("block_id"))
+    g = parts.groupBy(*streams, "block_id").agg(F.array_sort(F.collect_list(F.struct("_a", "_piece"))).alias("_l"))
+    glued = g.select(*streams, "block_id", F.flatten(F.transform("_l", lambda x: x["_piece"])).alias("tokens"))
+    return whole.unionByName(glued)
 
 
 def unpack(blocks: DataFrame, block: int = 64, streams=(), tokens: str = "tokens") -> DataFrame:
