@@ -50,6 +50,9 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
 
     Output ``(streams..., block_id, tokens)``; every row of a stream's
     blocks ``0 .. nb-1`` holds exactly ``B`` (+ lookahead) tokens.
+    ``streams`` is a small set of stream keys (language, split): the
+    per-stream totals (one row per stream) are broadcast.  Documents of any
+    size and any number of documents per stream are fine.
     ``key_source``: cheap frame with the order key for bucket boundaries.
     ``materialize``: checkpoint the offsets table (reliable, in the shared
     checkpoint folder) so the totals and the block pieces read it once.
