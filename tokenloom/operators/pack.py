@@ -54,8 +54,8 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
     per-stream totals (one row per stream) are broadcast.  Documents of any
     size and any number of documents per stream are fine.
     ``key_source``: cheap frame with the order key for bucket boundaries.
-    ``materialize``: checkpoint the offsets table (reliable, in the shared
-    checkpoint folder) so the totals and the block pieces read it once.
+    ``materialize``: store the input as a parquet table in the shared
+    checkpoint folder first, so the upstream plan runs once.
     """
     order, streams = _as_list(order), _as_list(streams)
     d = df.select(*streams, *order, F.col(ids).alias("_ids"))
@@ -64,10 +64,13 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
     elif policy != "global":
         raise ValueError(f"unknown policy {policy!r}")
     d = d.withColumn("_n", F.size("_ids").cast("long")).filter(F.col("_n") > 0)
-    d = prefix_sum(d, "_n", order, streams, out="_s", key_source=key_source)
     if materialize:
-        d = cut_lineage(d)  # offsets table: read twice below (totals, pieces)
+        # the prefix sum reads its input twice (in-bucket window, bucket
+        # totals) and the stream totals once more: materialise the input so
+        # an expensive upstream (encoding) runs once
+        d = cut_lineage(d, "pack-input")
     tot = stream_totals(d, "_n", streams, out="_total")
+    d = prefix_sum(d, "_n", order, streams, out="_s", key_source=key_source)
     kept = F.col("_total") - F.col("_total") % F.lit(block)
     if cap is not None:
         kept = F.least(kept, F.lit(int(cap)))

@@ -89,6 +89,10 @@ def running(
     """Running ``sum``/``min``/``max`` of ``value`` in ``order_cols`` order per
     stream, computed in buckets (no single-task or single-stream window).
 
+    The input is read twice (in-bucket window and bucket totals, which prune
+    to different columns, so Spark cannot share one exchange): pass a scan or
+    a materialised table when the upstream plan is expensive.
+
     ``inclusive=False`` excludes the current row (null for the first row of
     a stream under min/max, 0 under sum).  ``value`` is a column name or a
     Column; nulls are ignored as Spark aggregates ignore them.
@@ -100,8 +104,8 @@ def running(
     if op == "sum":
         v = F.coalesce(v, F.lit(0))
     b = _bucketize(df.withColumn("_v", v), order_cols[0], nb, splits, key_source)
-    # One explicit exchange on (streams, bucket) feeds both the window and the
-    # bucket totals, so the input is computed once (the exchange is reused).
+    # One explicit exchange on (streams, bucket): the window and the bucket
+    # totals both consume that partitioning without a further shuffle.
     b = b.repartition(*[F.col(c) for c in streams], F.col("_bkt"))
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy(*streams, "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)

@@ -176,6 +176,7 @@ def t9_encode_line_chunks(spark, sf):
 @register("p1_global_offsets", sql=f"{BASE} SELECT doc_id, lang, CAST(s AS BIGINT) AS \"offset\", CAST(n AS BIGINT) AS n_tokens FROM off")
 def p1_global_offsets(spark, sf):
     enc, _ = _enc(spark, sf)
+    enc = cut_lineage(enc, "encoded")  # the bucketed scan reads its input twice
     d = pack.global_offsets(enc, "ids", ["doc_id"], ST, key_source=table(spark, sf, "documents").select("doc_id"))
     return d.select("doc_id", "lang", "offset", "n_tokens")
 
