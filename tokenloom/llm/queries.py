@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import exact_dedup, line_dedup, substring_dedup
+from tokenloom.llm import byte_bpe, exact_dedup, line_dedup, packing, substring_dedup, topk_search
 from tokenloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,28 @@ def query(fn):
     return fn
 
 
+@query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk_search.topk_search(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+ORACLE["op1_topk_search"] = topk_search.ORACLE_SQL
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, max_len=2048, special_as_text=True
+    )
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
