@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import byte_bpe, exact_dedup, line_dedup, packing, substring_dedup, topk_search
+from tokenloom.llm import byte_bpe, exact_dedup, hmm_lm, license_scan, line_dedup, near_dedup, packing, quality, substring_dedup, topk_search
 from tokenloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,18 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_topk_search"] = topk_search.ORACLE_SQL
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels"))).drop("row")
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return license_scan.license_scan(docs, license_scan.train(docs))
+
+
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
@@ -43,6 +55,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+@query
+def op6_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.hmm_scores(read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
@@ -51,6 +68,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op7_exact_dedup"] = exact_dedup.ORACLE_SQL
 
 
+@query
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(read(spark, sf_dir, "documents"), shingle=4, percent=80).drop("class_key")
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.line_dedup(read(spark, sf_dir, "documents"), min_docs=10, min_code_points=1)
@@ -64,3 +86,10 @@ ORACLE["op9_line_dedup"] = line_dedup.ORACLE_SQL
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.substring_dedup(read(spark, sf_dir, "documents"), window=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -60,25 +60,27 @@ def _seeds(window: int, k: int):
     return run
 
 
-def _cut(window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc_id, text, starts in zip(pdf["doc_id"], pdf["text"], pdf["starts"]):
-                ws = words(text)
-                edge = np.zeros(len(ws) + 1, np.int64)
-                if starts is not None and len(starts):
-                    s = np.unique(np.asarray(starts, np.int64))
-                    edge[s] += 1
-                    edge[s + window] -= 1
-                covered = np.cumsum(edge[:-1]) > 0
-                turn = np.flatnonzero(np.diff(np.concatenate(([0], covered.view(np.int8), [0]))))
-                kept = b" ".join(w for w, c in zip(ws, covered.tolist()) if not c).decode("utf-8")
-                spans = [{"start": int(a), "end": int(b)} for a, b in turn.reshape(-1, 2)]
-                out.append((None if pd.isna(doc_id) else int(doc_id), kept, len(ws), int(covered.sum()), spans))
-            yield pd.DataFrame(out, columns=["doc_id", "text", "n_words", "n_removed", "repeats"]).astype({"doc_id": "Int64"})
+def cut_text(text: str, starts, window: int) -> tuple[str, int, int, list[dict]]:
+    """Text without the words that the windows cover, and what was cut."""
+    ws = words(text)
+    edge = np.zeros(len(ws) + 1, np.int64)
+    if starts is not None and len(starts):
+        s = np.unique(np.asarray(starts, np.int64))
+        edge[s] += 1
+        edge[s + window] -= 1
+    covered = np.cumsum(edge[:-1]) > 0
+    turn = np.flatnonzero(np.diff(np.concatenate(([0], covered.view(np.int8), [0]))))
+    kept = b" ".join(w for w, c in zip(ws, covered.tolist()) if not c).decode("utf-8")
+    return kept, len(ws), int(covered.sum()), [{"start": int(a), "end": int(b)} for a, b in turn.reshape(-1, 2)]
 
-    return run
+
+def _cutter(window: int):
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for text, starts in parts:
+            out = [cut_text(t, s, window) for t, s in zip(text, starts)]
+            yield pd.DataFrame(out, columns=["text", "n_words", "n_removed", "repeats"])
+
+    return F.pandas_udf(run, "text string, n_words long, n_removed long, repeats array<struct<start:int,end:int>>")
 
 
 def later_windows(base: DataFrame, window: int, k: int) -> DataFrame:
@@ -105,14 +107,14 @@ def later_windows(base: DataFrame, window: int, k: int) -> DataFrame:
 
 def substring_dedup(docs: DataFrame, window: int = 20, k: int = 10) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed,
-    repeats (maximal runs of removed words: start, end).
+    repeats (maximal runs of removed words: start, end), row (the input row).
 
     k: words in an anchor; every repeat of ``window`` words holds one.
     """
-    base = id_text(docs).withColumn("th", doc_key())
-    late = cut_lineage(later_windows(base, window, k), "later-windows")
-    b, x = base.alias("b"), late.alias("x")
+    late = cut_lineage(later_windows(id_text(docs).withColumn("th", doc_key()), window, k), "later-windows")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    b = docs.select(row).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("row.text", F.lit("")).alias("text"))
+    b, x = b.withColumn("th", doc_key()).alias("b"), late.alias("x")
     joined = b.join(x, (F.col("b.th") == F.col("x.th")) & F.col("b.doc_id").eqNullSafe(F.col("x.doc_id")), "left")
-    return joined.select("b.doc_id", "b.text", "x.starts").mapInPandas(
-        _cut(window), "doc_id long, text string, n_words long, n_removed long, repeats array<struct<start:int,end:int>>"
-    )
+    cut = joined.select("b.doc_id", "b.row", _cutter(window)("b.text", "x.starts").alias("cut"))
+    return cut.select("doc_id", "cut.*", "row")
