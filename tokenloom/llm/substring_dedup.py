@@ -21,25 +21,42 @@ from tokenloom.llm.common import WordHash, doc_key, id_text, window_hashes, word
 from tokenloom.session import cut_lineage
 
 
-def seeds_of(h: np.ndarray, window: int, k: int):
-    """(anchor hash, first window, hashes of the windows it stands for), for
-    each anchor occurrence of a text's word hashes."""
-    whole = window_hashes(h, window)
-    if not len(whole):
-        return
+def anchors_of(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor hash, and first window that it stands for, of each anchor
+    occurrence in a text's word hashes."""
+    n = len(h) - window + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     grams = window_hashes(h, k)
-    span = window - k + 1
-    least, at = grams[: len(whole)].copy(), np.arange(len(whole))
-    for j in range(1, span):
-        nxt = grams[j : j + len(whole)]
+    least, at = grams[:n].copy(), np.arange(n)
+    for j in range(1, window - k + 1):
+        nxt = grams[j : j + n]
         less = nxt < least
         least = np.where(less, nxt, least)
-        at = np.where(less, np.arange(j, j + len(whole)), at)
+        at = np.where(less, np.arange(j, j + n), at)
     cuts = np.flatnonzero(np.diff(at, prepend=-1))
-    ends = np.append(cuts[1:], len(whole))
-    signed, anchors = whole.view(np.int64), grams.view(np.int64)
-    for a, b in zip(cuts.tolist(), ends.tolist()):
-        yield int(anchors[at[a]]), a, signed[a:b]
+    return grams[at[cuts]].view(np.int64), cuts
+
+
+def seeds_of(h: np.ndarray, window: int, k: int):
+    """(anchor hash, first window, hashes of the windows it stands for), for
+    each anchor occurrence of a text's word hashes."""
+    anchors, cuts = anchors_of(h, window, k)
+    if len(cuts):
+        signed = window_hashes(h, window).view(np.int64)
+        for anchor, a, b in zip(anchors.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(signed)]):
+            yield anchor, a, signed[a:b]
+
+
+def _anchors(window: int, k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = WordHash()
+        for pdf in batches:
+            for at in range(0, len(pdf), 500):
+                found = [anchors_of(memo.of(words(t)), window, k)[0] for t in pdf["text"].iloc[at : at + 500]]
+                yield pd.DataFrame({"anchor": np.concatenate(found)})
+
+    return run
 
 
 def _seeds(window: int, k: int):
@@ -86,8 +103,9 @@ def _cutter(window: int):
 def later_windows(base: DataFrame, window: int, k: int) -> DataFrame:
     """doc_id, th, starts: windows whose words also start earlier."""
     seeds = base.mapInPandas(_seeds(window, k), "doc_id long, th long, anchor long, start int, hashes array<long>")
-    # Seeds are emitted twice (once without their windows): cheaper than keeping 8 bytes a word on disk.
-    twice = cut_lineage(seeds.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
+    # Anchors are found twice: cheaper than keeping 8 bytes a word on disk.
+    anchors = base.select("text").mapInPandas(_anchors(window, k), "anchor long")
+    twice = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
     wins = cut_lineage(
         seeds.join(twice, "anchor").select("doc_id", "th", "anchor", "start", F.posexplode("hashes").alias("i", "win")).select(
             "doc_id", "th", "anchor", "win", (F.col("start") + F.col("i")).alias("pos")
