@@ -41,6 +41,35 @@ def test_row_index_dense(spark):
     assert [r for _, r in got] == list(range(len(got)))
 
 
+def test_null_streams_and_null_keys_are_kept(spark):
+    rows = [("a", 1, [1, 2]), (None, 2, [3]), (None, 5, [4, 5, 6]), ("a", None, [7]), ("a", 9, [8, 9])]
+    df = spark.createDataFrame(rows, "lang string, k long, ids array<int>")
+    got = {(r["lang"], r["k"]): r["offset"] for r in pack.global_offsets(df, "ids", ["k"], ["lang"]).collect()}
+    assert got == {("a", None): 0, ("a", 1): 1, ("a", 9): 3, (None, 2): 0, (None, 5): 1}
+    blocks = pack.pack_blocks(df, "ids", ["k"], ["lang"], block=2, key_source=df.select("k"))
+    assert sorted(((r["lang"] or "", r["block_id"], r["tokens"]) for r in blocks.collect())) == [
+        ("", 0, [3, 4]), ("", 1, [5, 6]), ("a", 0, [7, 1]), ("a", 1, [2, 8])]
+    numbered = {r["k"]: r["row_no"] for r in row_index(df.select("k"), ["k"], n_buckets=3).collect()}
+    assert numbered == {None: 0, 1: 1, 2: 2, 5: 3, 9: 4}
+
+
+@pytest.mark.parametrize("nb", [2, 5])
+def test_text_and_constant_order_keys(spark, nb):
+    ids = ["1", "10", "2", "30", "4", "9", "", "é", "zebra-1", "zebra-2"]
+    df = spark.createDataFrame([(x,) for x in ids], "k string")
+    got = {r["k"]: r["row_no"] for r in row_index(df, ["k"], n_buckets=nb).collect()}
+    assert got == {x: i for i, x in enumerate(sorted(ids, key=lambda s: s.encode()))}
+    tied = spark.createDataFrame([(7, i) for i in range(20)], "k long, t long")
+    assert sorted((r["t"], r["row_no"]) for r in row_index(tied, ["k", "t"], n_buckets=nb).collect()) == [(i, i) for i in range(20)]
+
+
+def test_concat_batches_is_a_layout(spark):
+    df = spark.createDataFrame([(i, list(range(i))) for i in range(7)], "row_no long, input_ids array<int>")
+    lay = pack.concat_batches(df, "row_no", "input_ids", rows=2, n_shards=2, n_rows=7)
+    got = {r["row_no"]: (r["shard"], r["batch"], r["offset"]) for r in lay.collect()}
+    assert got == {0: (0, 0, 0), 1: (0, 0, 0), 2: (0, 1, 0), 3: (0, 1, 2), 4: (1, 0, 0), 5: (1, 0, 4), 6: (1, 1, 0)}
+
+
 def _lengths_frame(spark):
     # lengths fixture: token arrays of length 0, 1, B-1, B, B+1, 2B
     lens = [0, 1, B - 1, B, B + 1, 2 * B]

@@ -79,4 +79,48 @@ def test_stage_tables_live_under_checkpoint_dir(spark):
     assert sorted(r[0] for r in df.collect()) == list(range(5))
     assert "InMemoryFileIndex" in df._jdf.queryExecution().executedPlan().toString() or df.inputFiles()
     one = spark.range(0, 100, numPartitions=1)
-    assert spread_small(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_small(one).rdd.getNumPartitions() == 1  # off unless a session asks for it
+    spark.conf.set("tokenloom.spreadSmallScans", "true")
+    try:
+        assert spread_small(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("tokenloom.spreadSmallScans")
+
+
+def test_cluster_without_checkpoint_folder_is_an_error():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tokenloom.session import ensure_checkpoint_dir
+
+    def unset(key):
+        raise KeyError(key)
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=unset)))
+
+
+def test_early_stop_over_many_arrow_chunks():
+    """Steps that arrive out of order, over several Arrow chunks of a run."""
+    import math
+
+    import pandas as pd
+
+    from tokenloom.streaming.early_stop import _updater
+
+    class State:
+        exists = False
+
+        def update(self, new):
+            self.new = new
+
+    loss = [5.0, 4.0, 3.5, 6.0, 6.0, 6.0]
+    rows = pd.DataFrame({"run_id": 1, "step": [i * 100 for i in range(6)], "eval_idx": list(range(6)), "loss": loss})
+    chunks = [rows.iloc[a : a + 2] for a in (4, 0, 2)]
+    out = pd.concat(_updater(3)((1,), iter(chunks), State()))
+    assert out["step"].tolist() == [i * 100 for i in range(6)]
+    assert out["best_before"].tolist() == [math.inf, 5.0, 4.0, 3.5, 3.5, 3.5]
+    assert out["patience_after"].tolist() == [0, 0, 0, 1, 2, 3]
+    assert out["stop"].tolist() == [False] * 5 + [True]

@@ -67,8 +67,8 @@ def patience(evals: DataFrame, run: str = "run_id", order: str = "step", idx: st
     ``patience_after`` = idx - last improving idx (idx + 1 before any);
     ``patience_before`` = the previous row's ``patience_after`` (0 first)."""
     mark = F.when(F.col("improved"), F.col(idx))
-    d = running(evals, mark, "max", [order], [run], out="_li", inclusive=True, key_source=key_source)
-    d = running(d, mark, "max", [order], [run], out="_lp", inclusive=False, key_source=key_source)
+    d = running(evals, mark, "max", [order], [run], out="_lp", inclusive=False, key_source=key_source)
+    d = d.withColumn("_li", F.coalesce(mark, "_lp"))
     after = F.when(F.col("_li").isNull(), F.col(idx) + 1).otherwise(F.col(idx) - F.col("_li"))
     before = F.when(F.col(idx) == 0, F.lit(0)).when(F.col("_lp").isNull(), F.col(idx)).otherwise(F.col(idx) - 1 - F.col("_lp"))
     return d.withColumn("patience_after", after.cast("long")).withColumn("patience_before", before.cast("long")).drop("_li", "_lp")

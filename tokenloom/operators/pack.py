@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.operators.positions import attach_scalars, prefix_sum, stream_totals
+from tokenloom.operators.positions import prefix_sum
 from tokenloom.session import cut_lineage
 from tokenloom.operators.tokenizer import IGNORE_INDEX
 
@@ -50,9 +50,8 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
 
     Output ``(streams..., block_id, tokens)``; every row of a stream's
     blocks ``0 .. nb-1`` holds exactly ``B`` (+ lookahead) tokens.
-    ``streams`` is a small set of stream keys (language, split): the
-    per-stream totals (one row per stream) are broadcast.  Documents of any
-    size and any number of documents per stream are fine.
+    Documents of any size, any number of documents per stream and any number
+    of streams are fine; a null stream is a stream of its own.
     ``key_source``: cheap frame with the order key for bucket boundaries.
     ``materialize``: store the input as a parquet table in the shared
     checkpoint folder first, so the upstream plan runs once.
@@ -66,16 +65,13 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
     d = d.withColumn("_n", F.size("_ids").cast("long")).filter(F.col("_n") > 0)
     if materialize:
         # the prefix sum reads its input twice (in-bucket window, bucket
-        # totals) and the stream totals once more: materialise the input so
-        # an expensive upstream (encoding) runs once
+        # totals): materialise it so an expensive upstream (encoding) runs once
         d = cut_lineage(d, "pack-input")
-    tot = stream_totals(d, "_n", streams, out="_total")
-    d = prefix_sum(d, "_n", order, streams, out="_s", key_source=key_source)
+    d = prefix_sum(d, "_n", order, streams, out="_s", key_source=key_source, total_out="_total")
     kept = F.col("_total") - F.col("_total") % F.lit(block)
     if cap is not None:
         kept = F.least(kept, F.lit(int(cap)))
-    tot = tot.withColumn("_kept", kept)
-    d = d.join(F.broadcast(tot), streams) if streams else attach_scalars(d, tot)
+    d = d.withColumn("_kept", kept)
     B, L = block, lookahead
     s, n, k = F.col("_s"), F.col("_n"), F.col("_kept")
     n_blocks = F.ceil(k / F.lit(B)).cast("long")
@@ -106,13 +102,15 @@ def unpack(blocks: DataFrame, block: int = 64, streams=(), tokens: str = "tokens
     return ex.select(*streams, (F.col("block_id") * block + F.col("_i")).alias("pos"), "token")
 
 
-def concat_batches(df: DataFrame, order: str = "row_no", cols=("input_ids", "attention_mask"), rows: int = 1_000_000,
+def concat_batches(df: DataFrame, order: str = "row_no", ids: str = "input_ids", rows: int = 1_000_000,
                    n_shards: int = 8, n_rows: int | None = None) -> DataFrame:
     """P5: ``n_shards`` contiguous shards (the first ``n % shards`` get one
-    extra row), batches of up to ``rows`` rows inside each shard; the lists of
-    every batch are concatenated in row order.  ``order`` is a 0-based row
-    number.  Groups are bounded by ``rows``."""
-    cols = _as_list(cols)
+    extra row), batches of up to ``rows`` rows inside each shard, the lists of
+    every batch concatenated in row order.  ``order`` is a 0-based row number.
+
+    The concatenation is a layout: each row gets its ``shard``, ``batch`` and
+    the ``offset`` of its list in that batch, so no batch is ever one value.
+    ``pack_blocks(streams=["shard", "batch"])`` cuts it into chunks (P6)."""
     if n_rows is None:
         n_rows = df.count()
     div, mod = divmod(n_rows, n_shards)
@@ -121,11 +119,7 @@ def concat_batches(df: DataFrame, order: str = "row_no", cols=("input_ids", "att
     shard = F.when(r < big, F.floor(r / F.lit(div + 1))).otherwise(F.lit(mod) + F.floor((r - big) / F.lit(max(div, 1))))
     start = F.when(shard < F.lit(mod), shard * F.lit(div + 1)).otherwise(big + (shard - F.lit(mod)) * F.lit(div))
     d = df.withColumn("shard", shard.cast("int")).withColumn("batch", F.floor((r - start) / F.lit(rows)).cast("long"))
-    def field(name):
-        return lambda x: x[name]
-
-    aggs = [F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(order, c))), field(c))).alias(c) for c in cols]
-    return d.groupBy("shard", "batch").agg(*aggs)
+    return global_offsets(d, ids, [order], ["shard", "batch"], out="offset")
 
 
 def chunk_fixed(df: DataFrame, cols=("input_ids", "attention_mask"), size: int = 1024, keys=()) -> DataFrame:

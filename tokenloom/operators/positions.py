@@ -16,7 +16,9 @@ column of the source table) or precomputed ``splits`` so the sketch job does
 not recompute an expensive upstream plan.
 
 The result is exact; only bucket *sizes* depend on the sketch.  Order keys
-must be unique within a stream (add a tie-breaker column otherwise).
+must be unique within a stream (add a tie-breaker column otherwise).  A null
+stream is a stream of its own, and null order keys come first, as in Spark's
+own ascending order: no row is lost.  Text keys keep their byte order.
 """
 
 from __future__ import annotations
@@ -25,6 +27,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows that one bucket should hold, and the most buckets that one sketch gives.
+BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 4_096
+
+
 def default_buckets(spark) -> int:
     try:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -34,12 +40,17 @@ def default_buckets(spark) -> int:
 
 
 def _numeric_key(df: DataFrame, key: str):
-    """The leading order key as a double (timestamps as epoch microseconds)."""
+    """The leading order key as a double that never falls where the key rises
+    (timestamps as epoch microseconds, text by its first six bytes).  Equal
+    doubles only share a bucket; inside it the key itself decides."""
     t = df.schema[key].dataType.typeName()
     if t.startswith("timestamp"):
         return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
     if t == "date":
         return F.unix_date(F.col(key)).cast("double")
+    if t in ("string", "varchar", "char", "binary"):
+        first = F.hex(F.substring(F.col(key).cast("binary"), 1, 6))
+        return F.conv(F.rpad(first, 12, "0"), 16, 10).cast("double")
     return F.col(key).cast("double")
 
 
@@ -48,9 +59,15 @@ def quantile_splits(df: DataFrame, key: str, n_buckets: int) -> list[float]:
 
     Pass a *cheap* frame here (e.g. the key column of the source table, which
     parquet reads alone): boundaries only balance buckets, any monotone set
-    of boundaries gives exact results."""
-    row = df.agg(F.percentile_approx(_numeric_key(df, key), [i / n_buckets for i in range(1, n_buckets)], 10_000).alias("q")).first()
-    return sorted({float(x) for x in (row["q"] or []) if x is not None})
+    of boundaries gives exact results.  At least ``n_buckets``; more where
+    buckets would exceed ``BUCKET_ROWS`` rows."""
+    k = _numeric_key(df, key)
+    # One text literal: a list would become thousands of expressions.
+    points = F.split(F.lit(" ".join(str(i / MOST_BUCKETS) for i in range(1, MOST_BUCKETS))), " ").cast("array<double>")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(k, points, 10_000).alias("q")).first()
+    q = [float(x) for x in (row["q"] or [])]
+    want = min(MOST_BUCKETS, max(n_buckets, -(-row["n"] // BUCKET_ROWS)))
+    return sorted({q[i * MOST_BUCKETS // want - 1] for i in range(1, want)} if q else set())
 
 
 def _bucketize(df: DataFrame, key: str, n_buckets: int, splits=None, key_source: DataFrame | None = None):
@@ -61,7 +78,8 @@ def _bucketize(df: DataFrame, key: str, n_buckets: int, splits=None, key_source:
     edges = [float("-inf")] + sorted(set(splits)) + [float("inf")]
     tmp = df.withColumn("_okey", _numeric_key(df, key))
     out = Bucketizer(splits=edges, inputCol="_okey", outputCol="_bktd", handleInvalid="keep").transform(tmp)
-    return out.withColumn("_bkt", F.col("_bktd").cast("int")).drop("_okey", "_bktd")
+    # A null key has no bucket number: one before all others (nulls first).
+    return out.withColumn("_bkt", F.coalesce(F.col("_bktd").cast("int"), F.lit(-1))).drop("_okey", "_bktd")
 
 
 def _agg(op: str, c):
@@ -85,6 +103,7 @@ def running(
     n_buckets: int | None = None,
     splits=None,
     key_source: DataFrame | None = None,
+    total_out: str | None = None,
 ) -> DataFrame:
     """Running ``sum``/``min``/``max`` of ``value`` in ``order_cols`` order per
     stream, computed in buckets (no single-task or single-stream window).
@@ -96,6 +115,7 @@ def running(
     ``inclusive=False`` excludes the current row (null for the first row of
     a stream under min/max, 0 under sum).  ``value`` is a column name or a
     Column; nulls are ignored as Spark aggregates ignore them.
+    ``total_out``: also add the aggregate of the row's whole stream.
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     streams = [streams] if isinstance(streams, str) else list(streams)
@@ -106,17 +126,20 @@ def running(
     b = _bucketize(df.withColumn("_v", v), order_cols[0], nb, splits, key_source)
     # One explicit exchange on (streams, bucket): the window and the bucket
     # totals both consume that partitioning without a further shuffle.
-    b = b.repartition(*[F.col(c) for c in streams], F.col("_bkt"))
+    # The struct makes null streams equal to each other in every step.
+    b = b.withColumn("_sk", F.struct(*streams) if streams else F.lit(0)).repartition("_sk", "_bkt")
     frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*streams, "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
+    w_in = Window.partitionBy("_sk", "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, frame_end)
     within = b.withColumn("_run", _agg(op, F.col("_v")).over(w_in))
-    totals = b.groupBy(*streams, "_bkt").agg(_agg(op, F.col("_v")).alias("_btot"))
-    w_b = Window.partitionBy(*streams).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    totals = b.groupBy("_sk", "_bkt").agg(_agg(op, F.col("_v")).alias("_btot"))
+    w_all = Window.partitionBy("_sk")
+    w_b = w_all.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     # streams x buckets rows; the join side is the output of a shuffle, so
     # AQE measures it and broadcasts it only when it is small.
-    starts = totals.select(*streams, "_bkt", _agg(op, F.col("_btot")).over(w_b).alias("_bpre"))
-    res = within.join(starts, on=[*streams, "_bkt"], how="inner")
-    return res.withColumn(out, _combine(op, F.col("_bpre"), F.col("_run"))).drop("_bkt", "_run", "_bpre", "_v")
+    whole = [_agg(op, F.col("_btot")).over(w_all).alias(total_out)] if total_out else []
+    starts = totals.select("_sk", "_bkt", _agg(op, F.col("_btot")).over(w_b).alias("_bpre"), *whole)
+    res = within.join(starts, on=["_sk", "_bkt"], how="inner")
+    return res.withColumn(out, _combine(op, F.col("_bpre"), F.col("_run"))).drop("_sk", "_bkt", "_run", "_bpre", "_v")
 
 
 def prefix_sum(
@@ -128,12 +151,13 @@ def prefix_sum(
     n_buckets: int | None = None,
     splits=None,
     key_source: DataFrame | None = None,
+    total_out: str | None = None,
 ) -> DataFrame:
     """Exclusive running sum of ``size_col`` in ``order_cols`` order, per stream:
     the start position of each row in the concatenated stream (0 first)."""
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
     return running(df, size, "sum", order_cols, streams, out=out, inclusive=False, n_buckets=n_buckets,
-                   splits=splits, key_source=key_source)
+                   splits=splits, key_source=key_source, total_out=total_out)
 
 
 def row_index(df: DataFrame, order_cols, streams=(), out: str = "row_no", n_buckets: int | None = None,
@@ -154,6 +178,7 @@ def stream_totals(df: DataFrame, size_col: str, streams=(), out: str = "total")
 
 
 def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Add the columns of a one-row frame (a global aggregate) to every row:
-    a broadcast equi-join on a constant key, never a cartesian product."""
+    """Add the columns of ``scalars`` (a global aggregate: one row, or one row
+    a stream) to every row.  Spark plans this as a broadcast nested loop over
+    those few rows, so ``scalars`` must not grow with the data."""
     return df.withColumn("_k1", F.lit(1)).join(F.broadcast(scalars.withColumn("_k1", F.lit(1))), "_k1").drop("_k1")

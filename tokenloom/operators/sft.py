@@ -71,15 +71,17 @@ def masked_losses(pairs: DataFrame, model: DataFrame, vocab_size, alpha: float =
 
     m = model.select("prev", F.col("next").alias("target"), "c")
     pv = model.select("prev", "c_prev").distinct()
-    j = pairs.join(m, ["prev", "target"], "left").join(F.broadcast(pv), "prev", "left")  # pv: <= vocabulary rows
+    valid = F.col("target") != F.lit(IGNORE_INDEX)
+    # Masked positions match nothing and share one key: they skip the join.
+    masked = pairs.where(~F.coalesce(valid, F.lit(False))).withColumn("valid", valid).withColumn("loss", F.lit(None).cast("double"))
+    j = pairs.where(valid).join(m, ["prev", "target"], "left").join(F.broadcast(pv), "prev", "left")  # pv: <= vocabulary rows
     if isinstance(vocab_size, DataFrame):
         j = attach_scalars(j, vocab_size.select("vocab_size"))
         v = F.col("vocab_size")
     else:
         v = F.lit(vocab_size)
     p = (F.coalesce("c", F.lit(0)) + F.lit(alpha)) / (F.coalesce("c_prev", F.lit(0)) + F.lit(alpha) * v)
-    valid = F.col("target") != F.lit(IGNORE_INDEX)
-    return j.withColumn("valid", valid).withColumn("loss", F.when(valid, -F.log(p))).drop("c", "c_prev", "vocab_size")
+    return j.withColumn("valid", valid).withColumn("loss", -F.log(p)).drop("c", "c_prev", "vocab_size").unionByName(masked)
 
 
 def masked_mean_loss(losses: DataFrame, group=(), guard: bool = True, digits: int = 6) -> DataFrame:

@@ -73,7 +73,7 @@ def require_span(n: int, block: int) -> int:
     """K9: the window upper bound ``n - B - 1``; error when not positive."""
     span = n - block - 1
     if span <= 0:
-        raise ValueError("Token array too small for batch sampling: need more than block_size + 1 tokens")
+        raise ValueError(f"{n} tokens hold no window: blocks of {block} need at least {block + 2}")
     return span
 
 

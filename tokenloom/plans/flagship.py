@@ -58,7 +58,8 @@ def lm_blocks(spark: SparkSession, sf_dir: str, lookahead: int = 1, encoded=None
     ``encoded``: an already built ``(enc, vocab)`` pair to reuse."""
     enc, v = encoded if encoded is not None else encoded_docs(spark, sf_dir)
     keys = table(spark, sf_dir, "documents").select("doc_id")  # cheap sketch source
-    blocks = pack.pack_blocks(enc, "ids", ["doc_id"], STREAMS, BLOCK, lookahead=lookahead, key_source=keys)
+    blocks = pack.pack_blocks(enc, "ids", ["doc_id"], STREAMS, BLOCK, lookahead=lookahead, key_source=keys,
+                              materialize=encoded is None)
     return cut_lineage(blocks), v
 
 

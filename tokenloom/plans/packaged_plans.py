@@ -1,6 +1,5 @@
-"""Registered queries: the packaged-trainer data path (S6 head rows -> K4
-random split -> tokenize with mask -> P5 concatenation per shard and batch
--> P6 fixed chunks) and the UDF surface (UD1-UD3)."""
+"""Registered queries: the packaged-trainer data path (K4 random split ->
+tokenize with mask -> P5 concatenation per shard and batch -> P6 fixed chunks) and the UDF surface (UD1-UD3)."""
 
 from __future__ import annotations
 
@@ -12,12 +11,11 @@ from tokenloom.operators import filters, pack, splits, tokenizer, udf
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table
 from tokenloom.session import cut_lineage
-from tokenloom.sources import corpus
 
-HEAD, TEST, SEED, VOCAB = 3200, 0.0015, 42, 8192
+TEST, SEED, VOCAB = 0.0015, 42, 8192
 ROWS, SHARDS, CHUNK = 1_000_000, 8, 1024
 
-BASE = f"""WITH hd AS (SELECT doc_id, coalesce(text, '') AS text FROM documents ORDER BY doc_id LIMIT {HEAD}),
+BASE = f"""WITH hd AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 nn AS (SELECT count(*) AS n FROM hd),
 rk AS (SELECT doc_id, text, row_number() OVER (ORDER BY {S.khash(SEED, 'split', 'doc_id')}, doc_id) - 1 AS shuffle_rank FROM hd),
 sp AS (SELECT rk.*, CASE WHEN shuffle_rank < CAST(ceil(n * {TEST}) AS BIGINT) THEN 'test' ELSE 'train' END AS split,
@@ -30,18 +28,16 @@ ti AS (SELECT sp.doc_id, sp.r, coalesce(list(v.id ORDER BY hw.k) FILTER (WHERE v
        FROM sp LEFT JOIN hw USING (doc_id) LEFT JOIN vocab v ON v.token = hw.token WHERE sp.split = 'train' GROUP BY sp.doc_id, sp.r),
 tn AS (SELECT count(*) AS n, count(*) // {SHARDS} AS dv, count(*) % {SHARDS} AS md FROM ti),
 sh AS (SELECT ti.*, CASE WHEN r < (dv + 1) * md THEN r // (dv + 1) ELSE md + (r - (dv + 1) * md) // greatest(dv, 1) END AS shard, dv, md FROM ti, tn),
-sb AS (SELECT sh.*, (r - CASE WHEN shard < md THEN shard * (dv + 1) ELSE (dv + 1) * md + (shard - md) * dv END) // {ROWS} AS batch FROM sh),
-cc AS (SELECT CAST(shard AS INTEGER) AS shard, CAST(batch AS BIGINT) AS batch, flatten(list(ids ORDER BY r)) AS ids FROM sb GROUP BY shard, batch)"""
+sb AS (SELECT sh.*, (r - CASE WHEN shard < md THEN shard * (dv + 1) ELSE (dv + 1) * md + (shard - md) * dv END) // {ROWS} AS batch FROM sh)"""
 
 
-def _head_split(spark, sf):
-    d = corpus.head_rows(table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), HEAD, ["doc_id"])
-    d = cut_lineage(d)
+def _split(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return cut_lineage(splits.split_random(d, TEST, SEED, ["doc_id"]))
 
 
 def _tokenized_train(spark, sf):
-    sp = _head_split(spark, sf)
+    sp = _split(spark, sf)
     v = cut_lineage(tokenizer.build_vocab(sp, "text", VOCAB))
     n_test = sp.filter(F.col("split") == "test").count()  # small scalar
     train = sp.filter(F.col("split") == "train").withColumn("row_no", F.col("shuffle_rank") - F.lit(n_test))
@@ -52,26 +48,32 @@ def _tokenized_train(spark, sf):
 
 @register("k4_split_random", sql=f"{BASE} SELECT doc_id, split, shuffle_rank FROM sp")
 def k4_split_random(spark, sf):
-    return _head_split(spark, sf).select("doc_id", "split", "shuffle_rank")
+    return _split(spark, sf).select("doc_id", "split", "shuffle_rank")
 
 
 @register("p5_concat_batches", sql=f"""{BASE}
-SELECT shard, batch, CAST(len(ids) AS INTEGER) AS n_ids, md5(array_to_string(ids, ',')) AS ids_md5, CAST(len(ids) AS BIGINT) AS mask_sum FROM cc""")
+SELECT doc_id, CAST(shard AS INTEGER) AS shard, CAST(batch AS BIGINT) AS batch, CAST(len(ids) AS INTEGER) AS n_ids,
+       CAST(coalesce(sum(len(ids)) OVER (PARTITION BY shard, batch ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS offset,
+       md5(array_to_string(ids, ',')) AS ids_md5, CAST(len(ids) AS BIGINT) AS mask_sum FROM sb""")
 def p5_concat_batches(spark, sf):
     enc, n = _tokenized_train(spark, sf)
-    cc = pack.concat_batches(enc, "row_no", ["input_ids", "attention_mask"], ROWS, SHARDS, n_rows=n)
-    return cc.select("shard", "batch", F.size("input_ids").alias("n_ids"), A.ints_md5("input_ids").alias("ids_md5"),
+    cc = pack.concat_batches(enc, "row_no", "input_ids", ROWS, SHARDS, n_rows=n)
+    return cc.select("doc_id", "shard", "batch", F.size("input_ids").alias("n_ids"), "offset", A.ints_md5("input_ids").alias("ids_md5"),
                      F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
 
 
 @register("p6_chunk_fixed", sql=f"""{BASE},
+cc AS (SELECT CAST(shard AS INTEGER) AS shard, CAST(batch AS BIGINT) AS batch, flatten(list(ids ORDER BY r)) AS ids FROM sb GROUP BY shard, batch),
 ch AS (SELECT shard, batch, ids, unnest(range(len(ids) // {CHUNK})) AS chunk FROM cc)
-SELECT shard, batch, CAST(chunk AS INTEGER) AS chunk, md5(array_to_string(ids[chunk * {CHUNK} + 1: (chunk + 1) * {CHUNK}], ',')) AS ids_md5 FROM ch""")
+SELECT shard, batch, CAST(chunk AS BIGINT) AS chunk, md5(array_to_string(ids[chunk * {CHUNK} + 1: (chunk + 1) * {CHUNK}], ',')) AS ids_md5,
+       CAST({CHUNK} AS INTEGER) AS mask_sum FROM ch""")
 def p6_chunk_fixed(spark, sf):
     enc, n = _tokenized_train(spark, sf)
-    cc = pack.concat_batches(enc, "row_no", ["input_ids", "attention_mask"], ROWS, SHARDS, n_rows=n)
-    ch = pack.chunk_fixed(cc, ["input_ids", "attention_mask"], CHUNK, keys=["shard", "batch"])
-    return ch.select("shard", "batch", "chunk", A.ints_md5("input_ids").alias("ids_md5"))
+    cc = pack.concat_batches(enc, "row_no", "input_ids", ROWS, SHARDS, n_rows=n)
+    ch = pack.pack_blocks(cc, "input_ids", ["row_no"], ["shard", "batch"], block=CHUNK).withColumnRenamed("block_id", "chunk")
+    ch = tokenizer.attention_mask(ch, "tokens")
+    mask = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
+    return ch.select("shard", "batch", "chunk", A.ints_md5("tokens").alias("ids_md5"), mask.alias("mask_sum"))
 
 
 # --- UD: user-defined functions ------------------------------------------------
@@ -100,7 +102,7 @@ WITH w AS (SELECT doc_id, unnest({S.words('text')}) AS word FROM documents)
 SELECT doc_id, word, count(*) AS n FROM w GROUP BY doc_id, word HAVING count(*) >= 20""")
 def ud3_map_batches(spark, sf):
     """UD3: a batched n -> m mapper in caller Python (frequent words per
-    document), after re-partitioning by the document key."""
+    document), in the scan's own partitions."""
 
     def fn(b: pd.DataFrame) -> pd.DataFrame:
         ex = b.assign(word=b["text"].fillna("").str.split()).explode("word").dropna(subset=["word"])
@@ -108,4 +110,4 @@ def ud3_map_batches(spark, sf):
         return c[c["n"] >= 20].astype({"n": "int64"})
 
     d = table(spark, sf, "documents").select("doc_id", "text")
-    return udf.map_batches(d, fn, "doc_id long, word string, n long", workers=8, key="doc_id")
+    return udf.map_batches(d, fn, "doc_id long, word string, n long", key="doc_id")

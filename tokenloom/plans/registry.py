@@ -26,8 +26,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's parquet tables (spread over the cores when the
-    file is too small for the reader to split)."""
+    """One of the driver's parquet tables (see ``spread_small`` for
+    local sessions)."""
     from tokenloom.sources.corpus import spread_small
 
     return spread_small(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

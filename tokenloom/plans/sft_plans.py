@@ -163,28 +163,23 @@ def k8_first_batch(spark, sf):
 
 
 MODEL_SQL = f"""{NUM_SQL},
-ti AS (SELECT cv.conv_id, cv.turn, unnest({S.words('cv.text')}) AS token, generate_subscripts({S.words('cv.text')}, 1) AS k FROM cv),
-tv AS (SELECT ti.conv_id, ti.turn, v.id, row_number() OVER (PARTITION BY ti.conv_id, ti.turn ORDER BY ti.k) AS j FROM ti JOIN vocab v USING (token)),
-mp AS (SELECT a.id AS prev, b.id AS nxt FROM tv a JOIN tv b ON a.conv_id = b.conv_id AND a.turn = b.turn AND b.j = a.j + 1),
-pc AS (SELECT prev, nxt, count(*) AS c FROM mp GROUP BY prev, nxt),
+mp AS (SELECT input_ids[i] AS prev, labels[i + 1] AS nxt FROM sp, range(1, {B}) r(i) WHERE split = 'train'),
+pc AS (SELECT prev, nxt, count(*) AS c FROM mp WHERE nxt <> -100 GROUP BY prev, nxt),
 pv AS (SELECT prev, sum(c) AS cp FROM pc GROUP BY prev),
 vv AS (SELECT count(*) + 2 AS v FROM vocab),
-va AS (SELECT conv_id, turn, input_ids, labels, row_no - (SELECT count(*) FROM sp WHERE split = 'train') AS r FROM sp WHERE split = 'val'),
-fb AS (SELECT * FROM va WHERE r < {BATCH})"""
+fb AS (SELECT conv_id, turn, input_ids, labels FROM sp WHERE split = 'val')"""
 
 
-def _sft_model(spark, sf, v):
-    c = table(spark, sf, "conversations").select(*KEYS, F.coalesce("text", F.lit("")).alias("text"))
-    enc = tokenizer.encode(c, v, KEYS, "text", carry=[])
-    pairs = ngram.doc_pairs(enc.withColumn("_k", F.struct(*KEYS)), "_k", "ids")
-    return cut_lineage(ngram.fit_next_token(pairs))
+def _sft_model(train):
+    """Count model of the unmasked targets of the training rows."""
+    pairs = sft.position_pairs(train, KEYS, "input_ids", "labels").where(F.col("target") != tokenizer.IGNORE_INDEX)
+    return cut_lineage(ngram.fit_next_token(pairs.select("prev", F.col("target").alias("next"))))
 
 
 def _val_losses(spark, sf, shifted=True):
-    _, val, _, v = _split_frames(spark, sf)
-    fb = splits.first_batch(val, 10**18, BATCH, "row_no")  # rows with row_no < BATCH
-    model = _sft_model(spark, sf, v)
-    pairs = sft.position_pairs(fb, KEYS, "input_ids", "labels", shifted=shifted)
+    train, val, _, v = _split_frames(spark, sf)
+    model = _sft_model(train)
+    pairs = sft.position_pairs(val, KEYS, "input_ids", "labels", shifted=shifted)
     return sft.masked_losses(pairs, model, tokenizer.vocab_size(v))
 
 
@@ -199,8 +194,8 @@ LOSS_SQL = """ls AS (SELECT pp.conv_id, pp.turn, pp.target <> -100 AS valid,
 SELECT conv_id, turn, CAST(sum(CAST(valid AS BIGINT)) AS BIGINT) AS n_valid,
        round(coalesce(sum(loss) / nullif(sum(CAST(valid AS BIGINT)), 0), 0.0), 6) AS masked_loss FROM ls GROUP BY conv_id, turn""")
 def g6_masked_mean_loss(spark, sf):
-    """Shifted, masked loss of every row of the first validation batch
-    under a count model of the conversation turns."""
+    """Shifted, masked loss of every validation row under a count model
+    of the training rows' targets."""
     return sft.masked_mean_loss(_val_losses(spark, sf, True), KEYS, guard=True)
 
 
@@ -208,7 +203,7 @@ def g6_masked_mean_loss(spark, sf):
 SELECT CAST(sum(CAST(valid AS BIGINT)) AS BIGINT) AS n_valid, round(sum(loss) / nullif(sum(CAST(valid AS BIGINT)), 0), 6) AS masked_loss FROM ls""")
 def g7_unshifted_masked_loss(spark, sf):
     """The older loss (label at the same position), one value for the
-    batch, no zero guard."""
+    whole validation split, no zero guard."""
     return sft.masked_mean_loss(_val_losses(spark, sf, False), (), guard=False)
 
 
@@ -216,6 +211,6 @@ def g7_unshifted_masked_loss(spark, sf):
 bl AS (SELECT coalesce(sum(loss) / nullif(sum(CAST(valid AS BIGINT)), 0), 0.0) AS l FROM ls)
 SELECT round(l, 6) AS val_loss, round(exp(l), 6) AS perplexity FROM bl""")
 def g9_perplexity(spark, sf):
-    """Validation perplexity of the SFT batch = exp(masked mean loss)."""
+    """Validation perplexity of the SFT split = exp(masked mean loss)."""
     l = sft.masked_mean_loss(_val_losses(spark, sf, True), (), guard=True, digits=12)
     return l.select(F.round("masked_loss", 6).alias("val_loss"), F.round(F.exp("masked_loss"), 6).alias("perplexity"))

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("tokenloom.spreadSmallScans", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TOKENLOOM_DRIVER_MEMORY", "16g"))
     )
@@ -41,13 +42,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the configured ``spark.checkpoint.dir``.  Only a single-process
+    session (tests, bench) gets a fresh scratch folder where it is unset: on a
+    cluster each executor would write its part to its own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:  # already set (setCheckpointDir adds a fresh sub-folder per call)
         return current
-    d = checkpoint_dir(spark) or tempfile.mkdtemp(prefix="tokenloom-ckpt-")
+    d = checkpoint_dir(spark)
+    if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("stage tables need a folder that all executors share: set spark.checkpoint.dir")
+        d = tempfile.mkdtemp(prefix="tokenloom-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -17,10 +17,11 @@ def spread_small(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster's default
     parallelism (a small input, e.g. one parquet row group) over all cores,
     so per-record work (strip, augment, word split) is not single-threaded.
-    Large inputs are already split by the reader and are left untouched
-    (no extra shuffle at scale).  Results never depend on partitioning."""
+    Only in sessions that ask for it (``tokenloom.spreadSmallScans``; local
+    tests and bench), as it is a full shuffle; elsewhere the reader's split
+    size decides.  Results never depend on partitioning."""
     spark = df.sparkSession
-    if spark.conf.get("tokenloom.spreadSmallScans", "true") != "true":
+    if spark.conf.get("tokenloom.spreadSmallScans", "false") != "true":
         return df
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:

@@ -43,7 +43,8 @@ def write_blocks(blocks: DataFrame, path: str, partition_cols=("lang",), order:
     """The token block table (the reference's memmap re-aimed as a
     table), partitioned by stream/split, ``block_id`` sorted inside files."""
     cols = list(partition_cols)
-    (blocks.repartition(*cols) if cols else blocks).sortWithinPartitions(*cols, order).write.mode("overwrite").partitionBy(*cols).parquet(path)
+    # By range of the block number too: a language is no single task.
+    blocks.repartitionByRange(*cols, order).sortWithinPartitions(*cols, order).write.mode("overwrite").partitionBy(*cols).parquet(path)
 
 
 def write_if_absent(df: DataFrame, path: str, min_bytes: int = 1) -> DataFrame:
@@ -67,11 +68,11 @@ def require_nonempty(df: DataFrame, what: str = "output", col: str | None = None
     One small job (a ``limit 1`` probe or one aggregate)."""
     if col is None:
         if df.isEmpty():
-            raise ValueError(f"No data written: {what} is empty")
+            raise ValueError(f"{what} holds no rows")
     else:
         total = df.agg(F.coalesce(F.sum(col), F.lit(0)).alias("t")).first()["t"]
         if not total:
-            raise ValueError(f"No data written: {what} has zero {col}")
+            raise ValueError(f"{what}: {col} adds up to nothing")
     return df
 
 

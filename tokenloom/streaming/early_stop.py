@@ -3,7 +3,8 @@
 ``applyInPandasWithState`` keyed by run: the state is three numbers (best,
 last improving evaluation index, stopped), so it never grows with the run.
 Evaluations are assumed to arrive in step order per run (the training loop
-emits them in order); within a micro-batch they are sorted by step.
+emits them in order); within a micro-batch they are sorted by step, over all
+Arrow chunks of the run, whatever their size and order of arrival.
 Output rows equal the batch operators W1-W3 (plus the stop flag of W4).
 """
 
@@ -30,8 +31,9 @@ def _updater(patience_limit: int):
         else:
             best, last_imp, seen, stopped = math.inf, -1, 0, False
         out = []
-        for pdf in pdfs:
-            for r in pdf.sort_values("step").itertuples(index=False):
+        frames = list(pdfs)
+        if frames:
+            for r in pd.concat(frames, ignore_index=True).sort_values(["step", "eval_idx"]).itertuples(index=False):
                 idx = int(r.eval_idx)
                 loss = float(r.loss) if r.loss is not None else math.nan
                 before_best = best
