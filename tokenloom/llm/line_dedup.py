@@ -34,7 +34,8 @@ def line_hits(docs: DataFrame, min_code_points: int) -> DataFrame:
 def dropped_lines(docs: DataFrame, min_docs: int = 10, min_code_points: int = 1) -> DataFrame:
     """doc_id, th and ``words`` (map from position div 64 to a 64-bit mask of
     dropped lines), for documents that lose lines."""
-    hits = line_hits(docs, min_code_points)
+    # Read three times (range bounds, range exchange, join back): split and hash once.
+    hits = cut_lineage(line_hits(docs, min_code_points), "line-hits")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = hits.repartitionByRange(parts, "h1", "h2", "doc_id", "th").sortWithinPartitions("h1", "h2", "doc_id", "th", "pos")
     # All lines of one key in one document are in one range, so this needs no
