@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import exact_dedup, near_dedup, packing, quality, substring_dedup
-from tokenloom.llm.common import LOWER, UPPER, read
+from tokenloom.llm.common import LOWER, UPPER, read, text_hashes
 from tokenloom.session import cut_lineage
 
 
@@ -37,10 +37,25 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    gone = near_dedup.near_dedup(docs, shingle=5, percent=80).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = cut_lineage(gone, "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """One document of each group of near copies; of rows that also share
+    doc_id and text, one."""
+    near = cut_lineage(near_dedup.near_dedup(docs, shingle=5, percent=80).select("doc_id", "h1", "h2", "kept", "class_key"), "near-kept")
+    gone = near.where("not kept").select("doc_id", "h1", "h2").distinct().alias("gone")
+    repeated = near.where("kept and class_key is not null").groupBy("doc_id", "h1", "h2").count().where("count > 1").alias("repeated")
+    # A row is known by its id and text: ids alone can be null or have several texts.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    h1, h2 = text_hashes(F.coalesce("row.text", F.lit("")))
+    rows = docs.select(row).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), h1, h2).alias("rows")
+
+    def same(other: str):
+        ids = F.col("rows.doc_id").eqNullSafe(F.col(f"{other}.doc_id"))
+        return ids & (F.col("rows.h1") == F.col(f"{other}.h1")) & (F.col("rows.h2") == F.col(f"{other}.h2"))
+
+    stay = rows.join(gone, same("gone"), "left_anti").alias("rows")
+    if not repeated.isEmpty():
+        one = stay.join(repeated, same("repeated"), "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
+        stay = stay.join(repeated, same("repeated"), "left_anti").unionByName(one)
+    return stay.select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

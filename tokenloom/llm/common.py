@@ -26,6 +26,11 @@ def doc_key():
     return F.xxhash64("text").alias("th")
 
 
+def text_hashes(col):
+    """``h1``, ``h2``: 128 bits that tell texts apart."""
+    return F.xxhash64(col).alias("h1"), F.xxhash64(F.lit(1), col).alias("h2")
+
+
 def id_crc():
     """crc32 of the id as text (null id: of the empty text)."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))

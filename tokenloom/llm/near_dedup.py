@@ -9,9 +9,11 @@ Equal sets fold into one representative first.  A band is never expanded into
 all pairs: its members are compared with a leader, components are joined, and
 only members still in different components of a band are compared further.
 
-Null or blank text has an empty set and no links.  Null ids are not told
-apart: a class goes by its smallest id that is not null, and a component led
-by a document without id has a null component_id.  Repeated rows are copies.
+Null or blank text has an empty set and no links.  A document is a doc_id and
+a text: a component keeps one, also where ids are null or one id has several
+texts.  The kept one has the component's smallest id that is not null, which
+is the component_id (null if none has an id).  Rows that repeat doc_id and text
+are one document, and each gets the same result.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordHash, id_text, mix64, window_hashes, words
+from tokenloom.llm.common import WordHash, id_text, mix64, text_hashes, window_hashes, words
 from tokenloom.session import cut_lineage
 
 RING = 1 << 20
-NO_ID = -(1 << 62)  # nodes of classes without any doc_id are below this
+NO_ID = -(1 << 62)  # nodes of classes without a doc_id of their own are below this
 _RINGS: dict = {}
 
 
@@ -65,18 +67,18 @@ def _sets(size: int, with_set: bool):
             for at in range(0, len(pdf), 500):
                 part, out = pdf.iloc[at : at + 500], []
                 seen: set[bytes] = set()
-                for doc_id, text in zip(part["doc_id"], part["text"]):
+                for doc_id, text, h1, h2 in zip(part["doc_id"], part["text"], part["h1"], part["h2"]):
                     s = shingle_set(text, size, memo)
                     key = set_key(s)
                     if not with_set:
-                        out.append((None if pd.isna(doc_id) else int(doc_id), len(s), key if len(s) else None))
+                        out.append((None if pd.isna(doc_id) else int(doc_id), h1, h2, len(s), key if len(s) else None))
                     elif len(s) and key not in seen:
                         seen.add(key)
                         out.append((key, s.view(np.int64)))
                 if with_set:
                     yield pd.DataFrame(out, columns=["key", "shingles"])
                 else:
-                    yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "key"]).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(out, columns=["doc_id", "h1", "h2", "n_shingles", "key"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -140,21 +142,23 @@ def join_components(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 36, rows: int = 5, star_rounds: int = 2) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, class_key.
+    """One row per input row: doc_id, n_shingles, component_id, kept, h1, h2
+    (128 bits of the text's hash), class_key.
 
     Links join sets with 100 * intersection >= percent * union.  With 36 bands
     of 5 a pair at 0.8 shares no band with probability 6e-7.
     """
-    base = id_text(docs)
-    members = cut_lineage(base.mapInPandas(_sets(shingle, False), "doc_id long, n_shingles long, key binary"), "near-members")
+    base = id_text(docs).select("doc_id", "text", *text_hashes("text"))
+    members = cut_lineage(base.mapInPandas(_sets(shingle, False), "doc_id long, h1 long, h2 long, n_shingles long, key binary"), "near-members")
     full = members.where("key is not null")
-    # A class of equal sets goes by its smallest doc_id; one without any by a hash below NO_ID.
-    classes = cut_lineage(
-        full.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n")).select(
-            "key", "least", "n", F.coalesce("least", NO_ID - F.shiftrightunsigned(F.xxhash64("key"), 2)).alias("node")
-        ),
-        "near-classes",
-    )
+    # A class of equal sets goes by its smallest doc_id; one without any, or
+    # whose smallest is that of other classes too, by a hash below NO_ID.
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("lead")
+    found = cut_lineage(full.groupBy("key").agg(lead, F.first("n_shingles").alias("n")), "near-found")
+    several = found.where("lead.doc_id is not null").groupBy(F.col("lead.doc_id").alias("least")).count().where("count > 1").select("least")
+    own = found.join(several, F.col("lead.doc_id") == F.col("least"), "left").withColumn("own", F.when(F.col("least").isNull(), F.col("lead.doc_id")))
+    node = F.coalesce("own", NO_ID - F.shiftrightunsigned(F.xxhash64("key"), 2)).alias("node")
+    classes = cut_lineage(own.select("key", "lead", "n", node), "near-classes")
     raw = base.mapInPandas(_sets(shingle, True), "key binary, shingles array<long>").groupBy("key").agg(F.first("shingles").alias("shingles"))
     sets = cut_lineage(raw.join(classes, "key").select("node", "n", "shingles"), "near-sets")
     banded = cut_lineage(sets.mapInPandas(_bands(bands, rows), "node long, n long, band long"), "near-bands")
@@ -184,11 +188,18 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int
 
     roots = labels.where("node <> label")
     root = F.coalesce("label", "node")
-    whole = cut_lineage(classes.join(roots, "node", "left").select("key", F.when(root >= NO_ID, root).alias("root")), "near-roots")
+    whole = cut_lineage(classes.join(roots, "node", "left").select("key", "node", "lead", root.alias("root")), "near-roots")
+    plain = whole.where(F.col("root") >= NO_ID).select("key", F.col("root").alias("component_id"), F.when(F.col("node") == F.col("root"), F.col("lead")).alias("lead"))
+    hashed = whole.where(F.col("root") < NO_ID)  # the root's place says nothing about ids
+    first = hashed.groupBy("root").agg(F.min("lead").alias("lead"))
+    whole = plain.unionByName(hashed.select("key", "root").join(first, "root").select("key", F.col("lead.doc_id").alias("component_id"), "lead"))
+    leads = F.col("doc_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("h1") == F.col("lead.h1")) & (F.col("h2") == F.col("lead.h2"))
     return members.join(whole, "key", "left").select(
         "doc_id",
         "n_shingles",
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("root")).alias("component_id"),
-        (F.col("key").isNull() | F.col("doc_id").eqNullSafe(F.col("root"))).alias("kept"),
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (F.col("key").isNull() | (F.col("lead").isNotNull() & leads)).alias("kept"),
+        "h1",
+        "h2",
         "key",
     ).withColumnRenamed("key", "class_key")

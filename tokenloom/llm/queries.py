@@ -70,7 +70,7 @@ ORACLE["op7_exact_dedup"] = exact_dedup.ORACLE_SQL
 
 @query
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(read(spark, sf_dir, "documents"), shingle=4, percent=80).drop("class_key")
+    return near_dedup.near_dedup(read(spark, sf_dir, "documents"), shingle=4, percent=80).drop("h1", "h2", "class_key")
 
 
 @query
