@@ -124,7 +124,8 @@ def standardize_vectors(df: DataFrame, vec: str = "embedding", eps: float = 1e-5
     return d.drop("_x", "_mean", "_den")
 
 
-def lookup_vectors(ids: DataFrame, vectors: DataFrame, token: str = "token", key: str = "vec_id") -> DataFrame:
-    """Attach the vector of every token id (inner equi-join; the vector
-    table is bounded by the vocabulary, so it is broadcast)."""
-    return ids.join(F.broadcast(vectors.withColumnRenamed(key, token)), token, "inner")
+def lookup_vectors(ids: DataFrame, vectors: DataFrame, token: str = "token", key: str = "vec_id", how: str = "left") -> DataFrame:
+    """Attach the vector of every token id; an id without a vector keeps
+    its row, with nulls (``how="inner"`` drops it).  The vector table grows
+    with the data, so it is not broadcast by hint."""
+    return ids.join(vectors.withColumnRenamed(key, token), token, how)

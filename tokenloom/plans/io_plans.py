@@ -193,8 +193,8 @@ def t1_train_bpe(spark, sf):
 @register("t4_encode_bpe")
 def t4_encode_bpe(spark, sf):
     vocab, merges = _bpe(spark, sf)
-    bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    enc = bpe.encode_bpe(bench, vocab, merges, "doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    enc = bpe.encode_bpe(docs, vocab, merges, "doc_id", "text")
     return enc.select("doc_id", F.size("ids").alias("n_ids"), A.ints_md5("ids").alias("ids_md5"))
 
 
