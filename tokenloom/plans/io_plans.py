@@ -114,14 +114,14 @@ def s4_stream_corpus(spark, sf):
     return spark.read.parquet(out).select(*_out_text())
 
 
-def _stream_prepared(spark, sf, runs: int = 1):
+def _stream_prepared(spark, sf, runs: int = 1, progress: str | None = None):
     s = prepare.stream_corpus(spark, sf, _doc_schema(spark, sf), glob="documents.parquet")
     p = prepare.stream_prepare(s.select("doc_id", "lang", "text"), "doc_id", "text", FL.MIN_CHARS, T.EN_COUNT_DELIM, FL.MIN_MARKS,
                                T.EN_SENTENCE_DELIM, FL.DROP_P, FL.SEED)
     out, ck = stage_path(spark, "stream-prep"), stage_path(spark, "stream-prep-ckpt")
     q = None
     for _ in range(runs):
-        q = prepare.run_available(p, out, ck)
+        q = prepare.run_available(p, out, ck, progress=progress)
     return spark.read.parquet(out), q
 
 
@@ -140,8 +140,9 @@ def st3_stream_resume(spark, sf):
 
 @register("st4_stream_progress")
 def st4_stream_progress(spark, sf):
-    _, q = _stream_prepared(spark, sf)
-    return prepare.progress_rows(spark, q)
+    path = stage_path(spark, "stream-progress")
+    _stream_prepared(spark, sf, progress=path)
+    return spark.read.parquet(path)
 
 
 @register("st2_stream_chunks")

@@ -38,10 +38,13 @@ def stream_prepare(stream: DataFrame, key: str = "doc_id", col: str = "text", mi
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_cols=(),
-                  state_partitions: int | None = None):
+                  state_partitions: int | None = None, progress: str | None = None):
     """ST3: process everything available now into a file sink and stop;
     re-running with the same checkpoint resumes where it stopped.  Returns
-    the finished query (its ``recentProgress`` holds the ST4 counters).
+    the finished query (its ``recentProgress`` holds the last ST4 counters).
+
+    ``progress``: table to which the ST4 counters of every batch are appended
+    while the query runs (see :func:`record_progress`).
 
     ``state_partitions``: number of state-store partitions of a stateful
     query.  Spark fixes it from ``spark.sql.shuffle.partitions`` when the
@@ -58,6 +61,8 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "par
         q = w.trigger(availableNow=True).start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+    if progress:
+        record_progress(q, spark, progress)
     q.awaitTermination()
     return q
 
@@ -80,11 +85,41 @@ def stream_chunks(stream: DataFrame, path: str, checkpoint: str, order: str = "d
     return q
 
 
+PROGRESS_SCHEMA = "batch_id long, num_input_rows long, input_rows_per_sec double, processed_rows_per_sec double"
+
+
+def _progress_row(p) -> tuple:
+    return int(p["batchId"]), int(p["numInputRows"]), float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0)
+
+
+def record_progress(query, spark: SparkSession, path: str, every: float = 0.1, flush: int = 1000) -> None:
+    """ST4: append the counters of every batch of a running query to a table.
+
+    Spark keeps only the last updates, so they are read while the query runs
+    and at most ``flush`` rows wait on the driver.  Should a stall let updates
+    go unread, this fails rather than leave a gap."""
+    spark.createDataFrame([], PROGRESS_SCHEMA).write.mode("append").parquet(path)
+    rows, last, gap, done = [], None, None, False
+    while not done:
+        done = not query.isActive  # read once more after the end
+        updates = list(query.recentProgress)
+        ids = [(p["batchId"], p["timestamp"]) for p in updates]
+        at = ids.index(last) + 1 if last in ids else 0
+        if last and not at and updates and updates[0]["batchId"] > last[0] + 1:
+            gap = gap or (last[0], updates[0]["batchId"])
+        rows += [_progress_row(p) for p in updates[at:]]
+        last = ids[-1] if ids else last
+        if rows and (done or len(rows) >= flush):
+            spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+            rows = []
+        if not done:
+            query.awaitTermination(every)
+    if gap:
+        raise RuntimeError(f"progress of the batches between {gap[0]} and {gap[1]} was not read in time")
+
+
 def progress_rows(spark: SparkSession, query) -> DataFrame:
-    """ST4: the streaming query's progress counters as a DataFrame
-    ``(batch_id, num_input_rows, input_rows_per_sec, processed_rows_per_sec)``."""
-    rows = [
-        (int(p["batchId"]), int(p["numInputRows"]), float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0))
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, "batch_id long, num_input_rows long, input_rows_per_sec double, processed_rows_per_sec double")
+    """ST4: the last progress counters that Spark keeps of a query, as a
+    DataFrame ``(batch_id, num_input_rows, input_rows_per_sec,
+    processed_rows_per_sec)``; :func:`record_progress` has those of all batches."""
+    return spark.createDataFrame([_progress_row(p) for p in query.recentProgress], PROGRESS_SCHEMA)
