@@ -70,7 +70,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, max_len=2048, special_as_text=True)
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, max_len=2048)
 
 
 STAGES = [

@@ -44,9 +44,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(
-        read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, max_len=2048, special_as_text=True
-    )
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, max_len=2048)
 
 
 @query
