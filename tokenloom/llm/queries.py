@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import byte_bpe, chat_format, exact_dedup, hmm_lm, license_scan, line_dedup, near_dedup, packing, periodic_runs, quality, substring_dedup, topk_search
+from tokenloom.llm import byte_bpe, chat_format, collocations, exact_dedup, hmm_lm, license_scan, line_dedup, near_dedup, packing, periodic_runs, quality, substring_dedup, topk_search
 from tokenloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
+
+
+ORACLE["op11_collocations"] = collocations.ORACLE_SQL
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
