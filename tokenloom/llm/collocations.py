@@ -1,13 +1,16 @@
 """Phrase collocations from sorted count streams.
 
-Phrases of up to five words are counted level by level.  Each task counts the
+Phrases of up to five words are counted in three passes.  Each task counts the
 windows of its documents on word ids and sends one partial count per phrase;
-the partial counts are range-partitioned and sorted in prefix order, and equal
-neighbours of the sorted stream are summed.  A phrase can only be frequent if
-its words and word pairs are, so later levels look at chains of frequent pairs
-alone: an exact reduction.  Tasks know the frequent words and pairs by a bitmap
-of ``filter_bits`` bits, whatever the corpus (2 MB by default; false positives
-are counted and fall out in the merge, nothing frequent is ever missed).
+the partial counts are partitioned and sorted in prefix order, and equal
+neighbours of the sorted streams are summed.  A phrase can only be frequent if
+its words and word pairs are: the first pass counts words; the second pairs of
+frequent words, as 64-bit numbers (two pairs that share one only add to each
+other's count); the third looks at chains of such pairs alone and counts all
+phrases of two words and more by their words.  This reduction is exact.  Tasks
+know the frequent words and pairs by a bitmap of ``filter_bits`` bits, whatever
+the corpus (2 MB by default): what passes it in vain is counted and falls out
+in the last merge, and nothing frequent is ever missed.
 
 The frequent phrases are one count stream.  Every cut of a candidate is
 merge-joined with it twice: sorted by the part before the cut (prefix order,
@@ -98,8 +101,8 @@ def pair_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Counter:
     """Counts windows of one language: ids of words, partial counts by order."""
 
-    def __init__(self, lang: str, orders: tuple[int, ...], frequent: Bits | None, pairs: Bits | None):
-        self.lang, self.orders, self.frequent, self.pairs = lang, orders, frequent, pairs
+    def __init__(self, lang: str, orders: tuple[int, ...], frequent: Bits | None, pairs: Bits | None, as_hashes: bool = False):
+        self.lang, self.orders, self.frequent, self.pairs, self.as_hashes = lang, orders, frequent, pairs, as_hashes
         self.seed = xxhash.xxh64_intdigest(lang.encode())
         self.reset()
 
@@ -108,28 +111,29 @@ class Counter:
         self.words: list[bytes] = []
         self.hashes: list[int] = []
         self.windows: dict[int, list[np.ndarray]] = {m: [] for m in self.orders}
-        self.held = 0
+        self.held, self.tokens = 0, 0
         self.tail: list[bytes] = []
 
-    def _id(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, self.seed)
-        if self.frequent is not None and not self.frequent.has(np.array([h], np.uint64))[0]:
-            self.ids[word] = -1  # a word that is too rare breaks windows as an end of piece does
-        else:
-            self.ids[word] = len(self.words)
-            self.words.append(word)
-            self.hashes.append(h)
-        return self.ids[word]
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids for words not seen before; a word that is too rare breaks windows as an end of piece does."""
+        hashes = [xxhash.xxh64_intdigest(w, self.seed) for w in new]
+        common = self.frequent.has(np.array(hashes, np.uint64)).tolist() if self.frequent is not None else [True] * len(new)
+        for word, h, ok in zip(new, hashes, common):
+            if ok:
+                self.ids[word] = len(self.words)
+                self.words.append(word)
+                self.hashes.append(h)
+            else:
+                self.ids[word] = -1
 
     def feed(self, chunk: bytes, goes_on: bool) -> None:
         tokens = chunk.replace(b"\n", b" \n ").split(b" ")
         if not goes_on:
             self.tail = []
         ids = self.ids
-        for w in set(tokens).difference(ids):
-            self._id(w)
+        self._learn(list(set(tokens).union(self.tail).difference(ids)))
         t = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-        before = np.array([ids[w] if w in ids else self._id(w) for w in self.tail], np.int64)
+        before = np.array([ids[w] for w in self.tail], np.int64)
         t = np.concatenate((before, t[t != -2]))
         reach, kept = max(self.orders), []
         last = self.tail if reach > 1 else []
@@ -140,6 +144,7 @@ class Counter:
                 kept.append(w)
         self.tail = [*last, *reversed(kept)][-(reach - 1) :] if reach > 1 else []
         whole = t >= 0
+        self.tokens += len(tokens) - tokens.count(b"") - tokens.count(b"\n")
         steps = None
         if self.pairs is not None:
             h = np.array(self.hashes, np.uint64)
@@ -163,6 +168,8 @@ class Counter:
         return self.held >= MOST_WINDOWS or len(self.ids) >= MOST_WORDS
 
     def drain(self) -> Iterator[pd.DataFrame]:
+        if self.orders == (1,) and self.tokens:  # all words: the phrase of none
+            yield pd.DataFrame({"lang": self.lang, "phrase": "", "m": np.int32(0), "c": [self.tokens]})
         for m, parts in self.windows.items():
             if not parts:
                 continue
@@ -172,6 +179,10 @@ class Counter:
                 code = np.unique(code * len(self.words) + w[j], return_inverse=True)[1]
             _, first, counts = np.unique(code, return_index=True, return_counts=True)
             rows = w[:, first]
+            if self.as_hashes:
+                h = np.array(self.hashes, np.uint64)
+                yield pd.DataFrame({"h": pair_hash(h[rows[0]], h[rows[1]]).view(np.int64), "c": counts})
+                continue
             names = [list(map(self.words.__getitem__, r.tolist())) for r in rows]
             phrases = [b" ".join(p).decode("utf-8") for p in zip(*names)]
             yield pd.DataFrame({"lang": self.lang, "phrase": phrases, "m": np.int32(m), "c": counts})
@@ -180,8 +191,9 @@ class Counter:
         self.tail = tail
 
 
-def _count(orders: tuple[int, ...], frequent=None, pairs=None):
-    """mapInPandas over lang, text: partial counts.  The filters are broadcast variables."""
+def _count(orders: tuple[int, ...], frequent=None, pairs=None, as_hashes: bool = False):
+    """mapInPandas over lang, text: partial counts (of the hashes of pairs, if
+    asked).  The filters are broadcast variables."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Bits(frequent.value) if frequent is not None else None
@@ -189,7 +201,7 @@ def _count(orders: tuple[int, ...], frequent=None, pairs=None):
         counters: dict[str, Counter] = {}
         for pdf in batches:
             for lang, texts in pdf.groupby("lang", sort=False)["text"]:
-                counter = counters.setdefault(lang, Counter(lang, orders, known, linked))
+                counter = counters.setdefault(lang, Counter(lang, orders, known, linked, as_hashes))
                 for chunk, goes_on in chunks(texts):
                     counter.feed(chunk, goes_on)
                     if counter.full():
@@ -204,54 +216,70 @@ def _count(orders: tuple[int, ...], frequent=None, pairs=None):
     return run
 
 
-def _sum_equal(min_count: int):
-    """mapInArrow over a sorted stream of partial counts: one row per phrase
-    with at least ``min_count``, and its hash (words and pairs)."""
+def _runs(b: pa.RecordBatch, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Where a new key begins in a sorted batch, and the counts summed by key."""
+    turn = np.ones(b.num_rows, bool)
+    if b.num_rows > 1:
+        turn[1:] = False
+        for k in keys:
+            c = b.column(k)
+            turn[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(turn)
+    return starts, np.add.reduceat(b.column("c").to_numpy(zero_copy_only=False), starts)
+
 
-    def rows(lang: list, phrase: list, m: list, f: list) -> pa.RecordBatch:
-        hashes = []
-        for g, p, k in zip(lang, phrase, m):
-            h = [word_hash(g.encode(), w) for w in p.encode().split(b" ")] if k <= 2 else [0]
-            if k == 2:
-                h = pair_hash(np.array(h[:1], np.uint64), np.array(h[1:], np.uint64)).tolist()
-            hashes.append(h[0])
-        h = np.array(hashes, np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(m, pa.int32()), pa.array(f, pa.int64()), pa.array(h, pa.int64())],
-            names=["lang", "phrase", "m", "f", "h"],
-        )
+def _sum_equal(keys: list[str], min_count: int):
+    """mapInArrow over a stream that is sorted by ``keys``: each key once, with
+    its counts summed, if they reach ``min_count`` (rows with m = 0 in any
+    case).  The last key of a batch may go on in the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # the phrase that may go on in the next batch
+        held: pa.RecordBatch | None = None  # one row
         for b in batches:
             if not b.num_rows:
                 continue
-            lang, phrase, m, c = b.columns
-            starts = np.zeros(1, np.int64)
-            if b.num_rows > 1:
-                turn = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(phrase[1:], phrase[:-1])).to_numpy(zero_copy_only=False)
-                starts = np.concatenate((starts, np.flatnonzero(turn) + 1))
-            sums = np.add.reduceat(c.to_numpy(zero_copy_only=False), starts)
-            if last is not None:
-                if (last[0], last[1]) == (lang[0].as_py(), phrase[0].as_py()):
-                    sums[0] += last[3]
-                elif last[3] >= min_count:
-                    yield rows(*([x] for x in last))
-            keep = np.flatnonzero(sums[:-1] >= min_count)
-            at = pa.array(starts[keep])
-            yield rows(lang.take(at).to_pylist(), phrase.take(at).to_pylist(), m.take(at).to_pylist(), sums[keep].tolist())
-            z = int(starts[-1])
-            last = (lang[z].as_py(), phrase[z].as_py(), m[z].as_py(), int(sums[-1]))
-        if last is not None and last[3] >= min_count:
-            yield rows(*([x] for x in last))
+            if held is not None:
+                b = pa.concat_batches([held, b.cast(held.schema)])
+            starts, sums = _runs(b, keys)
+            summed = b.take(pa.array(starts)).set_column(b.schema.get_field_index("c"), "c", pa.array(sums))
+            held = summed.slice(len(starts) - 1)
+            yield kept(summed.slice(0, len(starts) - 1))
+        if held is not None:
+            yield kept(held)
+
+    def kept(b: pa.RecordBatch) -> pa.RecordBatch:
+        enough = pc.greater_equal(b.column("c"), min_count)
+        if "m" in b.schema.names:
+            enough = pc.or_(enough, pc.equal(b.column("m"), 0))
+        return b.filter(enough)
 
     return run
 
 
 def merged(partial: DataFrame, min_count: int) -> DataFrame:
-    """lang, phrase, m, f, h of the phrases that occur ``min_count`` times or more, in prefix order."""
-    ordered = partial.repartitionByRange(F.col("lang"), F.col("phrase")).sortWithinPartitions("lang", "phrase")
-    return ordered.mapInArrow(_sum_equal(min_count), "lang string, phrase string, m int, f long, h long")
+    """lang, phrase, m, c of the phrases that occur ``min_count`` times or more.
+
+    A phrase comes at most once from each table that a task drains, so a
+    frequent one fills no partition."""
+    ordered = partial.repartition("phrase", "lang").sortWithinPartitions("phrase", "lang")
+    return ordered.mapInArrow(_sum_equal(["phrase", "lang"], min_count), PARTIAL)
+
+
+def merged_hashes(partial: DataFrame, min_count: int) -> DataFrame:
+    """h of the pairs that may occur ``min_count`` times."""
+    ordered = partial.repartition("h").sortWithinPartitions("h")
+    return ordered.mapInArrow(_sum_equal(["h"], min_count), "h long, c long").select("h")
+
+
+def _word_hashes(phrases: DataFrame) -> DataFrame:
+    """h of one-word phrases, as tasks compute it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            h = [word_hash(g.encode(), w.encode()) for g, w in zip(pdf["lang"], pdf["phrase"])]
+            yield pd.DataFrame({"h": np.array(h, np.uint64).view(np.int64)})
+
+    return phrases.select("lang", "phrase").mapInPandas(run, "h long")
 
 
 def _bitmap(spark: SparkSession, hashes: DataFrame, filter_bits: int):
@@ -270,23 +298,18 @@ def phrase_counts(docs: DataFrame, min_count: int, max_words: int = 5, filter_bi
         raise ValueError("filter_bits is a power of two, 64 at least")
     spark = docs.sparkSession
     base = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    partial = cut_lineage(base.mapInPandas(_count((1,)), PARTIAL), "phrase-words")
-    totals = cut_lineage(partial.groupBy("lang").agg(F.sum("c").alias("n")), "phrase-totals")
-    levels = [cut_lineage(merged(partial, min_count), "phrases-1")]
+    words = cut_lineage(merged(base.mapInPandas(_count((1,)), PARTIAL), min_count), "phrase-words")
+    totals = words.where("m = 0").select("lang", F.col("c").alias("n"))
+    out = words.where("m = 1")
     if max_words >= 2:
-        known = _bitmap(spark, levels[0], filter_bits)
-        partial = cut_lineage(base.mapInPandas(_count((2,), known), PARTIAL), "phrase-pairs")
-        levels.append(cut_lineage(merged(partial, min_count), "phrases-2"))
-        if max_words >= 3:
-            linked = _bitmap(spark, levels[1], filter_bits)
-            partial = cut_lineage(base.mapInPandas(_count(tuple(range(3, max_words + 1)), known, linked), PARTIAL), "phrase-chains")
-            levels.append(cut_lineage(merged(partial, min_count), "phrases-3"))
-            linked.unpersist()
+        known = _bitmap(spark, _word_hashes(out), filter_bits)
+        pairs = base.mapInPandas(_count((2,), known, as_hashes=True), "h long, c long")
+        linked = _bitmap(spark, cut_lineage(merged_hashes(pairs, min_count), "phrase-pairs"), filter_bits)
+        longer = base.mapInPandas(_count(tuple(range(2, max_words + 1)), known, linked), PARTIAL)
+        out = out.unionByName(cut_lineage(merged(longer, min_count), "phrases"))
         known.unpersist()
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out.drop("h"), totals
+        linked.unpersist()
+    return out.withColumnRenamed("c", "f"), totals
 
 
 def collocations(
