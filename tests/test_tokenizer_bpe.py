@@ -1,7 +1,10 @@
 """Vocabulary, encode/decode, padding, line groups and BPE training."""
 
+import random
+import time
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.operators import bpe, tokenizer
@@ -157,3 +160,82 @@ def test_doc_line_groups_equal_line_groups(spark):
     ref = tokenizer.line_groups(spark.createDataFrame(lines, "line_no long, line string"), "line_no", "line", 3)
     got = tokenizer.doc_line_groups(df, "doc_id", "text", 3)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def _library_vocab(items, size, whitespace):
+    from tokenizers import Tokenizer, models, pre_tokenizers, trainers
+
+    tk = Tokenizer(models.BPE())
+    if whitespace:
+        tk.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tk.train_from_iterator(items, trainers.BpeTrainer(vocab_size=size, special_tokens=["<|endoftext|>", "<pad>"], show_progress=False))
+    return [t for t, _ in sorted(tk.get_vocab().items(), key=lambda kv: kv[1])], tk
+
+
+def _lines(n, seed=3):
+    rnd = random.Random(seed)
+    parts = ["th", "e", "in", "on", "er", "re", "at", "Ä", "ou", "日本", "zz"]
+    words = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 4))) for _ in range(150)]
+    return [" ".join(rnd.choices(words, range(150, 0, -1), k=rnd.randint(1, 14))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("pretokenize", ["whitespace", "none"])
+def test_incremental_training_equals_the_library(spark, pretokenize):
+    """Several snapshots and recounts, a few hundred merges, then the encodings."""
+    lines = _lines(400)
+    docs = ["\n".join(lines[i : i + 10]) for i in range(0, len(lines), 10)]
+    items = docs if pretokenize == "whitespace" else [x + "\n" if j < 9 else x for d in docs for j, x in enumerate(d.split("\n"))]
+    size = 420
+    want, tk = _library_vocab(items, size, pretokenize == "whitespace")
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    vocab, merges = bpe.train_bpe(df, "text", size, pretokenize=pretokenize, top_pairs=120, snapshot_every=50)
+    assert [r["token"] for r in vocab.orderBy("id").collect()] == want
+    rounds = merges.agg(F.max("round")).first()[0] + 1
+    assert rounds < 0.7 * merges.count()  # several merges a round
+    enc = {r["doc_id"]: list(r["ids"]) for r in bpe.encode_bpe(df, vocab, merges, "doc_id", "text", pretokenize).collect()}
+    for i, d in enumerate(docs):
+        own = [d] if pretokenize == "whitespace" else [x + "\n" if j < 9 else x for j, x in enumerate(d.split("\n"))]
+        assert enc[i] == [t for x in own for t in tk.encode(x).ids]
+
+
+def test_training_until_no_pair_is_left(spark):
+    df = spark.createDataFrame([(0, "abcab abcab ab xyz"), (1, None)], "doc_id long, text string")
+    vocab, merges = bpe.train_bpe(df, "text", 500, top_pairs=2)
+    want, _ = _library_vocab(["abcab abcab ab xyz"], 500, True)
+    assert [r["token"] for r in vocab.orderBy("id").collect()] == want
+    empty, none = bpe.train_bpe(df.limit(0), "text", 500)
+    assert empty.count() == 2 and none.count() == 0
+
+
+def _sequential_encode(sym, ranks):
+    while True:
+        found = [(ranks[bpe.pair_code(a, b)], i) for i, (a, b) in enumerate(zip(sym, sym[1:])) if bpe.pair_code(a, b) in ranks]
+        if not found:
+            return sym
+        (_, c), i = min(found)
+        sym = [*sym[:i], c, *sym[i + 2 :]]
+
+
+def test_heap_merges_equal_sequential_merges():
+    rnd = random.Random(1)
+    for _ in range(300):
+        k, ranks, top = rnd.choice([1, 2, 4]), {}, 10
+        for r in range(rnd.choice([0, 1, 5, 30])):
+            pair = bpe.pair_code(rnd.choice([*range(k), *range(10, top)]), rnd.choice([*range(k), *range(10, top)]))
+            if pair not in ranks:
+                ranks[pair] = (r, top)
+                top += 1
+        sym = [rnd.randrange(k) for _ in range(rnd.choice([0, 1, 2, 40]))]
+        assert bpe.apply_merges(sym, ranks) == _sequential_encode(list(sym), ranks)
+
+
+def test_long_line_encodes_quickly():
+    """100,000 characters that merge into ever longer tokens."""
+    ranks, rnd = {bpe.pair_code(i % 4, (i * 7) % 4): (i, 100 + i) for i in range(16)}, random.Random(2)
+    for i in range(16, 400):
+        ranks.setdefault(bpe.pair_code(100 + rnd.randrange(i - 15), 100 + rnd.randrange(i - 15)), (i, 100 + i))
+    sym = [rnd.randrange(4) for _ in range(100_000)]
+    begun = time.perf_counter()
+    out = bpe.apply_merges(sym, ranks)
+    assert time.perf_counter() - begun < 1.0
+    assert len(out) < 90_000

@@ -1,30 +1,31 @@
 """Byte-pair-encoding tokenizer training and encoding (T1, T4/T5 BPE path, S12).
 
-Training works on **distinct units** ``(unit, count, symbols)`` so the corpus
-is read once (``groupBy(unit).count()``); every later round only touches that
-frame.  Units are white-space words (``pretokenize="whitespace"``) or whole
-lines including their newline (``"none"``, the reference trainer has no
-pre-tokenizer).
-
-Exact batched rounds (SURVEY 7.4): pair counts are aggregated natively
-(``explode`` of zipped neighbours + ``groupBy`` with partial aggregation);
-only the top ``top_pairs`` pairs (bounded) reach the driver, sorted by
-``(count desc, left asc, right asc)``.  The longest prefix of pairwise
-disjoint pairs is merged in one round (stopping at the first conflict; a
-pair ``(a, a)`` only alone), which equals sequential BPE.  The merge itself
-is a JVM ``aggregate`` over the symbol array with a small literal map of the
-round's merges, evaluated only for units holding a merged left symbol
-(``arrays_overlap``); the state is re-materialised every round
-(``lineage_every``) because higher-order functions are interpreted and a
-chain of rounds would be re-evaluated by every later round.
+Training works on **distinct units** ``(unit, count)``, so the corpus is read
+once (``groupBy(unit).count()``).  Units are white-space words
+(``pretokenize="whitespace"``) or whole lines including their newline
+(``"none"``, the reference trainer has no pre-tokenizer).
+
+The units lie in segments, each with an inverted index from symbol pairs to
+units (``bpe_units.Segment``).  A round sends the segments a short list of
+merges; each segment looks up the units that hold one of the pairs, applies the
+merges to those alone and returns signed changes of the pair counts, one set
+per merge.  The driver keeps the ``top_pairs`` most frequent pairs and sums the
+changes: after each merge it knows the counts as sequential training would, so
+it accepts the list as far as each merge is the most frequent pair at its turn
+(ties: smaller ids first).  Pairs that it does not keep come later in that order
+than all that it keeps, and can only sink; when the kept ones run out, all pairs
+are counted anew.  Segments are written anew with the merges applied every
+``snapshot_every`` merges; between, they do not change.
 
 Special tokens get ids ``0..``, then the alphabet in code-point order, then
-merges in order; characters outside the alphabet vanish on encode.
+merged tokens in order; a merge that spells an existing token takes its id.
+Characters outside the alphabet vanish on encode.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush, nsmallest
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,10 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from tokenloom.functions import text as T
+from tokenloom.operators.bpe_units import SEGMENT_FIELDS, Segment, apply_merges, pair_code
 from tokenloom.operators.tokenizer import DEFAULT_SPECIALS, VOCAB_SCHEMA
 from tokenloom.session import cut_lineage
 
-PAIR_KEY = 1 << 21  # ids stay below 2^21, so left * 2^21 + right is unique
+SEGMENT_SYMBOLS = 1 << 20  # symbols that a segment holds, about
+MOST_STEPS = 64  # merges that a round tries
 
 MERGES_SCHEMA = Ty.StructType(
     [
@@ -48,136 +51,272 @@ MERGES_SCHEMA = Ty.StructType(
 )
 
 
+def _unit_list(col, pretokenize: str) -> F.Column:
+    if pretokenize == "whitespace":
+        return T.whitespace_words(col)
+    if pretokenize == "none":
+        return F.regexp_extract_all(F.col(col), F.lit("[^\\n]*\\n|[^\\n]+\\z"), F.lit(0))
+    raise ValueError(f"unknown pretokenize {pretokenize!r}")
+
+
 def units(df: DataFrame, col: str = "text", pretokenize: str = "whitespace") -> DataFrame:
     """Distinct training units with counts."""
-    if pretokenize == "whitespace":
-        u = df.select(F.explode(T.whitespace_words(col)).alias("unit"))
-    elif pretokenize == "none":
-        u = df.select(F.explode(F.regexp_extract_all(F.col(col), F.lit("[^\\n]*\\n|[^\\n]+\\z"), 0)).alias("unit"))
-    else:
-        raise ValueError(f"unknown pretokenize {pretokenize!r}")
+    u = df.select(F.explode(_unit_list(col, pretokenize)).alias("unit"))
     return u.groupBy("unit").agg(F.count(F.lit(1)).alias("count"))
 
 
 def _chars(col) -> F.Column:
-    return F.regexp_extract_all(col, F.lit("(?s)."), 0)
+    return F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0))
 
 
-def _select_batch(top, remaining: int, mode: str = "exact"):
-    """``exact``: the longest conflict-free prefix (equals sequential BPE).
-    ``greedy``: skip conflicting pairs instead of stopping -- many more
-    merges per round for large vocabularies, not identical to sequential
-    BPE (deterministic; tested for determinism and compression only)."""
-    batch, used = [], set()
-    for a, b, _c in top:
-        if len(batch) >= remaining:
-            break
-        conflict = a == b and bool(batch) or a in used or b in used
-        if mode == "exact":
-            if conflict:
-                break
-            batch.append((a, b))
-            if a == b:
-                break
-        else:
-            if conflict or (a == b and batch):
-                continue
-            batch.append((a, b))
-            if a == b:
-                used.add(a)
-                continue
-        used.update((a, b))
-    return batch
+def _segments(st: DataFrame, char_ids: dict[str, int]) -> tuple[DataFrame, int]:
+    """Distinct units as segments of about ``SEGMENT_SYMBOLS`` symbols, and their number."""
+    size = st.agg(F.coalesce(F.sum(F.length("unit")), F.lit(0)).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    spread = min(st.sparkSession.sparkContext.defaultParallelism, size["n"] // 500 + 1)
+    n = max(spread, -(-size["s"] // SEGMENT_SYMBOLS))
+
+    def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        seg = Segment.build([[char_ids[c] for c in u] for u in pdf["unit"]], pdf["count"].tolist())
+        return pd.DataFrame([(key[0], *seg.row())], columns=_columns(SEGMENT_FIELDS))
+
+    keyed = st.withColumn("seg", F.pmod(F.xxhash64("unit"), F.lit(n)))
+    return _held(keyed.groupBy("seg").applyInPandas(build, SEGMENT_FIELDS), n), n
+
+
+def _held(segments: DataFrame, n: int) -> DataFrame:
+    """Segments as a stage table, one or two in a partition, in memory while training reads them."""
+    return cut_lineage(segments, "bpe-segments").repartition(n, "seg").persist()
+
+
+def _columns(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _segment(row) -> Segment:
+    return Segment.of_row(row.symbols, row.starts, row.counts, row.pairs, row.heads, row.posts)
+
+
+def _rewrite(segments: DataFrame, n: int, ranks: dict) -> DataFrame:
+    """Segments with the merges applied."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                yield pd.DataFrame([(row.seg, *_segment(row).merged(ranks).row())], columns=_columns(SEGMENT_FIELDS))
 
+    out = _held(segments.mapInPandas(run, SEGMENT_FIELDS), n)
+    segments.unpersist()
+    return out
 
-def _merge_map(pairs_to_ids: dict[tuple[int, int], int]) -> F.Column:
-    kv = []
-    for (a, b), i in pairs_to_ids.items():
-        kv += [F.lit(a * PAIR_KEY + b), F.lit(i)]
-    return F.create_map(*kv)
 
+def _ranked(rows) -> list[tuple[int, int]]:
+    return [(pair_code(r["a"], r["b"]), r["c"]) for r in rows]
 
-def _apply(sym: F.Column, m: F.Column) -> F.Column:
-    """Left-to-right merge of the round's (disjoint) pairs inside one array."""
-    empty = F.array().cast("array<int>")
 
-    def step(acc, x):
-        last = F.element_at(acc, -1)
-        hit = F.when(F.size(acc) > 0, F.element_at(m, last.cast("long") * PAIR_KEY + x.cast("long")))
-        return F.when(hit.isNotNull(), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(hit))).otherwise(F.concat(acc, F.array(x)))
+def _top_counts(segments: DataFrame, most: int) -> list[tuple[int, int]]:
+    """The ``most`` most frequent pairs: (code, count), in order."""
 
-    return F.aggregate(sym, empty, step)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                codes, counts = _segment(row).pair_counts()
+                yield pd.DataFrame({"a": codes >> 32, "b": codes & 0xFFFFFFFF, "c": counts})
+
+    pairs = segments.mapInPandas(run, "a long, b long, c long").groupBy("a", "b").agg(F.sum("c").alias("c"))
+    return _ranked(pairs.orderBy(F.col("c").desc(), "a", "b").limit(most).collect())
+
+
+def _step_counts(segments: DataFrame, ranks: dict, steps: list, codes: list[int]) -> list[dict[int, int]]:
+    """Changes of pair counts for each step, summed over the segments (for a
+    step at most two rows for every symbol that neighbours its pair)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                found = _segment(row).step_deltas(ranks, steps, codes)
+                rows = [(j, k >> 32, k & 0xFFFFFFFF, d) for j, deltas in enumerate(found) for k, d in deltas.items() if d]
+                yield pd.DataFrame(rows, columns=["j", "a", "b", "c"])
+
+    changed = segments.mapInPandas(run, "j int, a long, b long, c long").groupBy("j", "a", "b").agg(F.sum("c").alias("c"))
+    out: list[dict[int, int]] = [{} for _ in steps]
+    for r in changed.collect():
+        out[r["j"]][pair_code(r["a"], r["b"])] = r["c"]
+    return out
+
+
+class _PairTable:
+    """The most frequent pairs, with exact counts; ``last``: no pair that is
+    not kept comes before this (-count, code) in the order of training."""
+
+    def __init__(self, rows: list[tuple[int, int]], most: int):
+        self.most = most
+        self.counts = dict(rows)
+        self.last = (-rows[-1][1], rows[-1][0]) if len(rows) >= most else None
+        self.heap = [(-c, k) for k, c in rows]
+        heapify(self.heap)
+
+    def best(self) -> int | None:
+        """The next pair of sequential training; None where it is not known to be kept."""
+        while self.heap:
+            c, k = self.heap[0]
+            if self.counts.get(k) == -c:
+                return k if self.last is None or (c, k) <= self.last else None
+            heappop(self.heap)
+        return None
+
+    def change(self, deltas: dict[int, int], new: int) -> None:
+        for k, d in deltas.items():
+            fresh = k >> 32 == new or k & 0xFFFFFFFF == new
+            if not fresh and k not in self.counts:
+                continue  # a pair that is not kept sinks further
+            c = self.counts[k] = self.counts.get(k, 0) + d
+            if c <= 0:
+                del self.counts[k]
+            else:
+                heappush(self.heap, (-c, k))
+        if len(self.counts) > 4 * self.most:
+            kept = nsmallest(2 * self.most, ((-c, k) for k, c in self.counts.items()))
+            self.last = kept[-1] if self.last is None else min(self.last, kept[-1])
+            self.counts = {k: -c for c, k in kept}
+            self.heap = kept
+
+    def guess(self, most: int, name) -> list[tuple[int, int, int]]:
+        """Likely next merges (left, right, id), the first one certain: counts
+        of new pairs are estimated as if neighbours were independent.
+        ``name(a, b)`` gives the merged id and whether it is a new one."""
+        first: dict[int, float] = {}
+        second: dict[int, float] = {}
+        for k, c in self.counts.items():
+            first[k >> 32] = first.get(k >> 32, 0) + c
+            second[k & 0xFFFFFFFF] = second.get(k & 0xFFFFFFFF, 0) + c
+        likely = {k: float(-c) for c, k in nsmallest(8 * most, ((-c, k) for k, c in self.counts.items()))}
+        out = []
+        while likely and len(out) < most:
+            k = min(likely, key=lambda k: (-likely[k], k))
+            n, a, b = likely.pop(k), k >> 32, k & 0xFFFFFFFF
+            if n < 1:
+                break
+            c, new = name(a, b)
+            out.append((a, b, c))
+            if not new:
+                break
+            for q, m in list(likely.items()):
+                x, y = q >> 32, q & 0xFFFFFFFF
+                if y == a:
+                    moved, joined = n * m / max(second.get(a, 1), 1), pair_code(x, c)
+                elif x == b:
+                    moved, joined = n * m / max(first.get(b, 1), 1), pair_code(c, y)
+                else:
+                    continue
+                likely[q] = m - min(m, moved)
+                likely[joined] = min(m, moved)
+            first[c] = second[c] = n
+            second[a] = second.get(a, 0) - n
+            first[b] = first.get(b, 0) - n
+        return out
+
+
+def _disjoint(pairs: list[int], most: int) -> list[tuple[int, int]]:
+    """Pairs in order, without those that share a symbol with an earlier one."""
+    out, used = [], set()
+    for k in pairs:
+        a, b = k >> 32, k & 0xFFFFFFFF
+        if a in used or b in used or (a == b and out):
+            continue
+        out.append((a, b))
+        used.update((a, b))
+        if len(out) >= most:
+            break
+    return out
 
 
 def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, specials=DEFAULT_SPECIALS,
-              pretokenize: str = "whitespace", top_pairs: int = 2000, lineage_every: int = 1, max_rounds: int | None = None,
+              pretokenize: str = "whitespace", top_pairs: int = 20_000, snapshot_every: int = 256, max_rounds: int | None = None,
               batch: str = "exact"):
     """Returns ``(vocab, merges)`` DataFrames.
 
     ``vocab``: ``(token, id, special)``; ``merges``: ``(rank, left, right, id,
     round)``.  Training ends at ``vocab_size`` ids or when no pair is left.
-    Each round is one pass over the distinct units; ``batch="greedy"``
-    trades exactness for many more merges per round (see ``_select_batch``)."""
+    ``batch="exact"`` equals sequential training; ``"greedy"`` takes all
+    frequent pairs of a round that share no symbol (deterministic, fewer
+    rounds, not the same merges)."""
+    if batch not in ("exact", "greedy"):
+        raise ValueError(f"unknown batch {batch!r}")
     spark: SparkSession = df.sparkSession
     specials = list(specials)
     st = cut_lineage(units(df, col, pretokenize), "bpe-units")
     alphabet = [r["ch"] for r in st.select(F.explode(_chars(F.col("unit"))).alias("ch")).distinct().orderBy("ch").collect()]
     tokens = specials + alphabet  # id -> string, bounded by vocab_size
-    char_ids = {c: len(specials) + i for i, c in enumerate(alphabet)}
-    cmap = F.create_map(*[x for c, i in char_ids.items() for x in (F.lit(c), F.lit(i))]) if char_ids else None
-    st = st.select("count", F.transform(_chars(F.col("unit")), lambda c: F.element_at(cmap, c)).alias("sym"))
-    st = st.filter(F.size("sym") > 1)
+    id_of = {t: i for i, t in enumerate(tokens)}
+    segments, n_segments = _segments(st, {c: len(specials) + i for i, c in enumerate(alphabet)})
     merges: list[tuple[int, int, int, int, int]] = []
-    rnd = 0
+    since: list[tuple[int, int, int]] = []  # merges that the segments do not hold yet
+    ends: dict[int, tuple[set[int], set[int]]] = {}  # merged id -> first and last symbols that it has in the segments
+    ranks: dict[int, tuple[int, int]] = {}
+    table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
+    rnd, tries = 0, 8
+
     while len(tokens) < vocab_size and (max_rounds is None or rnd < max_rounds):
-        n = F.size("sym") - 1
-        z = F.arrays_zip(F.slice("sym", 1, n).alias("a"), F.slice("sym", 2, n).alias("b"))
-        pairs = st.select("count", F.explode(z).alias("p")).groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(
-            F.sum("count").alias("c")
-        )
-        top = [(r["a"], r["b"], r["c"]) for r in pairs.orderBy(F.col("c").desc(), "a", "b").limit(top_pairs).collect()]
-        if not top:
+        if len(since) >= snapshot_every or (table.best() is None and since):
+            segments, since, ends, ranks = _rewrite(segments, n_segments, ranks), [], {}, {}
+            if table.best() is None:
+                table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
+        if table.best() is None:
             break
-        chosen = _select_batch(top, vocab_size - len(tokens), batch)
-        ids = {}
-        for a, b in chosen:
-            ids[(a, b)] = len(tokens)
-            merges.append((len(merges), a, b, len(tokens), rnd))
+        left = vocab_size - len(tokens)
+        named: dict[str, int] = {}
+        spelled: dict[int, str] = {}
+
+        def name(a: int, b: int) -> tuple[int, bool]:
+            text = spelled.get(a, tokens[a] if a < len(tokens) else "") + spelled.get(b, tokens[b] if b < len(tokens) else "")
+            old = id_of.get(text, named.get(text))
+            if old is not None:
+                return old, False
+            named[text] = c = len(tokens) + len(named)
+            spelled[c] = text
+            return c, True
+
+        if batch == "exact":
+            steps = table.guess(min(tries, left, MOST_STEPS), name)
+        else:
+            order = nsmallest(8 * MOST_STEPS, table.counts, key=lambda k: (-table.counts[k], k))
+            steps = []
+            for a, b in _disjoint(order, min(left, MOST_STEPS)):
+                c, new = name(a, b)
+                steps.append((a, b, c))
+                if not new:
+                    break
+        # A pair of merged symbols lies where their outer symbols meet in the segments.
+        outer, codes = dict(ends), set()
+        for a, b, c in steps:
+            of_a, of_b = outer.get(a, ({a}, {a})), outer.get(b, ({b}, {b}))
+            codes.update(pair_code(x, y) for x in of_a[1] for y in of_b[0])
+            outer[c] = (of_a[0], of_b[1])
+        changes = _step_counts(segments, ranks, steps, sorted(codes))
+        accepted = 0
+        for (a, b, c), deltas in zip(steps, changes):
+            if batch == "exact" and table.best() != pair_code(a, b):
+                break
+            merges.append((len(merges), a, b, c, rnd))
+            ranks[pair_code(a, b)] = (len(since), c)
+            since.append((a, b, c))
+            accepted += 1
+            if c < len(tokens):  # the text of a token that exists: its pairs may not be kept
+                segments, since, ends, ranks = _rewrite(segments, n_segments, ranks), [], {}, {}
+                table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
+                break
+            ends[c] = outer[c]
+            id_of[tokens[a] + tokens[b]] = c
             tokens.append(tokens[a] + tokens[b])
-        lefts = F.array(*[F.lit(a) for a, _ in chosen])
-        merged = F.when(F.arrays_overlap("sym", lefts), _apply(F.col("sym"), _merge_map(ids))).otherwise(F.col("sym"))
-        st = st.select("count", merged.alias("sym")).filter(F.size("sym") > 1)
+            table.change(deltas, c)
+        tries = max(4, 2 * accepted + 2)
         rnd += 1
-        if rnd % lineage_every == 0:
-            st = cut_lineage(st, "bpe-state")
+    segments.unpersist()
     vocab = spark.createDataFrame([(t, i, i < len(specials)) for i, t in enumerate(tokens)], VOCAB_SCHEMA)
     merges_df = spark.createDataFrame(merges, MERGES_SCHEMA)
     return vocab, merges_df
 
 
-def _encode_unit(unit: str, char_ids: dict, ranks: dict) -> list[int]:
-    sym = [char_ids[c] for c in unit if c in char_ids]
-    while len(sym) > 1:
-        best = None
-        for a, b in zip(sym, sym[1:]):
-            r = ranks.get((a, b))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = r
-        if best is None:
-            break
-        _, a, b, new = best
-        out, i = [], 0
-        while i < len(sym):
-            if i + 1 < len(sym) and sym[i] == a and sym[i + 1] == b:
-                out.append(new)
-                i += 2
-            else:
-                out.append(sym[i])
-                i += 1
-        sym = out
-    return sym
-
-
 def encode_bpe(df: DataFrame, vocab: DataFrame, merges: DataFrame, key: str = "doc_id", col: str = "text",
                pretokenize: str = "whitespace", out: str = "ids") -> DataFrame:
     """T4 (BPE): encode **distinct** units once in an Arrow-batched
@@ -186,17 +325,13 @@ def encode_bpe(df: DataFrame, vocab: DataFrame, merges: DataFrame, key: str = "d
     spark = df.sparkSession
     v = vocab.filter(~F.col("special")).select("token", "id").collect()
     char_ids = {r["token"]: r["id"] for r in v if len(r["token"]) == 1}
-    ranks = {(r["left"], r["right"]): (r["rank"], r["left"], r["right"], r["id"]) for r in merges.collect()}
-    if pretokenize == "whitespace":
-        parts = T.whitespace_words(col)
-    else:
-        parts = F.regexp_extract_all(F.col(col), F.lit("[^\\n]*\\n|[^\\n]+\\z"), 0)
-    ex = df.select(key, F.posexplode(parts).alias("_p", "unit"))
+    ranks = {pair_code(r["left"], r["right"]): (r["rank"], r["id"]) for r in merges.collect()}
+    ex = df.select(key, F.posexplode(_unit_list(col, pretokenize)).alias("_p", "unit"))
     distinct = ex.select("unit").distinct()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"unit": b["unit"], "uids": [_encode_unit(u, char_ids, ranks) for u in b["unit"]]})
+            yield pd.DataFrame({"unit": b["unit"], "uids": [apply_merges([char_ids[c] for c in u if c in char_ids], ranks) for u in b["unit"]]})
 
     coded = distinct.mapInPandas(run, "unit string, uids array<int>")
     j = ex.join(coded, "unit")
