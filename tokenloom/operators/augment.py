@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
 from tokenloom.functions.keyed import keyed_hash, keyed_uniform
-from tokenloom.operators.positions import row_index
+from tokenloom.operators.positions import ROW_ID, hash_splits, prefix_sum, row_index, running, stage_rows
 
 DEFAULT_SEED = 42
 
@@ -48,7 +48,7 @@ def shuffle_global(df: DataFrame, keys=("doc_id", "pos"), seed=DEFAULT_SEED, out
     bucketed global row number: no single-task window."""
     keys = list(keys)
     tmp = df.withColumn("_h", keyed_hash(seed, "gshuffle", *keys))
-    return row_index(tmp, ["_h", *keys], out=out).drop("_h")
+    return row_index(tmp, ["_h", *keys], out=out, splits=hash_splits(df.sparkSession)).drop("_h")
 
 
 def rejoin(sentences: DataFrame, docs: DataFrame, key: str = "doc_id", order: str = "new_pos", col: str = "sent",
@@ -112,29 +112,43 @@ def prepare_documents(df: DataFrame, key: str = "doc_id", col: str = "text", min
 
 
 def corpus_sentences(df: DataFrame, key: str = "doc_id", col: str = "text", delim: str = T.EN_SENTENCE_DELIM,
-                     joiner: str = " ", glue: bool = True) -> DataFrame:
+                     joiner: str = " ", glue: bool = True, piece_docs: int = 1000) -> DataFrame:
     """A2: sentences of the corpus joined by ``joiner`` (``" ".join(texts)``)
     then split on ``delim``, so sentences cross document borders.
 
     Per document, split ``text || joiner`` (no joiner after the last one);
     the global sentence id of fragment ``i`` is the number of delimiters in
-    earlier documents plus ``i`` (bucketed prefix sum).  Exact when a
-    delimiter can straddle a border only as its last character + joiner
-    (true for ``". "`` and ``" "``).  ``glue=False`` returns the long form
-    ``(sent_id, doc order, fragment)``, which never groups whole sentences;
-    ``glue=True`` concatenates fragments per sentence id.
+    earlier documents plus ``i`` (bucketed prefix sum over keys and counts;
+    texts stay where they are).  Exact when a delimiter can straddle a border
+    only as its last character + joiner (true for ``". "`` and ``" "``).
+
+    ``glue=True``: ``(sent_id, piece, sent)``.  A sentence that runs through
+    documents without a delimiter comes in ordered pieces of at most
+    ``piece_docs`` documents each (piece 0 alone, for any other sentence), so
+    no sentence gathers in one group; its text is its pieces, one after the
+    other.  ``glue=False``: the fragments, ``(sent_id, part, frag)``.
     """
     last = df.agg(F.max(key).alias("m")).first()["m"]
-    d = df.withColumn("_t", F.when(F.col(key) == F.lit(last), F.col(col)).otherwise(F.concat(F.col(col), F.lit(joiner))))
-    d = d.withColumn("_frags", T.split_literal("_t", delim)).withColumn("_nd", (F.size("_frags") - 1).cast("long"))
-    from tokenloom.operators.positions import prefix_sum
-
-    d = prefix_sum(d, "_nd", [key], out="_first_sent")
-    frags = d.select(key, "_first_sent", F.posexplode("_frags").alias("_i", "frag"))
-    frags = frags.select((F.col("_first_sent") + F.col("_i")).alias("sent_id"), F.col(key).alias("part"), "frag")
+    text = F.when(F.col(key) == F.lit(last), F.col(col)).otherwise(F.concat(F.col(col), F.lit(joiner)))
+    rows = stage_rows(df.select(F.col(key), text.alias("_t")).withColumn("_nd", (F.size(T.split_literal("_t", delim)) - 1).cast("long")), "sentence-docs")
+    at = prefix_sum(rows.select(ROW_ID, key, "_nd"), "_nd", [key], out="_first_sent")
+    if glue:
+        # A document's first fragment is the d-th of its sentence if the last
+        # document with a delimiter is d documents back.
+        at = row_index(at, [key], out="_doc")
+        at = running(at, F.when(F.col("_nd") > 0, F.col("_doc")), "max", [key], out="_opened", inclusive=False)
+        at = at.withColumn("_piece", F.floor((F.col("_doc") - F.coalesce("_opened", F.lit(0))) / F.lit(piece_docs)).cast("long"))
+    else:
+        at = at.withColumn("_piece", F.lit(0).cast("long"))
+    d = rows.select(ROW_ID, key, "_t").join(at.select(ROW_ID, "_first_sent", "_piece"), ROW_ID)
+    frags = d.select(key, "_first_sent", "_piece", F.posexplode(T.split_literal("_t", delim)).alias("_i", "frag"))
+    frags = frags.select(
+        (F.col("_first_sent") + F.col("_i")).alias("sent_id"), F.when(F.col("_i") == 0, F.col("_piece")).otherwise(F.lit(0)).alias("piece"),
+        F.col(key).alias("part"), "frag",
+    )
     if not glue:
-        return frags
-    return frags.groupBy("sent_id").agg(
+        return frags.drop("piece")
+    return frags.groupBy("sent_id", "piece").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "frag"))), lambda x: x["frag"]), "").alias("sent")
     )
 

@@ -104,6 +104,27 @@ def next_token_probs(model: DataFrame, vocab_size, alpha: float = 1.0) -> DataFr
     return model.withColumn("p", p).drop("vocab_size")
 
 
+HOT_PAIRS, SALTS = 256, 64
+
+
+def spread_hot(m: DataFrame, pc: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join on ``keys`` with a ``_salt``: a pair that makes
+    up 1/HOT_PAIRS of the model's count or more has its rows dealt over SALTS
+    slices, and its one model row repeated for each.  By their definition there
+    are at most HOT_PAIRS such pairs, so they are broadcast."""
+    from tokenloom.operators.positions import attach_scalars
+
+    total = pc.agg(F.sum("c").alias("_all"))
+    hot = attach_scalars(pc, total).filter(F.col("c") * F.lit(HOT_PAIRS) >= F.col("_all")).select(*keys, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot)
+    others = [c for c in m.columns if c not in keys] or keys
+    deal = F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int")
+    salted = m.join(hot, keys, "left").withColumn("_salt", F.when(F.col("_hot"), deal).otherwise(F.lit(0))).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    slices = pc.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return salted, slices
+
+
 def score_pairs(pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: float = 1.0, streams=(), group=()) -> DataFrame:
     """Sum of ``-ln p`` and pair count per ``group`` (M2/M6 core).
 
@@ -117,7 +138,8 @@ def score_pairs(pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: floa
         m = pairs.groupBy(*keys, "prev", "next").agg(F.count(F.lit(1)).alias("mult"))
     pc = model.select(*streams, "prev", "next", "c")
     prev = model.select(*streams, "prev", "c_prev").distinct()  # <= streams x vocabulary rows
-    j = m.join(pc, [*streams, "prev", "next"], "left").join(F.broadcast(prev), [*streams, "prev"], "left")
+    salted, slices = spread_hot(m, pc, [*streams, "prev", "next"])
+    j = salted.join(slices, [*streams, "prev", "next", "_salt"], "left").join(F.broadcast(prev), [*streams, "prev"], "left")
     if isinstance(vocab_size, DataFrame):  # one-row frame with column vocab_size
         from tokenloom.operators.positions import attach_scalars
 

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.operators.positions import prefix_sum
-from tokenloom.session import cut_lineage
+from tokenloom.operators.positions import ROW_ID, attach_scalars, prefix_sum, running, stage_rows
 from tokenloom.operators.tokenizer import IGNORE_INDEX
 
 
@@ -37,14 +36,16 @@ def align_each(df: DataFrame, ids: str = "ids", block: int = 64) -> DataFrame:
 
 
 def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(), block: int = 64,
-                policy: str = "global", cap: int | None = None, lookahead: int = 0,
+                policy: str = "global", cap: int | DataFrame | None = None, lookahead: int = 0,
                 key_source: DataFrame | None = None, materialize: bool = True) -> DataFrame:
     """Concatenate the id arrays in ``order`` per stream, cut into
     blocks of ``block`` and drop the tail.
 
     * ``policy="global"``: one stream, tail ``N % B`` dropped (P2);
       ``policy="per_chunk"``: every row first loses its own tail (P3).
-    * ``cap``: the stream is silently cut at ``cap`` tokens (P4).
+    * ``cap``: the stream is silently cut at ``cap`` tokens (P4): a number, or
+      a frame of one row with a column ``cap`` (an estimate that the same plan
+      makes).
     * ``lookahead=L``: every block also carries the next ``L`` tokens of the
       kept stream (X/Y shifted pairs without a join; the last block has none).
 
@@ -53,23 +54,26 @@ def pack_blocks(df: DataFrame, ids: str = "ids", order=("doc_id",), streams=(),
     Documents of any size, any number of documents per stream and any number
     of streams are fine; a null stream is a stream of its own.
     ``key_source``: cheap frame with the order key for bucket boundaries.
-    ``materialize``: store the input as a parquet table in the shared
-    checkpoint folder first, so the upstream plan runs once.
+    The input is stored once (``positions.stage_rows``) unless it already is:
+    offsets come from its keys and sizes alone.  ``materialize=False`` writes
+    no table and lets the rows ride through the scan: for small inputs.
     """
     order, streams = _as_list(order), _as_list(streams)
-    d = df.select(*streams, *order, F.col(ids).alias("_ids"))
+    staged = [ROW_ID] if ROW_ID in df.columns else []
+    d = df.select(*staged, *streams, *order, F.col(ids).alias("_ids"))
     if policy == "per_chunk":
         d = align_each(d, "_ids", block)
     elif policy != "global":
         raise ValueError(f"unknown policy {policy!r}")
     d = d.withColumn("_n", F.size("_ids").cast("long")).filter(F.col("_n") > 0)
     if materialize:
-        # the prefix sum reads its input twice (in-bucket window, bucket
-        # totals): materialise it so an expensive upstream (encoding) runs once
-        d = cut_lineage(d, "pack-input")
-    d = prefix_sum(d, "_n", order, streams, out="_s", key_source=key_source, total_out="_total")
+        d = prefix_sum(stage_rows(d, "pack-input"), "_n", order, streams, out="_s", key_source=key_source, total_out="_total")
+    else:
+        d = running(d, "_n", "sum", order, streams, out="_s", inclusive=False, key_source=key_source, total_out="_total")
     kept = F.col("_total") - F.col("_total") % F.lit(block)
-    if cap is not None:
+    if isinstance(cap, DataFrame):
+        d, kept = attach_scalars(d, cap.select(F.col("cap").alias("_cap"))), F.least(kept, F.col("_cap"))
+    elif cap is not None:
         kept = F.least(kept, F.lit(int(cap)))
     d = d.withColumn("_kept", kept)
     B, L = block, lookahead

@@ -15,6 +15,12 @@ Pass ``key_source`` (a cheap frame holding the order key, e.g. the key
 column of the source table) or precomputed ``splits`` so the sketch job does
 not recompute an expensive upstream plan.
 
+``prefix_sum`` and ``row_index`` scan order keys and sizes alone where rows
+carry texts or arrays: the rows are stored once with a row id, and the number
+comes back by a join on that id (the scan has a few bytes a row, so Spark
+broadcasts it while it is small).  No text or array is sorted or shuffled to
+learn a position.
+
 The result is exact; only bucket *sizes* depend on the sketch.  Order keys
 must be unique within a stream (add a tie-breaker column otherwise).  A null
 stream is a stream of its own, and null order keys come first, as in Spark's
@@ -23,9 +29,14 @@ own ascending order: no row is lost.  Text keys keep their byte order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
+
+from tokenloom.session import cut_lineage
 
 #: Rows that one bucket should hold, and the most buckets that one sketch gives.
 BUCKET_ROWS, MOST_BUCKETS = 1_000_000, 4_096
@@ -142,6 +153,36 @@ def running(
     return res.withColumn(out, _combine(op, F.col("_bpre"), F.col("_run"))).drop("_sk", "_bkt", "_run", "_bpre", "_v")
 
 
+#: Column with the row id of staged rows.
+ROW_ID = "_rid"
+
+
+def stage_rows(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` as a stage table with a stored row id, so that columns computed
+    from some of its columns can be joined back (rows staged already stay)."""
+    if ROW_ID in df.columns:
+        return df
+    return cut_lineage(df.withColumn(ROW_ID, F.monotonically_increasing_id()), name)
+
+
+def hash_splits(spark, bits: int = 32, n_buckets: int | None = None) -> list[float]:
+    """Bucket boundaries of a keyed hash, which is uniform on [0, 2^bits): no sketch is needed."""
+    n = n_buckets or default_buckets(spark)
+    return [i * 2.0**bits / n for i in range(1, n)]
+
+
+def _scan_keys(df: DataFrame, needed: list[str], scan: Callable[[DataFrame], DataFrame], outs: list[str]) -> DataFrame:
+    """``scan(df)``, run on the ``needed`` columns alone where others are wide."""
+    wide = (Ty.StringType, Ty.BinaryType, Ty.ArrayType, Ty.MapType, Ty.StructType)
+    rest = [f for f in df.schema.fields if f.name not in needed and f.name != ROW_ID]
+    if not any(isinstance(f.dataType, wide) for f in rest):
+        return scan(df)
+    rows = stage_rows(df)
+    found = scan(rows.select(ROW_ID, *needed)).select(ROW_ID, *outs)
+    out = rows.drop(*outs).join(found, ROW_ID)
+    return out if ROW_ID in df.columns else out.drop(ROW_ID)
+
+
 def prefix_sum(
     df: DataFrame,
     size_col: str,
@@ -155,9 +196,16 @@ def prefix_sum(
 ) -> DataFrame:
     """Exclusive running sum of ``size_col`` in ``order_cols`` order, per stream:
     the start position of each row in the concatenated stream (0 first)."""
+    order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    streams = [streams] if isinstance(streams, str) else list(streams)
     size = F.coalesce(F.col(size_col).cast("long"), F.lit(0))
-    return running(df, size, "sum", order_cols, streams, out=out, inclusive=False, n_buckets=n_buckets,
-                   splits=splits, key_source=key_source, total_out=total_out)
+
+    def scan(d: DataFrame) -> DataFrame:
+        return running(d, size, "sum", order_cols, streams, out=out, inclusive=False, n_buckets=n_buckets,
+                       splits=splits, key_source=key_source, total_out=total_out)
+
+    needed = list(dict.fromkeys([*streams, *order_cols, size_col]))
+    return _scan_keys(df, needed, scan, [out, *([total_out] if total_out else [])])
 
 
 def row_index(df: DataFrame, order_cols, streams=(), out: str = "row_no", n_buckets: int | None = None,

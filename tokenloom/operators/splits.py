@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.keyed import keyed_hash, keyed_uniform
-from tokenloom.operators.positions import attach_scalars, row_index
+from tokenloom.functions.keyed import keyed_hash
+from tokenloom.operators.positions import attach_scalars, hash_splits, row_index
 
 
 def _as_list(x):
@@ -62,21 +62,43 @@ def split_random(df: DataFrame, test_ratio: float = 0.0015, seed=42, keys=("doc_
     Adds ``shuffle_rank`` (0-based position in the shuffled order)."""
     keys = _as_list(keys)
     d = df.withColumn("_h", keyed_hash(seed, "split", *keys))
-    d = row_index(d, ["_h", *keys], out="shuffle_rank")
+    d = row_index(d, ["_h", *keys], out="shuffle_rank", splits=hash_splits(df.sparkSession))
     n = df.agg(F.count(F.lit(1)).alias("_cnt"))
     d = attach_scalars(d, n)
     n_test = F.ceil(F.col("_cnt") * F.lit(float(test_ratio))).cast("long")
     return d.withColumn(out, F.when(F.col("shuffle_rank") < n_test, F.lit("test")).otherwise(F.lit("train"))).drop("_h", "_cnt")
 
 
-def require_span(n: int, block: int) -> int:
-    """K9: the window upper bound ``n - B - 1``; error when not positive."""
+def window_span(block: int):
+    """K9: the window upper bound ``end - start - B - 1`` of a bounds row."""
+    return F.col("end") - F.col("start") - F.lit(block + 1)
+
+
+def require_span(n, block: int, strict: bool = True):
+    """K9: the window upper bound ``n - B - 1``; error when not positive.
+
+    ``n``: a token count (returns the bound), or a bounds frame (adds ``span``
+    and ``ok``; ``strict`` makes a row where no window fits an error)."""
+    need = f"tokens hold no window: blocks of {block} need at least {block + 2}"
+    if isinstance(n, DataFrame):
+        d = n.withColumn("span", window_span(block)).withColumn("ok", F.col("span") > 0)
+        few = F.concat((F.col("end") - F.col("start")).cast("string"), F.lit(" " + need))
+        return d.withColumn("ok", F.when(F.col("ok"), F.lit(True)).otherwise(F.raise_error(few).cast("boolean"))) if strict else d
     span = n - block - 1
     if span <= 0:
-        raise ValueError(f"{n} tokens hold no window: blocks of {block} need at least {block + 2}")
+        raise ValueError(f"{n} {need}")
     return span
 
 
+def kept_lengths(encoded: DataFrame, ids: str = "ids", streams=(), block: int = 64) -> DataFrame:
+    """Kept tokens per stream of encoded rows: their sizes summed and aligned
+    down to the block, without building blocks (equals ``stream_lengths``)."""
+    streams = _as_list(streams)
+    n = F.coalesce(F.sum(F.greatest(F.size(ids), F.lit(0)).cast("long")), F.lit(0))
+    total = encoded.groupBy(*streams).agg(n.alias("n")) if streams else encoded.agg(n.alias("n"))
+    return total.withColumn("n", F.col("n") - F.col("n") % F.lit(block)).filter(F.col("n") > 0)
+
+
 def draw_starts(spark, bounds: DataFrame, split: str = "train", steps: int = 1, micro: int = 1, batch: int = 32,
                 block: int = 64, seed=42, first_step: int = 0, streams=()) -> DataFrame:
     """K5/K6 draws: for every (step, micro, slot) a start ``j`` uniform on
@@ -84,15 +106,12 @@ def draw_starts(spark, bounds: DataFrame, split: str = "train", steps: int = 1,
     reference), absolute position ``start + j``.  The draw key includes the
     step, so a resumed run does not repeat batches."""
     streams = _as_list(streams)
-    n = steps * micro * batch
-    ids = spark.range(n).select(
-        (F.col("id") / F.lit(micro * batch)).cast("long").alias("_st"),
-        ((F.col("id") / F.lit(batch)).cast("long") % F.lit(micro)).alias("micro"),
-        (F.col("id") % F.lit(batch)).alias("slot"),
-    ).withColumn("step", F.col("_st") + F.lit(first_step)).drop("_st")
-    b = bounds.filter(F.col("split") == F.lit(split)).withColumn("_span", F.col("end") - F.col("start") - F.lit(block + 1))
+    b = bounds.filter(F.col("split") == F.lit(split)).withColumn("_span", window_span(block))
     b = b.filter(F.col("_span") > 0).select(*streams, "start", "_span")
-    d = attach_scalars(ids, b)  # one set of draws per stream; bounds are tiny
+    # Each stream's row gives its own draws, step by step.
+    d = b.select("*", F.explode(F.sequence(F.lit(first_step).cast("long"), F.lit(first_step + steps - 1).cast("long"))).alias("step"))
+    d = d.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(micro * batch - 1).cast("long"))).alias("_i"))
+    d = d.withColumn("micro", F.floor(F.col("_i") / F.lit(batch))).withColumn("slot", F.col("_i") % F.lit(batch))
     j = keyed_hash(seed, "window", F.lit(split), *streams, "step", "micro", "slot") % F.col("_span")
     return d.select(*streams, "step", "micro", "slot", (F.col("start") + j).alias("pos"))
 
@@ -128,13 +147,3 @@ def cyclic_batches(rows: DataFrame, n_rows: int, batch: int = 16, steps: int = 1
 def first_batch(rows: DataFrame, n_rows: int, batch: int = 16, order: str = "row_no") -> DataFrame:
     """K8: the first ``min(batch, n)`` rows (SFT validation)."""
     return rows.filter(F.col(order) < F.lit(min(batch, n_rows)))
-
-
-def resume_cursor(metrics: DataFrame, run: str = "run_id", step: str = "step") -> DataFrame:
-    """Next step = last stored step + 1, per run."""
-    return metrics.groupBy(run).agg((F.max(step) + 1).alias("next_step"))
-
-
-def keyed_sample(df: DataFrame, fraction: float, seed=42, keys=("doc_id",)) -> DataFrame:
-    """Repeatable Bernoulli sample (same rows on every retry)."""
-    return df.filter(keyed_uniform(seed, "sample", *_as_list(keys)) < F.lit(float(fraction)))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from tokenloom.functions import text as T
+from tokenloom.session import cut_lineage
 
 # --- fixed values -----------------------------------------------------------
 # Special tokens of the reference tokenizers, in the order given to the
@@ -172,9 +173,10 @@ def estimate_tokens(chunks: DataFrame, vocab: DataFrame | None = None, order: st
     count: with a vocabulary, only in-vocabulary words count (they are the
     tokens); without one, every white-space word does.
     """
-    from tokenloom.operators.positions import attach_scalars, prefix_sum
+    from tokenloom.operators.positions import ROW_ID, attach_scalars, prefix_sum
 
-    d = chunks.select(order, col).withColumn("_len", T.char_len(col))
+    staged = [ROW_ID] if ROW_ID in chunks.columns else []
+    d = chunks.select(*staged, order, col).withColumn("_len", T.char_len(col))
     d = prefix_sum(d, "_len", [order], out="_off")
     take = F.greatest(F.lit(0), F.least(F.col("_len"), F.lit(sample_chars) - F.col("_off")))
     d = d.withColumn("_part", F.substring(col, 1, take)).withColumn("_bytes", T.byte_len(col))
@@ -194,26 +196,33 @@ def estimate_tokens(chunks: DataFrame, vocab: DataFrame | None = None, order: st
 def doc_line_groups(docs: DataFrame, key: str = "doc_id", col: str = "text", n_lines: int = 20000,
                     key_source: DataFrame | None = None) -> DataFrame:
     """T9 grouping straight from documents (the corpus file is the documents'
-    lines in ``key`` order).  Same rule as :func:`line_groups`, but both
-    running counts are document-level: a line's global number is its
-    document's line offset plus its index, and its group id is the number
-    of non-blank boundary lines in earlier documents plus earlier lines of
-    its own document.  No line-level window."""
-    from tokenloom.operators.positions import prefix_sum
-
-    d = docs.select(key, F.split(F.coalesce(F.col(col), F.lit("")), "\n", -1).alias("_ls"))
-    d = d.withColumn("_n", F.size("_ls"))
-    d = prefix_sum(d, "_n", [key], out="_off", key_source=key_source)
-    flag = F.transform("_ls", lambda l, k: F.when((F.length(T.strip(l)) > 0) & (((F.col("_off") + k + 1) % F.lit(n_lines)) == 0),
-                                                  F.lit(1)).otherwise(F.lit(0)))
-    d = d.withColumn("_fl", flag).withColumn("_nf", F.aggregate("_fl", F.lit(0).cast("long"), lambda a, x: a + x))
-    d = prefix_sum(d, "_nf", [key], out="_foff", key_source=key_source)
-    before = F.transform("_fl", lambda x, k: F.aggregate(F.slice("_fl", 1, k), F.lit(0).cast("long"), lambda a, y: a + y))
-    ex = d.select("_off", "_foff", F.posexplode(F.arrays_zip(F.col("_ls").alias("l"), before.alias("b"))).alias("_k", "_z"))
-    ex = ex.select((F.col("_off") + F.col("_k")).alias("line_no"), (F.col("_foff") + F.col("_z.b")).alias("group_id"),
-                   T.strip(F.col("_z.l")).alias("_s")).filter(F.length("_s") > 0)
-    return ex.groupBy("group_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "_s"))), lambda x: x["_s"]), " ").alias("text")
+    lines in ``key`` order).  Same rule as :func:`line_groups`, linear in the
+    lines: the texts are stored once, two scans over keys and counts give each
+    document the number of its first line and of the groups closed before it,
+    and each document comes out as its stretches between boundary lines."""
+    from tokenloom.operators.positions import ROW_ID, prefix_sum, stage_rows
+
+    lines = F.split(F.col("_t"), "\n", -1)
+    rows = docs.select(key, F.coalesce(F.col(col), F.lit("")).alias("_t"))
+    rows = stage_rows(rows.withColumn("_n", F.size(lines).cast("long")), "line-docs")
+    at = prefix_sum(rows.select(ROW_ID, key, "_n"), "_n", [key], out="_off", key_source=key_source)
+    # Boundary lines of a document: every n_lines-th line of the corpus that is not blank.
+    first = F.lit(n_lines - 1) - F.col("_off") % F.lit(n_lines)
+    due = F.when(first < F.col("_n"), F.sequence(first, F.col("_n") - 1, F.lit(n_lines).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    marks = rows.select(ROW_ID, "_t").join(at, ROW_ID).select(ROW_ID, key, "_off", "_n", lines.alias("_ls"), due.alias("_due"))
+    ends = F.filter("_due", lambda k: F.length(T.strip(F.element_at("_ls", (k + 1).cast("int")))) > 0)
+    marks = cut_lineage(marks.select(ROW_ID, key, "_off", "_n", ends.alias("_ends")), "line-marks")
+    closed = prefix_sum(marks.select(ROW_ID, key, F.size("_ends").alias("_nf")), "_nf", [key], out="_closed", key_source=key_source)
+    d = rows.select(ROW_ID, "_t").join(marks.drop(key), ROW_ID).join(closed.select(ROW_ID, "_closed"), ROW_ID)
+    cuts = F.concat(F.array(F.lit(-1).cast("long")), "_ends", F.array(F.col("_n") - 1))
+    d = d.select("_off", "_closed", lines.alias("_ls"), cuts.alias("_cuts"))
+    d = d.select("_off", "_closed", "_ls", "_cuts", F.posexplode(F.slice("_cuts", 2, F.size("_cuts") - 1)).alias("_i", "_last"))
+    start = F.element_at("_cuts", F.col("_i") + 1) + 1
+    part = F.slice("_ls", (start + 1).cast("int"), (F.col("_last") - start + 1).cast("int"))
+    kept = F.filter(F.transform(part, T.strip), lambda x: F.length(x) > 0)
+    d = d.select((F.col("_closed") + F.col("_i")).alias("group_id"), (F.col("_off") + start).alias("line_no"), kept.alias("_s")).filter(F.size("_s") > 0)
+    return d.groupBy("group_id").agg(
+        F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "_s"))), lambda x: x["_s"])), " ").alias("text")
     )
 
 

@@ -80,3 +80,14 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     path = stage_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_stage(*tables: DataFrame) -> None:
+    """Remove the files of stage tables (``cut_lineage``) that no plan reads any
+    more.  A table that something lazy still reads must stay."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/tokenloom-stages/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

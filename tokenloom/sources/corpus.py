@@ -7,7 +7,7 @@ into the reader; order is an explicit column, never file order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions import text as T
@@ -81,6 +81,31 @@ def scan_lines(df: DataFrame, key: str = "doc_id", col: str = "text") -> DataFra
     return ex.filter(F.length("line") > 0)
 
 
+def scan_text_lines(spark: SparkSession, path: str, keep_blank: bool = False, whole: bool = False) -> DataFrame:
+    """S5 from text files: ``(file, line_no, line)`` with the 0-based line
+    number in the whole file, lines stripped and blanks dropped (they count).
+
+    A file is read in splits.  A line's place is its split's place in the file,
+    then its place in the split; numbers come from a scan over those places
+    alone (lines per segment, then a prefix sum), so no file is read by one task.
+    ``whole``: number through all files of the folder in name order.
+    ``keep_blank``: neither strip nor drop."""
+    from tokenloom.operators.positions import ROW_ID, row_index, stage_rows
+
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"))
+    rows = stage_rows(raw, "text-lines")  # row ids rise within a split
+    at = row_index(rows.select(ROW_ID, "file", "_at"), ["_at", ROW_ID], ["file"], out="line_no")
+    if whole:  # a row a file
+        sizes = at.groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        at = at.join(starts, "file").withColumn("line_no", F.col("line_no") + F.col("_before"))
+    d = rows.select(ROW_ID, "file", "value").join(at.select(ROW_ID, "line_no"), ROW_ID)
+    if keep_blank:
+        return d.select("file", "line_no", F.col("value").alias("line"))
+    return d.select("file", "line_no", T.strip("value").alias("line")).filter(F.length("line") > 0)
+
+
 def head_rows(df: DataFrame, n: int, order_cols) -> DataFrame:
     """The first ``n`` rows by position (``select(range(n))``):
     ``orderBy().limit()`` plans as a distributed top-k (TakeOrdered)."""
