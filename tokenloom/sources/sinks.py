@@ -18,6 +18,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def drop_output(spark: SparkSession, path: str) -> None:
+    """Remove a stored output that no plan reads any more."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def output_exists(spark: SparkSession, path: str, min_bytes: int = 1) -> bool:
     """A committed output (``_SUCCESS`` present) of at least ``min_bytes``."""
     fs, p = _fs(spark, path)
@@ -78,8 +89,11 @@ def require_nonempty(df: DataFrame, what: str = "output", col: str | None = None
 
 def append_metrics(metrics: DataFrame, path: str, attempt: int, run: str = "run_id") -> None:
     """Append step metrics of a run (a resumed run keeps its run id);
-    ``attempt`` tags the writer so re-written steps can be resolved."""
-    metrics.withColumn("attempt", F.lit(attempt)).write.mode("append").partitionBy(run).parquet(path)
+    ``attempt`` tags the writer so re-written steps can be resolved.  Rows go
+    to the writers by range of run and step, so the files do not multiply with
+    the tasks."""
+    tagged = metrics.withColumn("attempt", F.lit(attempt)).repartitionByRange(run, "step")
+    tagged.write.mode("append").partitionBy(run).parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str, keys=("run_id", "step", "name")) -> DataFrame:

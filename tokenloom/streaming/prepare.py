@@ -68,23 +68,59 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "par
 
 
 def stream_chunks(stream: DataFrame, path: str, checkpoint: str, order: str = "doc_id", col: str = "text",
-                  sep: str = " "):
-    """ST2: one chunk per micro-batch (``maxFilesPerTrigger`` bounds the
-    batch), written by ``foreachBatch`` under ``chunk=<batch_id>`` with
-    overwrite, so a retried batch rewrites the same chunk (idempotent)."""
+                  passed: str | None = None, chunk_size: int = 1000):
+    """ST2: number the records of a stream as they arrive and give each its
+    chunk: ``chunk_size`` source records each, whatever the files and batches.
+
+    Every batch writes ``(chunk_id, position, text)`` rows (text null where
+    ``passed`` is false: the record counts, its text does not) under
+    ``path/rows/batch=<id>``, by as many tasks as it has; then the ledger
+    ``path/ledger/batch=<id>`` says how many records lie before it and in it.
+    Both are overwritten by a replayed batch, which starts from the ledger of
+    earlier batches, so its rows come out the same.  Records of a batch are
+    numbered in ``order``, which must be unique."""
+    from tokenloom.operators.positions import row_index, stage_rows
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        texts = batch.groupBy().agg(
-            F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, col))), lambda x: x[col]), sep).alias("text"),
-            F.count(F.lit(1)).alias("n_records"),
+        spark = batch.sparkSession
+        ok = F.col(passed) if passed else F.lit(True)
+        rows = stage_rows(batch.select(F.col(order), F.when(ok, F.col(col)).alias("text")), "stream-batch")
+        before, n = records_before(spark, path, batch_id), rows.count()
+        number = F.lit(before) + F.col("_rn")
+        out = row_index(rows, [order], out="_rn").select(
+            F.floor(number / F.lit(chunk_size)).cast("long").alias("chunk_id"), (number % F.lit(chunk_size)).cast("int").alias("position"), "text"
         )
-        texts.withColumn("chunk_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/chunk={batch_id}")
+        out.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        ledger = spark.createDataFrame([(before, n)], "before long, n long").coalesce(1)
+        ledger.write.mode("overwrite").parquet(f"{path}/ledger/batch={batch_id}")
 
     q = stream.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
 
+def records_before(spark: SparkSession, path: str, batch_id: int) -> int:
+    """Records that the ledger has of batches before this one."""
+    from tokenloom.sources.sinks import path_exists
+
+    if not path_exists(spark, f"{path}/ledger"):
+        return 0
+    ledger = spark.read.schema("before long, n long, batch long").parquet(f"{path}/ledger").filter(F.col("batch") < F.lit(batch_id))
+    return ledger.agg(F.max(F.col("before") + F.col("n")).alias("n")).first()["n"] or 0
+
+
+def stream_chunk_texts(rows: DataFrame, chunk_size: int = 1000, sep: str = " ") -> DataFrame:
+    """The chunks of :func:`stream_chunks` as texts, ``(chunk_id, text,
+    n_records, is_full)``, by the rule of ``augment.assemble_chunks``: a full
+    chunk ends with ``sep``, a partial one without any text is absent.
+    Groups hold at most ``chunk_size`` records."""
+    texts = F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("position", "text"))))
+    d = rows.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n_records"), F.transform(texts, lambda x: x["text"]).alias("_l"))
+    d = d.withColumn("is_full", F.col("n_records") == F.lit(chunk_size)).filter(F.col("is_full") | (F.size("_l") > 0))
+    body = F.array_join("_l", sep)
+    return d.select("chunk_id", F.when(F.col("is_full"), F.concat(body, F.lit(sep))).otherwise(body).alias("text"), "n_records", "is_full")
+
+
 PROGRESS_SCHEMA = "batch_id long, num_input_rows long, input_rows_per_sec double, processed_rows_per_sec double"
 
 
