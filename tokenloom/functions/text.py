@@ -105,3 +105,13 @@ def zero_padded(n, width: int = 7) -> Column:
 def preview(col, n: int = 120) -> Column:
     """X11: display prefix of a string."""
     return F.substring(_c(col), 1, n)
+
+
+def has_prefix(col, prefix: str) -> Column:
+    """``name.startswith(prefix)``."""
+    return _c(col).startswith(prefix)
+
+
+def has_suffix(col, suffix: str) -> Column:
+    """``name.endswith(suffix)``."""
+    return _c(col).endswith(suffix)

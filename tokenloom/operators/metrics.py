@@ -89,7 +89,7 @@ def cut_after_stop(df: DataFrame, stops: DataFrame, run: str = "run_id", step: s
 
 
 def checkpoint_events(steps: DataFrame, evals: DataFrame, every: int = DEFAULT_CKPT_EVERY, eval_every_n: int = DEFAULT_EVAL_EVERY,
-                      nested: bool = True,
+                      nested: bool = True, save_first: bool = False,
                       run: str = "run_id", step: str = "step") -> DataFrame:
     """Steps that would save a checkpoint.
 
@@ -97,11 +97,14 @@ def checkpoint_events(steps: DataFrame, evals: DataFrame, every: int = DEFAULT_C
     improved, or when ``step > 0 and step % every == 0``, so the effective
     period is lcm(eval interval, every).  ``nested=False`` (fine-tuning):
     improvement at an evaluation step, or ``step > 0 and step % every == 0``
-    at any step.  Output ``(run, step, improved_save, periodic_save)``."""
+    at any step.  ``save_first=True`` (the oldest rule): step 0 is a periodic
+    save too.  Output ``(run, step, improved_save, periodic_save)``."""
     e = evals.select(run, step, "improved")
     j = steps.select(run, step).join(e, [run, step], "left")
     is_eval = F.col("improved").isNotNull()
-    periodic = (F.col(step) > 0) & (F.col(step) % F.lit(every) == 0)
+    periodic = F.col(step) % F.lit(every) == 0
+    if not save_first:
+        periodic = periodic & (F.col(step) > 0)
     if nested:
         periodic = periodic & is_eval
     imp = F.coalesce(F.col("improved"), F.lit(False))

@@ -55,11 +55,10 @@ def encoded_docs(spark: SparkSession, sf_dir: str):
 
 def lm_blocks(spark: SparkSession, sf_dir: str, lookahead: int = 1, encoded=None):
     """The block table stage (the reference's token memmap), materialised.
-    ``encoded``: an already built ``(enc, vocab)`` pair to reuse."""
+    ``encoded``: an already built ``(enc, vocab)`` pair to reuse (staged rows are not stored again)."""
     enc, v = encoded if encoded is not None else encoded_docs(spark, sf_dir)
     keys = table(spark, sf_dir, "documents").select("doc_id")  # cheap sketch source
-    blocks = pack.pack_blocks(enc, "ids", ["doc_id"], STREAMS, BLOCK, lookahead=lookahead, key_source=keys,
-                              materialize=encoded is None)
+    blocks = pack.pack_blocks(enc, "ids", ["doc_id"], STREAMS, BLOCK, lookahead=lookahead, key_source=keys)
     return cut_lineage(blocks), v
 
 

@@ -73,6 +73,14 @@ def w3_patience(spark, sf):
     return evals(spark, sf).select("run_id", "step", "patience_before", "patience_after")
 
 
+@register("w4_cut_after_stop", sql=f"""{BASE},
+sp AS (SELECT run_id, min(CASE WHEN patience_after >= {PATIENCE} THEN step END) AS stop_step FROM pt GROUP BY run_id)
+SELECT ev.run_id, ev.step, ev.loss FROM ev JOIN sp USING (run_id) WHERE stop_step IS NULL OR step <= stop_step""")
+def w4_cut_after_stop(spark, sf):
+    e = evals(spark, sf)
+    return metrics.cut_after_stop(e, metrics.early_stop(e, PATIENCE)).select("run_id", "step", "loss")
+
+
 @register("w4_early_stop", sql=f"{BASE} SELECT run_id, min(CASE WHEN patience_after >= {PATIENCE} THEN step END) AS stop_step FROM pt GROUP BY run_id")
 def w4_early_stop(spark, sf):
     return metrics.early_stop(evals(spark, sf), PATIENCE)
@@ -89,6 +97,43 @@ def w8_checkpoint_events(spark, sf):
     return _ckpts(spark, sf)
 
 
+def _events(spark, sf, **rule):
+    steps = metric_steps(spark, sf)
+    return metrics.checkpoint_events(steps, evals(spark, sf, steps), CKPT_EVERY, EVAL_EVERY, **rule)
+
+
+@register("w8_checkpoint_every_step", sql=f"""{BASE},
+c2 AS (SELECT ms.run_id, ms.step, coalesce(pt.improved, false) AS improved_save, ms.step > 0 AND ms.step % {CKPT_EVERY} = 0 AS periodic_save
+       FROM ms LEFT JOIN pt USING (run_id, step))
+SELECT run_id, step, improved_save, periodic_save FROM c2 WHERE improved_save OR periodic_save""")
+def w8_checkpoint_every_step(spark, sf):
+    """W8, fine-tuning rule: the period holds at every step, evaluation or not."""
+    return _events(spark, sf, nested=False)
+
+
+@register("w8_checkpoint_first_step", sql=f"""{BASE},
+c2 AS (SELECT ms.run_id, ms.step, coalesce(pt.improved, false) AS improved_save, ms.step % {CKPT_EVERY} = 0 AND pt.improved IS NOT NULL AS periodic_save
+       FROM ms LEFT JOIN pt USING (run_id, step))
+SELECT run_id, step, improved_save, periodic_save FROM c2 WHERE improved_save OR periodic_save""")
+def w8_checkpoint_first_step(spark, sf):
+    """W8, oldest rule: step 0 is a periodic save too."""
+    return _events(spark, sf, nested=True, save_first=True)
+
+
+@register("x8_prefix_suffix", sql=f"""{BASE},
+nm AS (SELECT run_id, step, 'ckpt_step_' || printf('%07d', step) || '.pkl' AS name FROM cs
+       UNION ALL SELECT run_id, step, 'checkpoint-' || CAST(step AS VARCHAR) FROM cs
+       UNION ALL SELECT run_id, step, 'ckpt_step_' || CAST(step AS VARCHAR) || '.pkl.tmp' FROM cs)
+SELECT run_id, name, starts_with(name, 'ckpt_step_') AS has_prefix, ends_with(name, '.pkl') AS has_suffix FROM nm""")
+def x8_prefix_suffix(spark, sf):
+    """Which of a run's file names are checkpoints of the first trainer."""
+    n = metrics.checkpoint_names(_ckpts(spark, sf), "step")
+    part = F.concat(F.lit("ckpt_step_"), F.col("step").cast("string"), F.lit(".pkl.tmp"))
+    names = n.select("run_id", F.explode(F.array("pkl_name", "dir_name", part)).alias("name"))
+    return names.select("run_id", "name", T.has_prefix("name", metrics.CKPT_FILE_PREFIX).alias("has_prefix"),
+                        T.has_suffix("name", metrics.CKPT_FILE_SUFFIX).alias("has_suffix"))
+
+
 @register("w9_retain_last", sql=f"{BASE} SELECT run_id, step FROM (SELECT run_id, step, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS r FROM cs) WHERE r <= {KEEP}")
 def w9_retain_last(spark, sf):
     return metrics.retain_last(_ckpts(spark, sf), KEEP, "run_id", "step").select("run_id", "step")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
 from tokenloom.operators import filters, pack, splits, tokenizer, udf
+from tokenloom.operators.positions import stage_rows
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table
 from tokenloom.session import cut_lineage
@@ -43,7 +44,7 @@ def _tokenized_train(spark, sf):
     train = sp.filter(F.col("split") == "train").withColumn("row_no", F.col("shuffle_rank") - F.lit(n_test))
     enc = tokenizer.encode(train.select("doc_id", "row_no", "text"), v, "doc_id", "text", out="input_ids", carry=["row_no"])
     enc = tokenizer.attention_mask(enc, "input_ids")
-    return cut_lineage(enc), train.count()
+    return stage_rows(enc, "packaged-train"), train.count()
 
 
 @register("k4_split_random", sql=f"{BASE} SELECT doc_id, split, shuffle_rank FROM sp")

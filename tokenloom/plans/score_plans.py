@@ -113,28 +113,21 @@ def g10_standardize_vectors(spark, sf):
                     F.round(F.element_at("normed", 64), 6).alias("z64"))
 
 
-@register("j7_lookup_vectors", sql=f"""WITH {FL.PREPARED_SQL}, {FL.VOCAB_SQL},
-bw AS (SELECT item_id, unnest({FL.S.words('text')}) AS token, generate_subscripts({FL.S.words('text')}, 1) AS wpos FROM benchmark),
-bi AS (SELECT bw.item_id, v.id, row_number() OVER (PARTITION BY bw.item_id ORDER BY bw.wpos) - 1 AS pos FROM bw JOIN vocab v USING (token))
-SELECT bi.item_id AS doc_id, CAST(bi.pos AS INTEGER) AS pos, bi.id AS token, round(CAST(e.embedding[1] AS DOUBLE), 6) AS e1
-FROM bi JOIN embeddings e ON e.vec_id = bi.id""")
-def j7_lookup_vectors(spark, sf):
-    bench = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    return _lookup(spark, sf, bench, "inner")
-
-
-@register("j7_lookup_vectors_documents", sql=f"""WITH {FL.PREPARED_SQL}, {FL.VOCAB_SQL},
+LOOKUP_SQL = f"""WITH {FL.PREPARED_SQL}, {FL.VOCAB_SQL},
 dw AS (SELECT doc_id, unnest({FL.S.words('text')}) AS token, generate_subscripts({FL.S.words('text')}, 1) AS wpos FROM documents),
 di AS (SELECT dw.doc_id, v.id, row_number() OVER (PARTITION BY dw.doc_id ORDER BY dw.wpos) - 1 AS pos FROM dw JOIN vocab v USING (token))
 SELECT di.doc_id, CAST(di.pos AS INTEGER) AS pos, di.id AS token, round(CAST(e.embedding[1] AS DOUBLE), 6) AS e1
-FROM di LEFT JOIN embeddings e ON e.vec_id = di.id""")
-def j7_lookup_vectors_documents(spark, sf):
-    """Every token of every document; those without a vector stay, with null."""
-    return _lookup(spark, sf, table(spark, sf, "documents").select("doc_id", "text"), "left")
+FROM di LEFT JOIN embeddings e ON e.vec_id = di.id"""
 
 
-def _lookup(spark, sf, texts, how):
+@register("j7_lookup_vectors", sql=LOOKUP_SQL)
+def j7_lookup_vectors(spark, sf):
+    """Every token of every document; those without a vector stay, with null."""
     _, v = FL.encoded_docs(spark, sf)
+    texts = table(spark, sf, "documents").select("doc_id", "text")
     toks = tokenizer.encode(texts, v, "doc_id", "text", carry=[]).select("doc_id", F.posexplode("ids").alias("pos", "token"))
     vec = table(spark, sf, "embeddings").select("vec_id", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("e1"))
-    return scores.lookup_vectors(toks, vec, "token", "vec_id", how).select("doc_id", "pos", "token", "e1")
+    return scores.lookup_vectors(toks, vec, "token", "vec_id").select("doc_id", "pos", "token", "e1")
+
+
+register("j7_lookup_vectors_documents", sql=LOOKUP_SQL)(j7_lookup_vectors)

@@ -60,6 +60,15 @@ def f6_default_field(spark, sf):
                     F.md5("response").alias("response_md5"))
 
 
+@register("f6_absent_field", sql="""
+SELECT conv_id, turn, md5(coalesce(CASE WHEN role = 'assistant' THEN text END, '')) AS text_md5, '' AS context FROM conversations""")
+def f6_absent_field(spark, sf):
+    """F6 with a column that is not there, and one with nulls (texts of other roles)."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", F.when(F.col("role") == "assistant", F.col("text")).alias("text"))
+    d = filters.default_field(filters.default_field(c, "text"), "context")
+    return d.select("conv_id", "turn", F.md5("text").alias("text_md5"), "context")
+
+
 @register("f5_has_script", sql=f"{BASE} SELECT conv_id, turn FROM tri WHERE {S.has_script('instruction || context || response')}")
 def f5_has_script(spark, sf):
     """F5 with the kana/CJK class on instruction triples (the SFT filter)."""

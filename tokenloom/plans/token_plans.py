@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import arrays as A
 from tokenloom.functions import text as T
-from tokenloom.operators import ngram, pack, splits, tokenizer
+from tokenloom.operators import ngram, pack, splits, token_job, tokenizer
+from tokenloom.operators.positions import stage_rows
 from tokenloom.plans import flagship as FL
 from tokenloom.plans import sqlparts as S
 from tokenloom.plans.registry import register, table
@@ -86,6 +87,33 @@ def j5_drop_special(spark, sf):
     return tokenizer.drop_special(withspec, v, "ids").select("doc_id", A.ints_md5("ids").alias("ids_md5"))
 
 
+@register("j5_drop_special_words", sql=f"""{BASE},
+sw AS (SELECT doc_id, unnest({S.words("replace(text, '. ', ' . <|endoftext|> ')")}) AS token, generate_subscripts({S.words("replace(text, '. ', ' . <|endoftext|> ')")}, 1) AS k FROM aug),
+si AS (SELECT a.doc_id, count(*) FILTER (WHERE sw.token IN ('<|endoftext|>', '<pad>')) AS n_dropped,
+              coalesce(array_to_string(list(v.id ORDER BY sw.k) FILTER (WHERE v.id IS NOT NULL), ','), '') AS ids_s
+       FROM aug a LEFT JOIN sw USING (doc_id) LEFT JOIN vocab v ON v.token = sw.token GROUP BY a.doc_id)
+SELECT doc_id, CAST(n_dropped AS INTEGER) AS n_dropped, md5(ids_s) AS ids_md5 FROM si""")
+def j5_drop_special_words(spark, sf):
+    """J5 on texts that spell the end token between sentences: encoding gives
+    its id, and dropping must take exactly those."""
+    p = FL.prepared_docs(spark, sf, materialize=True)
+    v = cut_lineage(FL.vocab(spark, sf, p))
+    marked = p.select("doc_id", F.replace("text", F.lit(". "), F.lit(f" . {tokenizer.END_TOKEN} ")).alias("text"))
+    enc = tokenizer.encode(marked, v, "doc_id", "text", carry=[]).withColumn("_n", F.size("ids"))
+    d = tokenizer.drop_special(enc, v, "ids")
+    return d.select("doc_id", (F.col("_n") - F.size("ids")).alias("n_dropped"), A.ints_md5("ids").alias("ids_md5"))
+
+
+@register("x18_last_tokens", sql=f"""{BASE},
+p AS (SELECT a.doc_id, coalesce(list(e.id ORDER BY e.wpos) FILTER (WHERE e.id IS NOT NULL), CAST([] AS INTEGER[])) AS l FROM aug a LEFT JOIN enc e USING (doc_id) GROUP BY a.doc_id)
+SELECT doc_id, CAST(least(len(l), {B}) AS INTEGER) AS n, md5(array_to_string(l[greatest(len(l) - {B}, 0) + 1:], ',')) AS tail_md5 FROM p""")
+def x18_last_tokens(spark, sf):
+    """The last B ids of each document (all, where it has fewer)."""
+    enc, _ = _enc(spark, sf)
+    d = enc.select("doc_id", A.last_n("ids", B).alias("tail"))
+    return d.select("doc_id", F.size("tail").alias("n"), A.ints_md5("tail").alias("tail_md5"))
+
+
 @register("t7_count_tokens", sql=f"{BASE} SELECT CAST(sum(n) AS BIGINT) AS n_tokens, CAST(sum(n) - sum(n) % {B} AS BIGINT) AS n_aligned FROM doc_n")
 def t7_count_tokens(spark, sf):
     enc, _ = _enc(spark, sf)
@@ -138,7 +166,7 @@ r AS (SELECT CAST(total_bytes AS BIGINT) AS total_bytes, CAST(sample_bytes AS BI
 SELECT total_bytes, sample_bytes, sample_tokens, estimated, estimated - estimated % {B} AS estimated_aligned FROM r""")
 def t8_estimate_tokens(spark, sf):
     v = cut_lineage(FL.vocab(spark, sf))
-    c = cut_lineage(chunks(spark, sf))
+    c = stage_rows(chunks(spark, sf), "chunks")
     return tokenizer.estimate_tokens(c, v, "chunk_id", "text", SAMPLE_CHARS, B)
 
 
@@ -171,12 +199,40 @@ def t9_encode_line_chunks(spark, sf):
     return al.select("group_id", "n_tokens", F.size("ids").alias("n_kept"), A.ints_md5("ids").alias("ids_md5"))
 
 
+MEMMAP_LINES = LINES_SQL.replace("FROM documents", "FROM aug")
+
+register("t9_tokenize_to_memmap", sql=f"""WITH {FL.PREPARED_SQL}, {FL.VOCAB_SQL}, {MEMMAP_LINES},
+fl AS (SELECT doc_id, text || chr(10) AS text FROM aug),
+co AS (SELECT doc_id, text, sum(length(text)) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - length(text) AS off FROM fl),
+pa AS (SELECT text, substring(text, 1, CAST(greatest(0, least(length(text), {SAMPLE_CHARS} - off)) AS BIGINT)) AS part FROM co),
+pw AS (SELECT unnest({S.words('part')}) AS token FROM pa),
+st AS (SELECT count(*) AS n FROM pw JOIN vocab USING (token)),
+sz AS (SELECT sum(strlen(text)) AS total, sum(strlen(part)) AS sampled FROM pa),
+es AS (SELECT CASE WHEN sampled > 0 THEN CAST(floor(n * (total / sampled)) AS BIGINT) ELSE 0 END AS e FROM sz, st),
+cp AS (SELECT e - e % {B} AS cap FROM es),
+gw AS (SELECT group_id, unnest({S.words('text')}) AS token, generate_subscripts({S.words('text')}, 1) AS wpos FROM grp),
+gi AS (SELECT gw.group_id, v.id, row_number() OVER (PARTITION BY gw.group_id ORDER BY gw.wpos) - 1 AS k,
+              count(*) OVER (PARTITION BY gw.group_id) AS n FROM gw JOIN vocab v USING (token)),
+gt AS (SELECT group_id, max(n) - max(n) % {B} AS m FROM gi GROUP BY group_id),
+go AS (SELECT group_id, m, sum(m) OVER (ORDER BY group_id ROWS UNBOUNDED PRECEDING) - m AS s FROM gt),
+tk AS (SELECT gi.id, go.s + gi.k AS pos FROM gi JOIN go USING (group_id) WHERE gi.k < go.m)
+SELECT CAST(pos // {B} AS BIGINT) AS block_id, md5(array_to_string(list(id ORDER BY pos), ',')) AS tokens_md5
+FROM tk, cp WHERE pos < cap GROUP BY pos // {B}""")(lambda spark, sf: _memmap(spark, sf))
+
+
+def _memmap(spark, sf):
+    """The trainer's whole tokenizing job on the prepared corpus."""
+    p = FL.prepared_docs(spark, sf, materialize=True)
+    v = cut_lineage(FL.vocab(spark, sf, p))
+    blocks = token_job.tokenize_to_blocks(p, v, "doc_id", "text", N_LINES, SAMPLE_CHARS, B, key_source=table(spark, sf, "documents").select("doc_id"))
+    return blocks.select("block_id", A.ints_md5("tokens").alias("tokens_md5"))
+
+
 # --- P: packing ---------------------------------------------------------------
 
 @register("p1_global_offsets", sql=f"{BASE} SELECT doc_id, lang, CAST(s AS BIGINT) AS \"offset\", CAST(n AS BIGINT) AS n_tokens FROM off")
 def p1_global_offsets(spark, sf):
     enc, _ = _enc(spark, sf)
-    enc = cut_lineage(enc, "encoded")  # the bucketed scan reads its input twice
     d = pack.global_offsets(enc, "ids", ["doc_id"], ST, key_source=table(spark, sf, "documents").select("doc_id"))
     return d.select("doc_id", "lang", "offset", "n_tokens")
 
@@ -251,16 +307,14 @@ def w5_next_token(spark, sf):
 SELECT lang, 'train' AS split, CAST(0 AS BIGINT) AS start, CAST(k - k // 5 AS BIGINT) AS "end" FROM kept
 UNION ALL SELECT lang, 'val', CAST(k - k // 5 AS BIGINT), CAST(k AS BIGINT) FROM kept""")
 def k1_split_tail(spark, sf):
-    blocks, _ = FL.lm_blocks(spark, sf, lookahead=0)
-    return splits.split_tail(splits.stream_lengths(blocks, ST, B), 5, ST)
+    return splits.split_tail(splits.kept_lengths(_enc(spark, sf)[0], "ids", ST, B), 5, ST)
 
 
 @register("k2_split_ratio", sql=f"""{BASE}
 SELECT lang, 'train' AS split, CAST(0 AS BIGINT) AS start, CAST(k - floor(k * {FL.VAL_RATIO}) AS BIGINT) AS "end" FROM kept
 UNION ALL SELECT lang, 'val', CAST(k - floor(k * {FL.VAL_RATIO}) AS BIGINT), CAST(k AS BIGINT) FROM kept""")
 def k2_split_ratio(spark, sf):
-    blocks, _ = FL.lm_blocks(spark, sf, lookahead=0)
-    return splits.split_ratio(splits.stream_lengths(blocks, ST, B), FL.VAL_RATIO, ST)
+    return splits.split_ratio(splits.kept_lengths(_enc(spark, sf)[0], "ids", ST, B), FL.VAL_RATIO, ST)
 
 
 @register("k9_require_span", sql=f"""{BASE}
@@ -268,13 +322,10 @@ SELECT lang, 'train' AS split, k - CAST(floor(k * {FL.VAL_RATIO}) AS BIGINT) - {
        k - CAST(floor(k * {FL.VAL_RATIO}) AS BIGINT) - {B + 1} > 0 AS ok FROM kept
 UNION ALL SELECT lang, 'val', CAST(floor(k * {FL.VAL_RATIO}) AS BIGINT) - {B + 1}, CAST(floor(k * {FL.VAL_RATIO}) AS BIGINT) - {B + 1} > 0 FROM kept""")
 def k9_require_span(spark, sf):
-    """K9: the window-start bound ``end - start - B - 1`` of every split and
-    whether the guard passes (``splits.require_span`` raises where it does
-    not; the query reports instead of failing on small data)."""
-    blocks, _ = FL.lm_blocks(spark, sf, lookahead=0)
-    b = splits.split_ratio(splits.stream_lengths(blocks, ST, B), FL.VAL_RATIO, ST)
-    span = F.col("end") - F.col("start") - F.lit(B + 1)
-    return b.select("lang", "split", span.alias("span"), (span > 0).alias("ok"))
+    """K9: the window-start bound of every split and whether the guard passes
+    (the query reports instead of failing on small data)."""
+    b = splits.split_ratio(splits.kept_lengths(_enc(spark, sf)[0], "ids", ST, B), FL.VAL_RATIO, ST)
+    return splits.require_span(b, B, strict=False).select("lang", "split", "span", "ok")
 
 
 STEPS, MICRO, BATCH = 4, 4, 8
@@ -355,7 +406,7 @@ SELECT doc_id, lang, count(*) AS n_pairs, round(avg(nll), 6) AS cross_entropy, r
 FROM sc GROUP BY doc_id, lang""")
 def m6_rank_docs_by_perplexity(spark, sf):
     enc, v = _enc(spark, sf)
-    enc = cut_lineage(enc, "encoded")  # feeds both the block table and the scoring
+    enc = stage_rows(enc, "encoded")  # feeds both the block table and the scoring
     model, _ = _model(spark, sf, FL.lm_blocks(spark, sf, lookahead=1, encoded=(enc, v)))
     return ngram.rank_docs_by_perplexity(enc, model, tokenizer.vocab_size(v), FL.ALPHA, "doc_id", "ids", ST)
 
