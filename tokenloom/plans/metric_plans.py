@@ -97,18 +97,17 @@ def w8_checkpoint_events(spark, sf):
     return _ckpts(spark, sf)
 
 
-def _events(spark, sf, **rule):
-    steps = metric_steps(spark, sf)
-    return metrics.checkpoint_events(steps, evals(spark, sf, steps), CKPT_EVERY, EVAL_EVERY, **rule)
+TUNE_EVERY = 7  # not a multiple of the evaluation interval
 
 
 @register("w8_checkpoint_every_step", sql=f"""{BASE},
-c2 AS (SELECT ms.run_id, ms.step, coalesce(pt.improved, false) AS improved_save, ms.step > 0 AND ms.step % {CKPT_EVERY} = 0 AS periodic_save
+c2 AS (SELECT ms.run_id, ms.step, coalesce(pt.improved, false) AS improved_save, ms.step > 0 AND ms.step % {TUNE_EVERY} = 0 AS periodic_save
        FROM ms LEFT JOIN pt USING (run_id, step))
 SELECT run_id, step, improved_save, periodic_save FROM c2 WHERE improved_save OR periodic_save""")
 def w8_checkpoint_every_step(spark, sf):
     """W8, fine-tuning rule: the period holds at every step, evaluation or not."""
-    return _events(spark, sf, nested=False)
+    steps = metric_steps(spark, sf)
+    return metrics.checkpoint_events(steps, evals(spark, sf, steps), TUNE_EVERY, EVAL_EVERY, nested=False)
 
 
 @register("w8_checkpoint_first_step", sql=f"""{BASE},
@@ -117,7 +116,8 @@ c2 AS (SELECT ms.run_id, ms.step, coalesce(pt.improved, false) AS improved_save,
 SELECT run_id, step, improved_save, periodic_save FROM c2 WHERE improved_save OR periodic_save""")
 def w8_checkpoint_first_step(spark, sf):
     """W8, oldest rule: step 0 is a periodic save too."""
-    return _events(spark, sf, nested=True, save_first=True)
+    steps = metric_steps(spark, sf)
+    return metrics.checkpoint_events(steps, evals(spark, sf, steps), CKPT_EVERY, EVAL_EVERY, nested=True, save_first=True)
 
 
 @register("x8_prefix_suffix", sql=f"""{BASE},
