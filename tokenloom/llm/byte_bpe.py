@@ -19,7 +19,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from tokenloom.llm.common import id_text
+from tokenloom.llm.common import id_text, map_rows
 
 _CODECS: dict = {}
 
@@ -158,10 +158,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
                     out.append([*row, ids.astype(np.int32)] if with_ids else row)
                 names = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
                 done = pd.DataFrame(out, columns=names if with_ids else names[:3])
-                done.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
-                done["doc_id"] = done["doc_id"].astype("Int64")
+                done.insert(0, "doc_id", part["doc_id"].to_numpy())
                 yield done
 
-    return id_text(docs).mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
+    return map_rows(
+        id_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     )

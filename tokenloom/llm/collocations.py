@@ -35,10 +35,10 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import LOWER, UPPER, mix64
+from tokenloom.llm.common import LOWER, UPPER, Bits, bitmap, mix64
 from tokenloom.session import cut_lineage
 
 CHUNK_BYTES = 1 << 22  # text looked at together
@@ -79,17 +79,6 @@ def chunks(texts) -> Iterator[tuple[bytes, bool]]:
         yield b"\n".join(held), False
 
 
-class Bits:
-    """A fixed number of bits, addressed by hash."""
-
-    def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        h = h & self.mask
-        return (self.words[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) != 0
-
-
 def word_hash(lang: bytes, word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang))
 
@@ -282,29 +271,17 @@ def _word_hashes(phrases: DataFrame) -> DataFrame:
     return phrases.select("lang", "phrase").mapInPandas(run, "h long")
 
 
-def _bitmap(spark: SparkSession, hashes: DataFrame, filter_bits: int):
-    """Broadcast bitmap of the hashes; its size does not depend on their number."""
-    slot = F.expr(f"pmod(h, {filter_bits}L) div 64").alias("slot")
-    rows = hashes.select(slot, F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toPandas()
-    words = np.zeros(filter_bits // 64, np.int64)
-    words[rows["slot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return spark.sparkContext.broadcast(words.view(np.uint64))
-
-
 def phrase_counts(docs: DataFrame, min_count: int, max_words: int = 5, filter_bits: int = 1 << 24) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, f) of all phrases of up to ``max_words`` words that
     occur ``min_count`` times or more, and (lang, n): all words of a language."""
-    if filter_bits < 64 or filter_bits & (filter_bits - 1):
-        raise ValueError("filter_bits is a power of two, 64 at least")
-    spark = docs.sparkSession
     base = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     words = cut_lineage(merged(base.mapInPandas(_count((1,)), PARTIAL), min_count), "phrase-words")
     totals = words.where("m = 0").select("lang", F.col("c").alias("n"))
     out = words.where("m = 1")
     if max_words >= 2:
-        known = _bitmap(spark, _word_hashes(out), filter_bits)
+        known = bitmap(_word_hashes(out), "h", filter_bits)
         pairs = base.mapInPandas(_count((2,), known, as_hashes=True), "h long, c long")
-        linked = _bitmap(spark, cut_lineage(merged_hashes(pairs, min_count), "phrase-pairs"), filter_bits)
+        linked = bitmap(cut_lineage(merged_hashes(pairs, min_count), "phrase-pairs"), "h", filter_bits)
         longer = base.mapInPandas(_count(tuple(range(2, max_words + 1)), known, linked), PARTIAL)
         out = out.unionByName(cut_lineage(merged(longer, min_count), "phrases"))
         known.unpersist()

@@ -20,6 +20,14 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def map_rows(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInPandas`` for rows with a doc_id that ``fn`` passes on: it goes
+    through Python as text, as a long column with a null in it would come as
+    doubles and lose the last bits of large ids."""
+    out = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(fn, schema.replace("doc_id long", "doc_id string"))
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def doc_key():
     """``th``: with doc_id it identifies a document.  Rows that repeat both
     are one document for every count, and each gets the same result."""
@@ -75,3 +83,27 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = out * base + h[j : j + n]
     return mix64(out)
+
+
+class Bits:
+    """A fixed number of bits, addressed by hash."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        h = h & self.mask
+        return (self.words[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) != 0
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int):
+    """Broadcast variable with the words of ``Bits`` for a column of hashes; its
+    size does not depend on their number."""
+    if bits < 64 or bits & (bits - 1):
+        raise ValueError("a bitmap has a power of two bits, 64 at least")
+    slot = F.expr(f"pmod(`{column}`, {bits}L) div 64").alias("slot")
+    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("bit")
+    rows = hashes.select(slot, bit).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toPandas()
+    words = np.zeros(bits // 64, np.int64)
+    words[rows["slot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return hashes.sparkSession.sparkContext.broadcast(words.view(np.uint64))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import doc_key, id_crc, id_text, words
+from tokenloom.llm.common import doc_key, id_crc, id_text, map_rows, words
 from tokenloom.session import cut_lineage
 
 END = b"\n"  # no word holds a line break
@@ -167,7 +167,6 @@ def _encode(shared):
                 done = pd.DataFrame(out, columns=["n_tokens", "known", "base", "inside", "seq"])
                 for c in ("doc_id", "th", "held_out"):
                     done[c] = part[c].to_numpy()
-                done["doc_id"] = done["doc_id"].astype("Int64")
                 yield done[["doc_id", "th", "held_out", "n_tokens", "known", "base", "inside", "seq"]]
 
     return run
@@ -180,12 +179,11 @@ def _rare(shared):
         for pdf in batches:
             out = []
             for doc_id, text, th in zip(pdf["doc_id"], pdf["text"], pdf["th"]):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
                 out += [(doc_id, th, w, n, ending(w)) for w, n in Counter([*words(text, lower=True), END]).items() if w not in common]
                 if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(out, columns=names)
                     out = []
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "th": "int64", "n": "int64", "ending": "int32"})
+            yield pd.DataFrame(out, columns=names).astype({"th": "int64", "n": "int64", "ending": "int32"})
 
     return run
 
@@ -218,7 +216,7 @@ def _score(shared):
                 logs[pick] = forward([seqs[i] for i in pick], m.start, m.trans, emit_t)[-1]
             out = pdf.drop(columns=["seq", "inside"])
             out["score"] = logs / math.log(10) + pdf["inside"]
-            yield out[["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]].astype({"doc_id": "Int64"})
+            yield out[["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]]
 
     return run
 
@@ -252,8 +250,8 @@ def hmm_scores(
     shared = spark.sparkContext.broadcast(model)
 
     enc = "doc_id long, th long, held_out boolean, n_tokens long, known long, base double, inside double, seq array<int>"
-    encoded = cut_lineage(base.mapInPandas(_encode(shared), enc), "sequences")
-    rare = cut_lineage(base.select("doc_id", "text", "th").mapInPandas(_rare(shared), "doc_id long, th long, word binary, n long, ending int"), "rare-words")
+    encoded = cut_lineage(map_rows(base, _encode(shared), enc), "sequences")
+    rare = cut_lineage(map_rows(base.select("doc_id", "text", "th"), _rare(shared), "doc_id long, th long, word binary, n long, ending int"), "rare-words")
     sizes = spark.createDataFrame([(i, float(x)) for i, x in enumerate(in_class)], "ending int, size double")
     c = F.coalesce(F.col("c"), F.lit(0))
     looked = rare.join(vocab.select("word", "c"), "word", "left").join(F.broadcast(sizes), "ending")
@@ -285,5 +283,5 @@ def hmm_scores(
         (F.col("e.base") + F.coalesce(F.col("s.rare_base") / times, zero)).alias("base_score"),
         (F.col("e.inside") + F.coalesce(F.col("s.rare_inside") / times, zero)).alias("inside"),
     )
-    out = both.mapInPandas(_score(final), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = map_rows(both, _score(final), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

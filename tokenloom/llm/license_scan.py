@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordHash, id_text, window_hashes
+from tokenloom.llm.common import WordHash, id_text, map_rows, window_hashes
 
 # Notices by which works name their licence, and the openings of the licences.
 TEMPLATES = {
@@ -278,10 +278,10 @@ def license_scan(docs: DataFrame, model: ParagraphClassifier, confirm: float = 0
         for pdf in batches:
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                doc_id, lines = None if pd.isna(doc_id) else int(doc_id), text.split("\n")
+                lines = text.split("\n")
                 for words, line_of in blocks(text):
                     for first, last, *rest in notices(words, line_of, m, memo, templates, confirm):
                         out.append((doc_id, first, *rest, "\n".join(lines[first : last + 1])))
-            yield pd.DataFrame(out, columns=["doc_id", "line", "family", "probability", "similarity", "paragraph"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "line", "family", "probability", "similarity", "paragraph"])
 
-    return id_text(docs).mapInPandas(run, "doc_id long, line int, family string, probability double, similarity double, paragraph string")
+    return map_rows(id_text(docs), run, "doc_id long, line int, family string, probability double, similarity double, paragraph string")
