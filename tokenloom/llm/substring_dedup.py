@@ -1,11 +1,20 @@
 """Substring dedup by seed and extend, on words.
 
-Winnowed anchors (the least hash of each window's k-word runs) are seeds.
-Documents meet on anchors that occur twice or more; each such seed is extended
-both ways over every window around it, and equal extensions are compared with
-the earliest one.  Overlapping later windows join into maximal repeats.
-
-Null text has no words.  Rows that repeat doc_id and text are one document.
+Winnowed anchors (the least hash of each window's k-word runs) are seeds.  An
+occurrence of an anchor that lies in the corpus twice or more is extended both
+ways to its context: all words of the windows that the anchor stands for.
+Occurrences meet on their contexts first: all but the earliest of a context are
+repeats as a whole.  Where an anchor has several contexts, the earliest
+occurrence of each is compared window by window.  Windows that are repeats and
+overlap join into maximal repeats.
+
+Tasks know the repeated anchors by a bitmap of ``filter_bits`` bits, whatever the
+corpus (what passes in vain meets nobody).  Contexts and windows are told apart
+by 64-bit hashes of their words.
+
+Null text has no words; an empty table gives an empty result; texts of any
+length are read whole.  Rows that repeat doc_id and text are one document, and
+null ids come before all others.
 """
 
 from __future__ import annotations
@@ -17,8 +26,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordHash, doc_key, id_text, window_hashes, words
-from tokenloom.session import cut_lineage
+from tokenloom.llm.common import Bits, WordHash, bitmap, doc_key, id_text, map_rows, mix64, words
+from tokenloom.session import cut_lineage, drop_stage
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def span_hashes(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of the words from a up to b, for each pair: differences of a running
+    polynomial sum, modulo 2^64."""
+    if len(_POWERS[0]) <= len(h):
+        n = 2 * len(h) + 1
+        for i, x in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            step = np.full(n, x, np.uint64)
+            step[0] = 1
+            _POWERS[i] = np.cumprod(step, dtype=np.uint64)
+    up, down = _POWERS
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)))
+    return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def anchors_of(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -27,7 +54,8 @@ def anchors_of(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarr
     n = len(h) - window + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    grams = window_hashes(h, k)
+    places = np.arange(len(h) - k + 1)
+    grams = span_hashes(h, places, places + k)
     least, at = grams[:n].copy(), np.arange(n)
     for j in range(1, window - k + 1):
         nxt = grams[j : j + n]
@@ -38,53 +66,65 @@ def anchors_of(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarr
     return grams[at[cuts]].view(np.int64), cuts
 
 
-def seeds_of(h: np.ndarray, window: int, k: int):
-    """(anchor hash, first window, hashes of the windows it stands for), for
-    each anchor occurrence of a text's word hashes."""
+def seeds_of(h: np.ndarray, window: int, k: int, known: Bits):
+    """anchor, context hash, first window and number of windows of each
+    occurrence of a known anchor, and the hashes of a text's windows."""
     anchors, cuts = anchors_of(h, window, k)
-    if len(cuts):
-        signed = window_hashes(h, window).view(np.int64)
-        for anchor, a, b in zip(anchors.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(signed)]):
-            yield anchor, a, signed[a:b]
+    if not len(cuts):
+        return anchors, anchors, cuts, cuts, anchors
+    n = len(h) - window + 1
+    ends = np.append(cuts[1:], n)
+    keep = known.has(anchors.view(np.uint64))
+    anchors, cuts, ends = anchors[keep], cuts[keep], ends[keep]
+    at = np.arange(n if len(cuts) else 0)
+    return anchors, span_hashes(h, cuts, ends + window - 1).view(np.int64), cuts, ends - cuts, span_hashes(h, at, at + window).view(np.int64)
 
 
 def _anchors(window: int, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHash()
         for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                found = [anchors_of(memo.of(words(t)), window, k)[0] for t in pdf["text"].iloc[at : at + 500]]
-                yield pd.DataFrame({"anchor": np.concatenate(found)})
+            for at in range(0, len(pdf), 2000):
+                found = np.concatenate([anchors_of(memo.of(words(t)), window, k)[0] for t in pdf["text"].iloc[at : at + 2000]])
+                anchor, c = np.unique(found, return_counts=True)
+                yield pd.DataFrame({"anchor": anchor, "c": c})
 
     return run
 
 
-def _seeds(window: int, k: int):
+def _seeds(window: int, k: int, repeated):
+    names = ["doc_id", "th", "anchor", "ctx", "start", "n", "hashes"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
-        names = ["doc_id", "th", "anchor", "start", "hashes"]
+        memo, known = WordHash(), Bits(repeated.value)
         for pdf in batches:
-            out = []
+            out: list[list] = [[] for _ in names]
             for doc_id, text, th in zip(pdf["doc_id"], pdf["text"], pdf["th"]):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
-                out += [(doc_id, th, a, s, w) for a, s, w in seeds_of(memo.of(words(text)), window, k)]
-                if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-                    out = []
-            if out:
-                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                anchors, contexts, cuts, sizes, hashes = seeds_of(memo.of(words(text)), window, k, known)
+                if not len(cuts):
+                    continue
+                some = [[doc_id] * len(cuts), [th] * len(cuts), anchors, contexts, cuts, sizes]
+                for col, values in zip(out, some):
+                    col.extend(values)
+                out[-1].extend(hashes[a : a + n] for a, n in zip(cuts.tolist(), sizes.tolist()))
+                if len(out[0]) > 50_000:
+                    yield pd.DataFrame(dict(zip(names, out)))
+                    out = [[] for _ in names]
+            if out[0]:
+                yield pd.DataFrame(dict(zip(names, out)))
 
     return run
 
 
-def cut_text(text: str, starts, window: int) -> tuple[str, int, int, list[dict]]:
-    """Text without the words that the windows cover, and what was cut."""
+def cut_text(text: str, starts, sizes, window: int) -> tuple[str, int, int, list[dict]]:
+    """Text without the words that the windows cover (``sizes`` windows from
+    each of ``starts``), and what was cut."""
     ws = words(text)
     edge = np.zeros(len(ws) + 1, np.int64)
     if starts is not None and len(starts):
-        s = np.unique(np.asarray(starts, np.int64))
-        edge[s] += 1
-        edge[s + window] -= 1
+        s = np.asarray(starts, np.int64)
+        np.add.at(edge, s, 1)
+        np.add.at(edge, s + np.asarray(sizes, np.int64) + window - 1, -1)
     covered = np.cumsum(edge[:-1]) > 0
     turn = np.flatnonzero(np.diff(np.concatenate(([0], covered.view(np.int8), [0]))))
     kept = b" ".join(w for w, c in zip(ws, covered.tolist()) if not c).decode("utf-8")
@@ -92,47 +132,56 @@ def cut_text(text: str, starts, window: int) -> tuple[str, int, int, list[dict]]
 
 
 def _cutter(window: int):
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for text, starts in parts:
-            out = [cut_text(t, s, window) for t, s in zip(text, starts)]
+    def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for text, starts, sizes in parts:
+            out = [cut_text(t, s, n, window) for t, s, n in zip(text, starts, sizes)]
             yield pd.DataFrame(out, columns=["text", "n_words", "n_removed", "repeats"])
 
     return F.pandas_udf(run, "text string, n_words long, n_removed long, repeats array<struct<start:int,end:int>>")
 
 
-def later_windows(base: DataFrame, window: int, k: int) -> DataFrame:
-    """doc_id, th, starts: windows whose words also start earlier."""
-    seeds = base.mapInPandas(_seeds(window, k), "doc_id long, th long, anchor long, start int, hashes array<long>")
-    # Anchors are found twice: cheaper than keeping 8 bytes a word on disk.
-    anchors = base.select("text").mapInPandas(_anchors(window, k), "anchor long")
-    twice = cut_lineage(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "anchors")
-    wins = cut_lineage(
-        seeds.join(twice, "anchor").select("doc_id", "th", "anchor", "start", F.posexplode("hashes").alias("i", "win")).select(
-            "doc_id", "th", "anchor", "win", (F.col("start") + F.col("i")).alias("pos")
-        ),
-        "windows",
-    )
-    first = cut_lineage(
-        wins.groupBy("anchor", "win")
-        .agg(F.min(F.struct("doc_id", "th", "pos")).alias("first"), F.max(F.struct("doc_id", "th", "pos")).alias("last"))
-        .where(~F.col("first").eqNullSafe(F.col("last")))
-        .select("anchor", "win", "first"),
-        "first-windows",
-    )
-    later = wins.join(first, ["anchor", "win"]).where(~F.struct("doc_id", "th", "pos").eqNullSafe(F.col("first")))
-    return later.groupBy("doc_id", "th").agg(F.collect_list("pos").alias("starts"))
-
-
-def substring_dedup(docs: DataFrame, window: int = 20, k: int = 10) -> DataFrame:
+def repeats(base: DataFrame, window: int, k: int, filter_bits: int) -> DataFrame:
+    """doc_id, th, starts, sizes: stretches of windows whose words also start earlier."""
+    counted = base.select("text").mapInPandas(_anchors(window, k), "anchor long, c long").groupBy("anchor").agg(F.sum("c").alias("c"))
+    twice = cut_lineage(counted.where("c > 1").select("anchor"), "anchors")
+    known = bitmap(twice, "anchor", filter_bits)
+    drop_stage(twice)
+    kinds = "doc_id long, th long, anchor long, ctx long, start int, n int, hashes array<long>"
+    seeds = cut_lineage(map_rows(base, _seeds(window, k, known), kinds), "seeds")
+    known.unpersist()
+
+    at = F.struct("doc_id", "th", "start")
+    contexts = seeds.groupBy("ctx").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.min("anchor").alias("anchor"))
+    contexts = cut_lineage(contexts, "contexts")
+    again = contexts.where(~F.col("first").eqNullSafe(F.col("last"))).select("ctx", "first")
+    later = seeds.select("doc_id", "th", "start", "n", "ctx").join(again, "ctx").where(~at.eqNullSafe(F.col("first")))
+    later = cut_lineage(later.select("doc_id", "th", "start", "n"), "later-contexts")
+
+    several = contexts.groupBy("anchor").count().where("count > 1").select("anchor")
+    alone = contexts.join(several, "anchor").select("ctx", "first")
+    apart = seeds.join(alone, "ctx").where(at.eqNullSafe(F.col("first"))).select("doc_id", "th", "start", F.posexplode("hashes").alias("i", "win"))
+    windows = cut_lineage(apart.select("doc_id", "th", (F.col("start") + F.col("i")).alias("start"), "win"), "windows")
+    drop_stage(seeds, contexts)
+    first = windows.groupBy("win").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    first = first.where(~F.col("first").eqNullSafe(F.col("last"))).select("win", "first")
+    single = windows.join(first, "win").where(~at.eqNullSafe(F.col("first"))).select("doc_id", "th", "start", F.lit(1).alias("n"))
+    found = later.unionByName(single).groupBy("doc_id", "th").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("sizes"))
+    found = cut_lineage(found, "repeats")
+    drop_stage(windows, later)
+    return found
+
+
+def substring_dedup(docs: DataFrame, window: int = 20, k: int = 10, filter_bits: int = 1 << 26) -> DataFrame:
     """doc_id, text (kept words joined by one space), n_words, n_removed,
     repeats (maximal runs of removed words: start, end), row (the input row).
 
     k: words in an anchor; every repeat of ``window`` words holds one.
+    filter_bits: bits that tasks keep of the repeated anchors, a power of two.
     """
-    late = cut_lineage(later_windows(id_text(docs).withColumn("th", doc_key()), window, k), "later-windows")
+    late = repeats(id_text(docs).withColumn("th", doc_key()), window, k, filter_bits)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     b = docs.select(row).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("row.text", F.lit("")).alias("text"))
     b, x = b.withColumn("th", doc_key()).alias("b"), late.alias("x")
     joined = b.join(x, (F.col("b.th") == F.col("x.th")) & F.col("b.doc_id").eqNullSafe(F.col("x.doc_id")), "left")
-    cut = joined.select("b.doc_id", "b.row", _cutter(window)("b.text", "x.starts").alias("cut"))
+    cut = joined.select("b.doc_id", "b.row", _cutter(window)("b.text", "x.starts", "x.sizes").alias("cut"))
     return cut.select("doc_id", "cut.*", "row")
