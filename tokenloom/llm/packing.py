@@ -5,7 +5,9 @@ histogram of remainder lengths (at most max_len - 1 bins, whatever the input)
 is packed longest first into the pattern with most room; patterns are counts,
 not documents.  Patterns meet documents again by rank within a length.
 
-Null text is an empty text: one end token.  Repeated rows are packed each.
+Null text is an empty text: one end token.  Repeated rows are packed each, null
+ids are ids like any other, an empty table gives no pieces, and a text of any
+length is cut into whole sequences and one remainder.
 """
 
 from __future__ import annotations
@@ -21,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenloom.llm.common import id_text
+from tokenloom.llm.common import id_text, map_rows
 from tokenloom.session import cut_lineage
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+WORDS_KEPT = 1 << 20  # distinct words that a worker remembers
 _TOKENIZERS: dict = {}
+_ENCODERS: dict = {}
 
 
 def _tokenizer(path: str):
@@ -37,26 +41,60 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+class WordEncoder:
+    """Ids of whole texts by their white-space words.
+
+    The tokenizer drops white space and none of its patterns spans it, and its
+    special tokens hold none: a text's ids are those of its words, one after
+    the other.  Each distinct word is encoded once while it is remembered.
+    Only the six ASCII spaces part words here; others stay inside, for the
+    tokenizer to handle."""
+
+    def __init__(self, path: str, special_as_text: bool):
+        self.path, self.special_as_text = path, special_as_text
+        self.known: dict[bytes, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        parts = [t.encode("utf-8", "replace").split() for t in texts]
+        new = list(set().union(*parts).difference(self.known))
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.known.clear()
+            new = list(set().union(*parts))
+        tok = _tokenizer(self.path)
+        tok.encode_special_tokens = self.special_as_text
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            for w, enc in zip(some, tok.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
+                self.known[w] = np.array(enc.ids, "<u4").tobytes()
+        return [b"".join(map(self.known.__getitem__, ws)) for ws in parts]
+
+
+def _encoder(path: str, special_as_text: bool) -> WordEncoder:
+    if (path, special_as_text) not in _ENCODERS:
+        _ENCODERS[path, special_as_text] = WordEncoder(path, special_as_text)
+    return _ENCODERS[path, special_as_text]
+
+
 def _pieces(path: str, end_id: int, max_len: int, special_as_text: bool):
+    end = np.array([end_id], "<u4").tobytes()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tok = _tokenizer(path)
-        tok.encode_special_tokens = special_as_text
+        encode = _encoder(path, special_as_text)
         for pdf in batches:
             texts, at = pdf["text"].tolist(), 0
-            while at < len(texts):  # batches of about a million characters
+            while at < len(texts):  # about a million characters together
                 to, chars = at, 0
                 while to < len(texts) and (to == at or chars + len(texts[to]) <= 1_000_000):
                     chars += len(texts[to])
                     to += 1
                 out = []
-                for doc_id, enc in zip(pdf["doc_id"].iloc[at:to], tok.encode_batch_fast(texts[at:to], add_special_tokens=False)):
-                    ids = np.asarray([*enc.ids, end_id], dtype="<u4")
-                    doc_id = None if pd.isna(doc_id) else int(doc_id)
-                    for s in range(0, len(ids), max_len):
-                        piece = ids[s : s + max_len]
-                        out.append((doc_id, s, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+                for doc_id, ids in zip(pdf["doc_id"].iloc[at:to], encode(texts[at:to])):
+                    ids += end
+                    for s in range(0, len(ids), 4 * max_len):
+                        piece = ids[s : s + 4 * max_len]
+                        out.append((doc_id, s // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
                 at = to
-                yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return run
 
@@ -135,5 +173,5 @@ def pack(pieces: DataFrame, max_len: int) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, max_len: int = 2048, special_as_text: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one
     row per piece.  A whole sequence is a piece by itself."""
-    pieces = cut_lineage(id_text(docs).mapInPandas(_pieces(tokenizer_path, end_id, max_len, special_as_text), PIECE), "pieces")
+    pieces = cut_lineage(map_rows(id_text(docs), _pieces(tokenizer_path, end_id, max_len, special_as_text), PIECE), "pieces")
     return pack(pieces, max_len)
