@@ -25,20 +25,3 @@ def last_n(col, n: int) -> Column:
     c = _c(col)
     k = F.least(F.size(c), F.lit(n))
     return F.when(k > 0, F.slice(c, -k, k)).otherwise(F.slice(c, 1, 0))
-
-
-def repeat_to(col, width: int, fill) -> Column:
-    """Right-pad to ``width`` with ``fill``."""
-    c = _c(col)
-    return F.concat(c, F.array_repeat(F.lit(fill), F.greatest(F.lit(0), F.lit(width) - F.size(c))))
-
-
-def replace_where(col, value, by) -> Column:
-    """Conditional replace of elements equal to ``value``."""
-    return F.transform(_c(col), lambda x: F.when(x == F.lit(value), F.lit(by)).otherwise(x))
-
-
-def without(col, values) -> Column:
-    """Remove the given values (membership filter)."""
-    lit = F.array(*[F.lit(v) for v in values])
-    return F.filter(_c(col), lambda x: ~F.array_contains(lit, x))
