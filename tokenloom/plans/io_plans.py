@@ -246,7 +246,7 @@ def st5_stream_early_stop(spark, sf):
 
 # --- BPE and generation -------------------------------------------------------------
 
-BPE_VOCAB = 2_500
+BPE_VOCAB = 2_048
 _TOKENIZERS: dict = {}
 
 
