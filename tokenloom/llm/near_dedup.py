@@ -10,8 +10,8 @@ each set's size, key and band codes; full sets are made again only for the
 representatives that are compared, and stage tables go when they have been read.
 
 A band is never expanded into all pairs.  In each star round a document is
-compared with one leader, the one that it shares most bands with, and links
-join components.  Documents whose bands still join different components after
+compared with the leaders that it shares most bands with (one in the first
+round, then a few), and links join components.  Documents whose bands still join different components after
 that meet on the rare shingles of their sets: shingles in order of rarity, two
 sets of the wanted similarity share one of the first n - ceil(t * n) + 1 of
 each, and sizes and positions must allow the overlap.  This step is exact.
@@ -186,7 +186,7 @@ def join_components(labels: DataFrame, links: DataFrame) -> DataFrame:
         drop_stage(old, up)
 
 
-def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 36, rows: int = 5, star_rounds: int = 2) -> DataFrame:
+def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 36, rows: int = 5, star_rounds: int = 4, leaders: int = 6) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, h1, h2
     (128 bits of the text's hash), class_key.
 
@@ -222,9 +222,13 @@ def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int
                 break
         if step < star_rounds:
             now = live.join(labels, "node")
-            lead = now.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), "node", "n", "label")).alias("l"))
+            # The first round has one hub for all bands of a group; later ones a leader for each band.
+            draw = F.xxhash64("node", "band", F.lit(step)) if step else F.xxhash64("node")
+            lead = now.groupBy("band").agg(F.min(F.struct(draw.alias("h"), "node", "n", "label")).alias("l"))
             met = now.join(lead, "band").where(f"label <> l.label and {close}").groupBy(F.col("l.node").alias("a"), F.col("node").alias("b")).count()
-            pairs = cut_lineage(met.groupBy("b").agg(F.max(F.struct("count", "a")).alias("m")).select(F.col("m.a").alias("a"), "b"), "near-pairs")
+            best = Window.partitionBy("b").orderBy(F.col("count").desc(), F.xxhash64("a", "b"))  # a document has at most as many leaders as bands
+            some = met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= (leaders if step else 1))
+            pairs = cut_lineage(some.select("a", "b"), "near-pairs")
             sets = node_sets(base, classes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle)
         else:
             sets = node_sets(base, classes, live.select("node").distinct(), shingle)
