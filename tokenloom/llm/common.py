@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+SLOTS_A_BLOCK = 1 << 14  # 64-bit words of a bitmap that one row brings to the driver
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,7 +105,16 @@ def bitmap(hashes: DataFrame, column: str, bits: int):
         raise ValueError("a bitmap has a power of two bits, 64 at least")
     slot = F.expr(f"pmod(`{column}`, {bits}L) div 64").alias("slot")
     bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63 as int))").alias("bit")
-    rows = hashes.select(slot, bit).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toPandas()
-    words = np.zeros(bits // 64, np.int64)
-    words[rows["slot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return hashes.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+    slots = hashes.select(slot, bit).groupBy("slot").agg(F.bit_or("bit").alias("bits"))  # bits / 64 rows at most
+    each = min(SLOTS_A_BLOCK, bits // 64)
+
+    def block(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        words = np.zeros(each, np.int64)
+        words[pdf["slot"].to_numpy(np.int64) % each] = pdf["bits"].to_numpy(np.int64)
+        return pd.DataFrame({"block": [key[0]], "words": [words.tobytes()]})
+
+    blocks = slots.withColumn("block", F.expr(f"slot div {each}")).groupBy("block").applyInPandas(block, "block long, words binary")
+    words = np.zeros(bits // 64, np.uint64)
+    for r in blocks.collect():  # a few rows of bytes: the bitmap itself
+        words[r["block"] * each : (r["block"] + 1) * each] = np.frombuffer(r["words"], np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(words)
