@@ -28,6 +28,7 @@ from tokenloom.session import cut_lineage
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 WORDS_KEPT = 1 << 20  # distinct words that a worker remembers
+MARKS = (b".", b",", b";", b":", b"!", b"?")
 _TOKENIZERS: dict = {}
 _ENCODERS: dict = {}
 
@@ -46,7 +47,8 @@ class WordEncoder:
 
     The tokenizer drops white space and none of its patterns spans it, and its
     special tokens hold none: a text's ids are those of its words, one after
-    the other.  Each distinct word is encoded once while it is remembered.
+    the other.  Each distinct word is encoded once while it is remembered, with
+    words that differ in case or in one mark at the end.
     Only the six ASCII spaces part words here; others stay inside, for the
     tokenizer to handle."""
 
@@ -60,13 +62,29 @@ class WordEncoder:
         if len(self.known) + len(new) > WORDS_KEPT:
             self.known.clear()
             new = list(set().union(*parts))
+        split = {w: parted(w) for w in new}
+        self.learn(list({p for ps in split.values() for p in ps}.difference(self.known)))
+        for w, ps in split.items():
+            self.known[w] = b"".join(map(self.known.__getitem__, ps))
+        return [b"".join(map(self.known.__getitem__, ws)) for ws in parts]
+
+
+    def learn(self, new: list[bytes]) -> None:
         tok = _tokenizer(self.path)
         tok.encode_special_tokens = self.special_as_text
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for w, enc in zip(some, tok.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
                 self.known[w] = np.array(enc.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in parts]
+
+
+def parted(word: bytes) -> tuple[bytes, ...]:
+    """A word's ASCII letters and digits in lower case, as the tokenizer reads
+    them, apart from one mark behind them; any other word as it is."""
+    core = word[:-1] if word[-1:] in MARKS else word
+    if not core.isalnum():  # of bytes: ASCII letters and digits alone
+        return (word,)
+    return (core.lower(), word[-1:]) if len(core) < len(word) else (core.lower(),)
 
 
 def _encoder(path: str, special_as_text: bool) -> WordEncoder:
