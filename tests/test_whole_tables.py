@@ -17,9 +17,11 @@ def test_lookup_vectors_keeps_ids_without_a_vector(spark):
 
 
 def test_bpe_encodes_every_document(spark, monkeypatch):
-    monkeypatch.setattr(io_plans, "N_MERGES", 1)  # encoding is the matter here
-    out = io_plans.t4_encode_bpe(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    alphabet = docs.select(F.explode(F.regexp_extract_all(F.regexp_replace("text", r"(?U)\s", ""), F.lit("(?s)."), F.lit(0)))).distinct().count()
+    monkeypatch.setattr(io_plans, "BPE_VOCAB", 2 + alphabet + 1)  # one merge: encoding is the matter here
+    monkeypatch.setattr(io_plans, "_TOKENIZERS", {})
+    out = io_plans.t4_encode_bpe(spark, SF)
     n_chars = F.length(F.regexp_replace("text", r"(?U)\s", ""))
     want = {r.doc_id: r.n for r in docs.select("doc_id", n_chars.alias("n")).collect()}
     got = {r.doc_id: r.n_ids for r in out.collect()}
