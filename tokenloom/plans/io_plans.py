@@ -140,20 +140,22 @@ def s14_list_checkpoints(spark, sf):
 
 # --- streaming ------------------------------------------------------------------
 
-def _doc_schema(spark, sf):
-    return table(spark, sf, "documents").schema
+def _doc_stream(spark, sf):
+    """The documents as a stream.  The table is one file or a folder of files:
+    named by a glob that only it matches, either can be the source."""
+    return prepare.stream_corpus(spark, f"{sf.rstrip('/')}/documents.parque[t]", table(spark, sf, "documents").schema)
 
 
 @register("s4_stream_corpus", sql="SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars FROM documents")
 def s4_stream_corpus(spark, sf):
-    s = prepare.stream_corpus(spark, sf, _doc_schema(spark, sf), glob="documents.parquet")
+    s = _doc_stream(spark, sf)
     out, ck = stage_path(spark, "stream-docs"), stage_path(spark, "stream-docs-ckpt")
     prepare.run_available(s.select("doc_id", "text"), out, ck)
     return spark.read.parquet(out).select(*_out_text())
 
 
 def _stream_prepared(spark, sf, runs: int = 1, progress: str | None = None):
-    s = prepare.stream_corpus(spark, sf, _doc_schema(spark, sf), glob="documents.parquet")
+    s = _doc_stream(spark, sf)
     p = prepare.stream_prepare(s.select("doc_id", "lang", "text"), "doc_id", "text", FL.MIN_CHARS, T.EN_COUNT_DELIM, FL.MIN_MARKS,
                                T.EN_SENTENCE_DELIM, FL.DROP_P, FL.SEED)
     out, ck = stage_path(spark, "stream-prep"), stage_path(spark, "stream-prep-ckpt")
