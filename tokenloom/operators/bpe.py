@@ -6,10 +6,10 @@ once (``groupBy(unit).count()``).  Units are white-space words
 (``"none"``, the reference trainer has no pre-tokenizer).
 
 The units lie in segments, each with an inverted index from symbol pairs to
-units (``bpe_units.Segment``).  A round sends the segments a short list of
-merges; each segment looks up the units that hold one of the pairs, applies the
-merges to those alone and returns signed changes of the pair counts, one set
-per merge.  The driver keeps the ``top_pairs`` most frequent pairs and sums the
+their places (``bpe_units.Segment``).  A round sends the segments a short list
+of merges; each segment looks up the places of a pair, merges all of them at
+once and returns signed changes of the pair counts, one set per merge.  The
+driver keeps the ``top_pairs`` most frequent pairs and sums the
 changes: after each merge it knows the counts as sequential training would, so
 it accepts the list as far as each merge is the most frequent pair at its turn
 (ties: smaller ids first).  Pairs that it does not keep come later in that order
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from tokenloom.functions import text as T
-from tokenloom.operators.bpe_units import SEGMENT_FIELDS, Segment, apply_merges, pair_code
+from tokenloom.operators.bpe_units import SEGMENT_FIELDS, UNIT_FIELDS, Segment, apply_merges, pair_code
 from tokenloom.operators.tokenizer import DEFAULT_SPECIALS, VOCAB_SCHEMA
 from tokenloom.session import cut_lineage
 
@@ -77,15 +77,23 @@ def _segments(st: DataFrame, char_ids: dict[str, int]) -> tuple[DataFrame, int]:
 
     def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
         seg = Segment.build([[char_ids[c] for c in u] for u in pdf["unit"]], pdf["count"].tolist())
-        return pd.DataFrame([(key[0], *seg.row())], columns=_columns(SEGMENT_FIELDS))
+        return pd.DataFrame([(key[0], *seg.units_row())], columns=_columns(UNIT_FIELDS))
 
     keyed = st.withColumn("seg", F.pmod(F.xxhash64("unit"), F.lit(n)))
-    return _held(keyed.groupBy("seg").applyInPandas(build, SEGMENT_FIELDS), n), n
+    return _held(keyed.groupBy("seg").applyInPandas(build, UNIT_FIELDS), n), n
 
 
 def _held(segments: DataFrame, n: int) -> DataFrame:
-    """Segments as a stage table, one or two in a partition, in memory while training reads them."""
-    return cut_lineage(segments, "bpe-segments").repartition(n, "seg").persist()
+    """Segments as a stage table, one or two in a partition, in memory with
+    their index (which is not written) while training reads them."""
+
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                seg = Segment.of_row(row.symbols, row.starts, row.counts).indexed()
+                yield pd.DataFrame([(row.seg, *seg.row())], columns=_columns(SEGMENT_FIELDS))
+
+    return cut_lineage(segments, "bpe-segments").repartition(n, "seg").mapInPandas(index, SEGMENT_FIELDS).persist()
 
 
 def _columns(schema: str) -> list[str]:
@@ -102,9 +110,9 @@ def _rewrite(segments: DataFrame, n: int, ranks: dict) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples():
-                yield pd.DataFrame([(row.seg, *_segment(row).merged(ranks).row())], columns=_columns(SEGMENT_FIELDS))
+                yield pd.DataFrame([(row.seg, *_segment(row).merged(ranks).units_row())], columns=_columns(UNIT_FIELDS))
 
-    out = _held(segments.mapInPandas(run, SEGMENT_FIELDS), n)
+    out = _held(segments.mapInPandas(run, UNIT_FIELDS), n)
     segments.unpersist()
     return out
 
@@ -126,16 +134,15 @@ def _top_counts(segments: DataFrame, most: int) -> list[tuple[int, int]]:
     return _ranked(pairs.orderBy(F.col("c").desc(), "a", "b").limit(most).collect())
 
 
-def _step_counts(segments: DataFrame, ranks: dict, steps: list, codes: list[int]) -> list[dict[int, int]]:
+def _step_counts(segments: DataFrame, ranks: dict, steps: list) -> list[dict[int, int]]:
     """Changes of pair counts for each step, summed over the segments (for a
     step at most two rows for every symbol that neighbours its pair)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples():
-                found = _segment(row).step_deltas(ranks, steps, codes)
-                rows = [(j, k >> 32, k & 0xFFFFFFFF, d) for j, deltas in enumerate(found) for k, d in deltas.items() if d]
-                yield pd.DataFrame(rows, columns=["j", "a", "b", "c"])
+                for j, (codes, changes) in enumerate(_segment(row).step_deltas(ranks, steps)):
+                    yield pd.DataFrame({"j": j, "a": codes >> 32, "b": codes & 0xFFFFFFFF, "c": changes})[changes != 0]
 
     changed = segments.mapInPandas(run, "j int, a long, b long, c long").groupBy("j", "a", "b").agg(F.sum("c").alias("c"))
     out: list[dict[int, int]] = [{} for _ in steps]
@@ -251,14 +258,13 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
     segments, n_segments = _segments(st, {c: len(specials) + i for i, c in enumerate(alphabet)})
     merges: list[tuple[int, int, int, int, int]] = []
     since: list[tuple[int, int, int]] = []  # merges that the segments do not hold yet
-    ends: dict[int, tuple[set[int], set[int]]] = {}  # merged id -> first and last symbols that it has in the segments
     ranks: dict[int, tuple[int, int]] = {}
     table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
     rnd, tries = 0, 8
 
     while len(tokens) < vocab_size and (max_rounds is None or rnd < max_rounds):
         if len(since) >= snapshot_every or (table.best() is None and since):
-            segments, since, ends, ranks = _rewrite(segments, n_segments, ranks), [], {}, {}
+            segments, since, ranks = _rewrite(segments, n_segments, ranks), [], {}
             if table.best() is None:
                 table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
         if table.best() is None:
@@ -286,13 +292,7 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
                 steps.append((a, b, c))
                 if not new:
                     break
-        # A pair of merged symbols lies where their outer symbols meet in the segments.
-        outer, codes = dict(ends), set()
-        for a, b, c in steps:
-            of_a, of_b = outer.get(a, ({a}, {a})), outer.get(b, ({b}, {b}))
-            codes.update(pair_code(x, y) for x in of_a[1] for y in of_b[0])
-            outer[c] = (of_a[0], of_b[1])
-        changes = _step_counts(segments, ranks, steps, sorted(codes))
+        changes = _step_counts(segments, ranks, steps)
         accepted = 0
         for (a, b, c), deltas in zip(steps, changes):
             if batch == "exact" and table.best() != pair_code(a, b):
@@ -302,10 +302,9 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
             since.append((a, b, c))
             accepted += 1
             if c < len(tokens):  # the text of a token that exists: its pairs may not be kept
-                segments, since, ends, ranks = _rewrite(segments, n_segments, ranks), [], {}, {}
+                segments, since, ranks = _rewrite(segments, n_segments, ranks), [], {}
                 table = _PairTable(_top_counts(segments, top_pairs), top_pairs)
                 break
-            ends[c] = outer[c]
             id_of[tokens[a] + tokens[b]] = c
             tokens.append(tokens[a] + tokens[b])
             table.change(deltas, c)

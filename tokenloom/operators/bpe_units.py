@@ -1,5 +1,5 @@
 """Symbol sequences of BPE inside one task: merging, and units with an inverted
-index from symbol pairs to the units that hold them.
+index from symbol pairs to the places that hold them.
 
 A segment holds some thousand distinct units of the corpus.  It never changes
 while merges are learned: a unit's present symbols are its stored ones with
@@ -12,7 +12,8 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 
-SEGMENT_FIELDS = "seg long, symbols binary, starts binary, counts binary, pairs binary, heads binary, posts binary"
+UNIT_FIELDS = "seg long, symbols binary, starts binary, counts binary"
+SEGMENT_FIELDS = f"{UNIT_FIELDS}, pairs binary, heads binary, posts binary"
 
 
 def pair_code(a: int, b: int) -> int:
@@ -60,41 +61,89 @@ def apply_merges(sym: list[int], ranks: dict[int, tuple[int, int]]) -> list[int]
     return [s for s in sym if s >= 0]
 
 
-def merge_pair(sym: list[int], a: int, b: int, c: int, weight: int, deltas: dict[int, int]) -> list[int]:
-    """Replace each pair (a, b) by c, left to right; ``deltas`` takes what that
-    changes in the counts of neighbouring pairs."""
-    if a not in sym:
-        return sym
-    out: list[int] = []
-    i, n = 0, len(sym)
-    get = deltas.get
-    while i < n:
-        s = sym[i]
-        if s == a and i + 1 < n and sym[i + 1] == b:
-            k = a << 32 | b
-            deltas[k] = get(k, 0) - weight
-            if out:
-                k = out[-1] << 32 | a
-                deltas[k] = get(k, 0) - weight
-                k = out[-1] << 32 | c
-                deltas[k] = get(k, 0) + weight
-            if i + 2 < n:
-                k = b << 32 | sym[i + 2]
-                deltas[k] = get(k, 0) - weight
-                k = c << 32 | sym[i + 2]
-                deltas[k] = get(k, 0) + weight
-            out.append(c)
-            i += 2
-        else:
-            out.append(s)
-            i += 1
-    return out
+class _Replay:
+    """Merges applied to the units of a segment one after the other, all places
+    of a pair at once.  Places come from the segment's index, those of pairs
+    with a merged symbol from the merge that made them, so a merge costs what
+    it touches.  Symbols are linked as in :func:`apply_merges`: a merged one
+    stands at its left place, the right place holds -1."""
+
+    def __init__(self, seg: Segment, merges):
+        self.seg = seg
+        n = len(seg.symbols)
+        self.symbols = seg.symbols.copy()
+        self.after = np.arange(1, n + 1, dtype=np.int32)
+        self.after[seg.starts[1:] - 1] = -1
+        self.before = np.arange(-1, n - 1, dtype=np.int32)
+        self.before[seg.starts[:-1]] = -1
+        self.made: dict[int, list[np.ndarray]] = {}
+        self.lefts: dict[int, set[int]] = {}  # symbol -> left ones of the pairs to merge with it on the right
+        self.rights: dict[int, set[int]] = {}
+        for a, b, _ in merges:
+            self.lefts.setdefault(b, set()).add(a)
+            self.rights.setdefault(a, set()).add(b)
+
+    def places(self, a: int, b: int) -> np.ndarray:
+        """Where the pair (a, b) begins, in order."""
+        code, made = pair_code(a, b), self.made.pop(pair_code(a, b), [])
+        at = self.seg.places(code)
+        if made:
+            at = np.unique(np.concatenate([at, *made]))
+        at = at[self.symbols[at] == a]
+        next_ = self.after[at]
+        return at[(next_ >= 0) & (self.symbols[next_] == b)]
+
+    def merge(self, a: int, b: int, c: int, count: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Replace each pair (a, b) by c, left to right.  With ``count``: codes
+        of pairs and the changes of their counts, a code perhaps more than once."""
+        symbols, after, before = self.symbols, self.after, self.before
+        at = self.places(a, b)
+        second = after[at]
+        if a == b and len(at):  # of overlapping places every other one
+            k = np.arange(len(at))
+            linked = np.append(False, second[:-1] == at[1:])
+            taken = (k - np.maximum.accumulate(np.where(linked, 0, k))) % 2 == 0
+            at, second = at[taken], second[taken]
+        if not len(at):
+            return _NOTHING, _NOTHING
+        x, y = before[at], after[second]
+        follows = np.append(False, x[1:] == second[:-1])  # the pair on its left is merged too
+        left, right = (x >= 0) & ~follows, y >= 0
+        x, xs, ys = x[left], symbols[x[left]], symbols[y[right]]
+        ys_new = np.where(np.append(follows[1:], False)[right], c, ys)
+        symbols[at] = c
+        symbols[second] = -1
+        after[at] = y
+        before[y[right]] = at[right]
+        for s in self.lefts.get(c, ()):
+            self.made.setdefault(pair_code(s, c), []).append(x[xs == s])
+        for s in self.rights.get(c, ()):
+            self.made.setdefault(pair_code(c, s), []).append(at[right][ys_new == s])
+        if not count:
+            return _NOTHING, _NOTHING
+        w = self.seg.counts[np.searchsorted(self.seg.starts, at, side="right") - 1]
+        xs, ys, ys_new = (v.astype(np.int64) for v in (xs, ys, ys_new))
+        codes = np.concatenate(([pair_code(a, b)], xs << 32 | a, xs << 32 | c, b << 32 | ys, c << 32 | ys_new))
+        return codes, np.concatenate(([-w.sum()], -w[left], w[left], -w[right], w[right]))
+
+
+_NOTHING = np.zeros(0, np.int64)
+
+
+def _summed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each code once, with the sum of its values."""
+    if not len(codes):
+        return codes, values
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    return codes[first], np.add.reduceat(values[order], first)
 
 
 class Segment:
-    """Units (symbols, count) and the units of each pair."""
+    """Units (symbols, count) and the places of each pair."""
 
-    def __init__(self, symbols, starts, counts, pairs, heads, posts):
+    def __init__(self, symbols, starts, counts, pairs=None, heads=None, posts=None):
         self.symbols, self.starts, self.counts = symbols, starts, counts
         self.pairs, self.heads, self.posts = pairs, heads, posts
 
@@ -105,63 +154,86 @@ class Segment:
         sizes = np.array([len(u) for u, _ in both], np.int64)
         starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
         symbols = np.fromiter((s for u, _ in both for s in u), np.int32, int(starts[-1]))
-        seg = cls(symbols, starts, np.array([c for _, c in both], np.int64), None, None, None)
-        codes, unit = seg._pairs()
-        order = np.lexsort((unit, codes))
-        codes, unit = codes[order], unit[order]
-        new = np.ones(len(codes), bool)
-        new[1:] = (codes[1:] != codes[:-1]) | (unit[1:] != unit[:-1])
-        codes, unit = codes[new], unit[new]
-        first = np.flatnonzero(np.diff(codes, prepend=-1))
-        seg.pairs, seg.posts = codes[first], unit.astype(np.int32)
-        seg.heads = np.concatenate((first, [len(codes)])).astype(np.int64)
-        return seg
+        return cls(symbols, starts, np.array([c for _, c in both], np.int64)).indexed()
 
-    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Code and unit of every neighbouring pair."""
+    def indexed(self) -> Segment:
+        """With the places of every pair, in order."""
         s = self.symbols.astype(np.int64)
-        unit = np.repeat(np.arange(len(self.counts)), np.diff(self.starts))
-        inside = unit[1:] == unit[:-1]
-        return (s[:-1] << 32 | s[1:])[inside], unit[1:][inside]
-
-    def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        codes, unit = self._pairs()
-        if not len(codes):
-            return codes, codes
+        inside = np.ones(max(len(s) - 1, 0), bool)
+        inside[self.starts[1:-1] - 1] = False
+        at = np.flatnonzero(inside)
+        codes = s[at] << 32 | s[at + 1]
         order = np.argsort(codes, kind="stable")
-        codes, weights = codes[order], self.counts[unit[order]]
+        codes = codes[order]
         first = np.flatnonzero(np.diff(codes, prepend=-1))
-        return codes[first], np.add.reduceat(weights, first)
+        self.pairs, self.posts = codes[first], at[order].astype(np.int32)
+        self.heads = np.concatenate((first, [len(codes)])).astype(np.int64)
+        return self
+
+    def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.pairs):
+            return self.pairs, self.pairs
+        unit = np.repeat(np.arange(len(self.counts), dtype=np.int32), np.diff(self.starts))
+        return self.pairs, np.add.reduceat(self.counts[unit[self.posts]], self.heads[:-1])
 
     def unit(self, u: int) -> list[int]:
         return self.symbols[self.starts[u] : self.starts[u + 1]].tolist()
 
-    def holding(self, codes) -> list[int]:
-        """Units that hold any of the pairs."""
-        at = np.searchsorted(self.pairs, codes)
-        found = [self.posts[self.heads[i] : self.heads[i + 1]] for i, c in zip(at.tolist(), codes) if i < len(self.pairs) and self.pairs[i] == c]
-        return np.unique(np.concatenate(found)).tolist() if found else []
+    def places(self, code: int) -> np.ndarray:
+        """Where a pair begins in the stored symbols."""
+        i = int(np.searchsorted(self.pairs, code))
+        if i == len(self.pairs) or self.pairs[i] != code:
+            return self.posts[:0]
+        return self.posts[self.heads[i] : self.heads[i + 1]]
 
-    def step_deltas(self, ranks: dict, steps, codes) -> list[dict[int, int]]:
+    def step_deltas(self, ranks: dict, steps) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each step (a, b, c), one after the other, the changes of pair
-        counts; ``ranks``: merges since the segment was built; ``codes``: pairs
-        that a touched unit holds."""
-        out: list[dict[int, int]] = [{} for _ in steps]
-        for u in self.holding(codes):
-            sym, weight = self.unit(u), int(self.counts[u])
-            if ranks:
-                sym = apply_merges(sym, ranks)
-            for (a, b, c), deltas in zip(steps, out):
-                sym = merge_pair(sym, a, b, c, weight, deltas)
-        return out
+        counts (codes, changes); ``ranks``: merges since the segment was built,
+        each with a new id."""
+        since = _in_order(ranks)
+        replay = _Replay(self, [*since, *steps])
+        for m in since:
+            replay.merge(*m)
+        return [_summed(*replay.merge(*m, count=True)) for m in steps]
 
     def merged(self, ranks: dict) -> Segment:
-        return Segment.build([apply_merges(self.unit(u), ranks) for u in range(len(self.counts))], self.counts.tolist())
+        """The merges applied, as :func:`apply_merges` does."""
+        since = _in_order(ranks)
+        replay = _Replay(self, since)
+        again = _NOTHING
+        for k, (a, b, c) in enumerate(since):
+            if k == len(since) - 1 and any(c in (x, y) for x, y, _ in since):
+                # Only the last id may be an old one: pairs that were merged before can arise anew.
+                again = np.unique(np.searchsorted(self.starts, replay.places(a, b), side="right") - 1)
+                if len(again):
+                    replay = _Replay(self, since)
+                    for m in since[:-1]:
+                        replay.merge(*m)
+            replay.merge(a, b, c)
+        new = replay.symbols
+        sizes = np.add.reduceat(new >= 0, self.starts[:-1], dtype=np.int64) if len(self.counts) else _NOTHING
+        for u in again.tolist():
+            whole = apply_merges(self.unit(u), ranks)
+            new[self.starts[u] : self.starts[u + 1]] = -1
+            new[self.starts[u] : self.starts[u] + len(whole)] = whole
+            sizes[u] = len(whole)
+        kept = sizes > 1  # a unit of one symbol has no pairs
+        symbols = new[(new >= 0) & np.repeat(kept, np.diff(self.starts))]
+        starts = np.concatenate(([0], np.cumsum(sizes[kept]))).astype(np.int64)
+        return Segment(symbols, starts, self.counts[kept])
+
+    def units_row(self) -> tuple:
+        return tuple(x.tobytes() for x in (self.symbols, self.starts, self.counts))
 
     def row(self) -> tuple:
         return tuple(x.tobytes() for x in (self.symbols, self.starts, self.counts, self.pairs, self.heads, self.posts))
 
     @classmethod
-    def of_row(cls, symbols, starts, counts, pairs, heads, posts) -> Segment:
+    def of_row(cls, *row) -> Segment:
         kinds = (np.int32, np.int64, np.int64, np.int64, np.int64, np.int32)
-        return cls(*(np.frombuffer(x, k) for x, k in zip((symbols, starts, counts, pairs, heads, posts), kinds)))
+        return cls(*(np.frombuffer(x, k) for x, k in zip(row, kinds)))
+
+
+def _in_order(ranks: dict) -> list[tuple[int, int, int]]:
+    """Ranked merges as (left, right, id)."""
+    return [(k >> 32, k & 0xFFFFFFFF, c) for k, (_, c) in sorted(ranks.items(), key=lambda m: m[1][0])]
