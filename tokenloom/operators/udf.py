@@ -11,13 +11,24 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+PIECE_ROWS = 256  # rows that the caller's function gets at once
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of at most ``PIECE_ROWS`` rows: what the caller's
+    function makes of a piece (copies of its texts, a row for each word) is
+    gone before the next one, however many rows an Arrow batch holds."""
+    for b in batches:
+        for at in range(0, len(b), PIECE_ROWS):
+            yield b.iloc[at : at + PIECE_ROWS].reset_index(drop=True)
+
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """UD2: row mapper; ``fn`` maps a pandas batch to a batch of the same
+    """UD2: row mapper; ``fn`` maps a piece of a pandas batch to the same
     rows with the output columns (source columns replaced).  Narrow."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             yield fn(b)
 
     return df.mapInPandas(run, schema)
@@ -25,14 +36,14 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, workers: int | None = None,
                 key: str | None = None) -> DataFrame:
-    """UD3: batched mapper, n rows in -> m rows out per batch.  ``workers``
+    """UD3: batched mapper, n rows in -> m rows out per piece of a batch.  ``workers``
     re-partitions first (``num_proc`` of the reference), by ``key`` when
     given so related rows stay in one task."""
     if workers:
         df = df.repartition(workers, key) if key else df.repartition(workers)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             out = fn(b)
             if len(out):
                 yield out
