@@ -134,8 +134,8 @@ def s14_list_checkpoints(spark, sf):
     ev = metrics.checkpoint_names(MP._ckpts(spark, sf), "step")
     path = stage_path(spark, "ckpts")
     files = ev.select("run_id", F.col("pkl_name").alias("name")).unionByName(ev.select("run_id", F.col("dir_name").alias("name")))
-    files.withColumn("payload", F.lit(1)).write.mode("overwrite").partitionBy("run_id", "name").parquet(path)
-    return sinks.list_checkpoints(spark, path, "*.parquet").select("run_id", "name", "step")
+    sinks.write_checkpoint_files(files.withColumn("payload", F.lit("1")), path)
+    return sinks.list_checkpoints(spark, path, "*.txt").select("run_id", "name", "step")
 
 
 # --- streaming ------------------------------------------------------------------

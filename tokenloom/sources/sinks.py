@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.session import cut_lineage
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -90,10 +92,11 @@ def require_nonempty(df: DataFrame, what: str = "output", col: str | None = None
 def append_metrics(metrics: DataFrame, path: str, attempt: int, run: str = "run_id") -> None:
     """Append step metrics of a run (a resumed run keeps its run id);
     ``attempt`` tags the writer so re-written steps can be resolved.  Rows go
-    to the writers by range of run and step, so the files do not multiply with
-    the tasks."""
-    tagged = metrics.withColumn("attempt", F.lit(attempt)).repartitionByRange(run, "step")
-    tagged.write.mode("append").partitionBy(run).parquet(path)
+    to the writers by range of run and step and lie in that order in the files,
+    so a reader of one run skips the others by the files' statistics; a folder
+    a run would make as many files as there are runs."""
+    tagged = metrics.withColumn("attempt", F.lit(attempt)).repartitionByRange(run, "step").sortWithinPartitions(run, "step")
+    tagged.write.mode("append").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str, keys=("run_id", "step", "name")) -> DataFrame:
@@ -105,6 +108,18 @@ def read_metrics(spark: SparkSession, path: str, keys=("run_id", "step", "name")
     return d.groupBy(*keys).agg(*[F.max_by(c, "attempt").alias(c) for c in vals])
 
 
+def write_checkpoint_files(files: DataFrame, path: str, run: str = "run_id", name: str = "name", per_task: int = 2000) -> None:
+    """A small file for each checkpoint, in a folder of its run and name (the
+    catalog that :func:`list_checkpoints` reads).  The cost is in the files, not
+    in the rows, so the number of tasks follows from the number of files, and
+    each task moves its own files into place (the default commit moves all of
+    them one by one on the driver)."""
+    files = cut_lineage(files, "checkpoint-names")
+    tasks = max(files.count() // per_task, files.sparkSession.sparkContext.defaultParallelism)
+    w = files.repartition(tasks, run).write.mode("overwrite").partitionBy(run, name)
+    w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+
+
 def list_checkpoints(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Checkpoints under ``path`` with the step parsed from the name
     (``ckpt_step_0000050.pkl`` or ``checkpoint-50``, as a file or a folder
