@@ -1,16 +1,16 @@
 """Tokenizer jobs (T2-T12, J1, J5): vocabulary tables and encode/decode.
 
 A vocabulary is a DataFrame ``(token string, id int, special boolean)``; its
-size is bounded by the ``vocab_size`` parameter, which is what makes the
-broadcast hash join in :func:`encode`/:func:`decode` safe at any corpus size.
+size is bounded by the ``vocab_size`` parameter, which is what makes shipping
+it with the functions of :func:`encode`/:func:`decode` safe at any corpus size.
 
-Word-level tokenization (white-space words, ``str.split()``) is pure
-Spark SQL; the trained BPE codec lives in :mod:`tokenloom.operators.bpe` and
-plugs into the same encode shape.
+Word-level tokenization takes white-space words (``str.split()``); the trained
+BPE codec lives in :mod:`tokenloom.operators.bpe`.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
@@ -88,42 +88,53 @@ def vocab_size(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.count(F.lit(1)).cast("long").alias("vocab_size"))
 
 
+def _regrouped(rows: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """One row per ``keys`` with the non-null elements of the arrays ``col``.
+    Rows that share their keys (rare) are merged by position, then value."""
+    l = rows.repartition(*keys).groupBy(*keys).agg(F.collect_list(col).alias("_l"))
+    one = F.filter(F.element_at("_l", 1), lambda x: x.isNotNull())
+    placed = F.flatten(F.transform("_l", lambda a: F.transform(a, lambda x, i: F.struct(i.alias("p"), x.alias("x")))))
+    merged = F.transform(F.array_sort(F.filter(placed, lambda e: e["x"].isNotNull())), lambda e: e["x"])
+    return l.select(*keys, F.when(F.size("_l") == 1, one).otherwise(merged).alias(col))
+
+
 def encode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", col: str = "text", out: str = "ids",
            carry=None) -> DataFrame:
     """T4 / J1 (word level): text -> ``array<int>`` of vocabulary ids.
 
     Words outside the vocabulary disappear (as characters outside a trained
-    BPE alphabet do).  Plan: hash-partition the *documents* by ``key`` once,
-    explode words, broadcast-join the bounded vocabulary, and regroup by
-    ``key`` -- the regroup reuses the first partitioning, so there is exactly
-    one shuffle.  ``carry`` columns (small ones: language, split...) ride
-    along as grouping keys.
+    BPE alphabet do).  The bounded vocabulary is shipped with the function that
+    looks the words up, so a text's ids come from its own row and the one
+    shuffle (rows that share a key come together) moves ids: no row for each
+    word is shuffled or sorted.  ``carry`` columns (small ones: language,
+    split...) ride along as grouping keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
     carry = [c for c in (carry if carry is not None else df.columns) if c not in (*keys, col)]
-    base = df.select(*keys, *carry, col).repartition(*keys)
-    ex = base.select(*keys, *carry, F.posexplode_outer(T.whitespace_words(col)).alias("_p", "token"))
-    j = ex.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    agg = j.groupBy(*keys, *carry).agg(
-        F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct(F.col("_p").alias("p"), F.col("id").alias("i"))))).alias("_l")
-    )
-    return agg.select(*keys, *carry, F.transform("_l", lambda x: x["i"]).alias(out))
+    ids = {r["token"]: r["id"] for r in vocab.select("token", "id").collect()}
+
+    @F.pandas_udf("array<int>")
+    def look_up(texts: pd.Series) -> pd.Series:
+        return pd.Series([[ids.get(w) for w in t.split()] if t else [] for t in texts], dtype=object)
+
+    rows = df.select(*keys, *carry, look_up(col).alias("_ids"))
+    return _regrouped(rows, [*keys, *carry], "_ids").withColumnRenamed("_ids", out)
 
 
 def decode(df: DataFrame, vocab: DataFrame, key: str = "doc_id", ids: str = "ids", out: str = "text",
            skip_special: bool = True, sep: str = " ") -> DataFrame:
-    """Ids -> text, special ids removed (anti-join against the
-    broadcast specials), tokens joined with ``sep``."""
+    """Ids -> text, special ids removed, tokens joined with ``sep``.
+    As in :func:`encode` the vocabulary goes to the rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    base = df.select(*keys, ids).repartition(*keys)
-    ex = base.select(*keys, F.posexplode_outer(ids).alias("_p", "id"))
-    v = vocab.select("id", "token", "special")
-    j = ex.join(F.broadcast(v), "id", "left")
-    keep = F.col("token").isNotNull()
-    if skip_special:
-        keep = keep & ~F.col("special")
-    agg = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(keep, F.struct(F.col("_p").alias("p"), F.col("token").alias("t"))))).alias("_l"))
-    return agg.select(*keys, F.array_join(F.transform("_l", lambda x: x["t"]), sep).alias(out))
+    kept = vocab.filter(~F.col("special")) if skip_special else vocab
+    tokens = {r["id"]: r["token"] for r in kept.select("id", "token").collect()}
+
+    @F.pandas_udf("array<string>")
+    def spell(rows: pd.Series) -> pd.Series:
+        return pd.Series([[tokens.get(i) for i in r] if r is not None else [] for r in rows], dtype=object)
+
+    rows = _regrouped(df.select(*keys, spell(ids).alias("_t")), keys, "_t")
+    return rows.select(*keys, F.array_join("_t", sep).alias(out))
 
 
 def drop_special(df: DataFrame, vocab: DataFrame, ids: str = "ids") -> DataFrame:
