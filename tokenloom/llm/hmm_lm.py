@@ -6,9 +6,12 @@ run scaled forward-backward over their documents; the expected counts of all
 partitions are summed into the next model (Baum-Welch).  A text's score is the
 exact likelihood of its sequence by the scaled forward recursion.
 
-Word counts cover all training documents and stay in a table that grows with
-the corpus.  Only words above a fixed share of all tokens go to every task: at
-most ``broadcast_words`` can exist.  Rarer ones are looked up by a join.
+Texts are split into words once.  A task's documents are cut into blocks of
+bounded size; in a block each distinct word has a number, and the documents are
+those numbers.  A block's words meet the corpus by word, for their counts over
+all training documents, and come back to the block: one row for each word of a
+block, not for each word of a document.  Only words above a fixed share of all
+tokens, the classes of their own, go to every task.
 
 Null text is empty: one end token.  Rows that repeat doc_id and text each
 count in training and score alike.  With no training text all tokens are unknown.
@@ -17,20 +20,23 @@ count in training and score alike.  With no training text all tokens are unknown
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import doc_key, id_crc, id_text, map_rows, words
-from tokenloom.session import cut_lineage
+from tokenloom.llm.common import id_crc, id_text
+from tokenloom.session import cut_lineage, drop_stage
 
 END = b"\n"  # no word holds a line break
 ENDINGS = 1024
+BLOCK_TOKENS, BLOCK_WORDS, BLOCK_DOCS = 2_000_000, 300_000, 50_000  # a block ends with the document that reaches one
+BLOCKS = "block long, doc_id long, held_out boolean, seq binary, wid int, ending int, word binary, c long"
+ENCODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inside double, seq binary"
 
 
 def ending(word: bytes) -> int:
@@ -50,45 +56,50 @@ def batches_by_length(seqs: list[np.ndarray], most: int = 300_000):
         at = to
 
 
-def forward(seqs: list[np.ndarray], start, trans, emit_t):
+def forward(seqs: list[np.ndarray], start, trans, emit_t, with_logs: bool = True):
     """Scaled forward pass over sequences sorted longest first: time-major
-    observations, scaled alphas, scales, active counts, log likelihoods."""
+    observations, scaled alphas (a row a state), scales, active counts, log
+    likelihoods."""
     lens = np.array([len(s) for s in seqs])
     flat, first = np.concatenate(seqs), np.concatenate(([0], np.cumsum(lens)[:-1]))
     active = len(lens) - np.searchsorted(lens[::-1], np.arange(lens[0]), side="right")
     offs = np.concatenate(([0], np.cumsum(active)))
     obs = np.empty(offs[-1], np.int64)
-    alphas, scales = np.empty((offs[-1], len(start))), np.empty(offs[-1])
+    alphas, scales = np.empty((len(start), offs[-1])), np.empty(offs[-1])
+    emit, step = np.ascontiguousarray(emit_t.T), np.ascontiguousarray(trans.T)
     logs, alpha = np.zeros(len(lens)), None
     for t, a in enumerate(active.tolist()):
-        o = flat[first[:a] + t]
-        alpha = (start if t == 0 else alpha[:a] @ trans) * emit_t[o]
-        c = alpha.sum(axis=1)
-        alpha /= c[:, None]
-        logs[:a] += np.log(c)
         lo, hi = offs[t], offs[t + 1]
-        obs[lo:hi], alphas[lo:hi], scales[lo:hi] = o, alpha, c
+        o = obs[lo:hi] = flat[first[:a] + t]
+        alpha = emit.take(o, axis=1) * (start[:, None] if t == 0 else step @ alpha[:, :a])
+        c = alpha.sum(axis=0)
+        alpha /= c
+        if with_logs:
+            logs[:a] += np.log(c)
+        alphas[:, lo:hi], scales[lo:hi] = alpha, c
     return obs, alphas, scales, active, offs, logs
 
 
 def expected_counts(seqs, start, trans, emit_t):
     """Baum-Welch counts of sequences sorted longest first."""
-    obs, alphas, scales, active, offs, _ = forward(seqs, start, trans, emit_t)
-    k = len(start)
+    obs, alphas, scales, active, offs, _ = forward(seqs, start, trans, emit_t, with_logs=False)
+    k, emit = len(start), np.ascontiguousarray(emit_t.T)
     moves, gamma = np.zeros((k, k)), np.empty_like(alphas)
-    beta = np.ones((active[-1], k))
+    beta = np.ones((k, active[-1]))
     for t in range(len(active) - 1, -1, -1):
         lo, hi = offs[t], offs[t + 1]
-        if len(beta) < hi - lo:  # sequences that end here
-            beta = np.concatenate((beta, np.ones((hi - lo - len(beta), k))))
-        gamma[lo:hi] = alphas[lo:hi] * beta
+        if beta.shape[1] < hi - lo:  # sequences that end here
+            beta = np.concatenate((beta, np.ones((k, hi - lo - beta.shape[1]))), axis=1)
+        gamma[:, lo:hi] = alphas[:, lo:hi] * beta
         if t:
-            ahead = emit_t[obs[lo:hi]] * beta / scales[lo:hi, None]
-            prev = alphas[offs[t - 1] : offs[t - 1] + hi - lo]
-            moves += prev.T @ ahead
-            beta = ahead @ trans.T
-    emits = np.stack([np.bincount(obs, weights=gamma[:, s], minlength=len(emit_t)) for s in range(k)])
-    return gamma[: active[0]].sum(axis=0), moves * trans, emits
+            ahead = emit.take(obs[lo:hi], axis=1)
+            ahead *= beta
+            ahead /= scales[lo:hi]
+            prev = alphas[:, offs[t - 1] : offs[t - 1] + hi - lo]
+            moves += prev @ ahead.T
+            beta = trans @ ahead
+    emits = np.stack([np.bincount(obs, weights=gamma[s], minlength=len(emit_t)) for s in range(k)])
+    return gamma[:, : active[0]].sum(axis=1), moves * trans, emits
 
 
 class Model:
@@ -109,114 +120,111 @@ class Model:
         emit = emits + 50 * self.prior
         self.emit = emit / emit.sum(axis=1, keepdims=True)
 
-    def class_of(self, word: bytes) -> int:
-        c = self.own.get(word)
-        return ending(word) if c is None else c
 
-    def base(self, c: float) -> float:
-        return math.log10((c + 1) / (self.total + self.distinct + 1))
+def planes(seq: np.ndarray) -> bytes:
+    """32-bit numbers as their first bytes, then their second ones, and so on:
+    the high ones are mostly zeros, which any compression drops."""
+    return seq.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
-    def inside(self, word: bytes, c: int) -> float:
-        """log10 share of a word in its class, with room for one unknown."""
-        return 0.0 if word in self.own else math.log10((c + 1) / (self.in_class[ending(word)] + 1))
 
+def numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter = Counter()
 
-    def out():
-        return pd.DataFrame({"word": list(seen), "c": list(seen.values())})
+class Numbers(dict):
+    """Each word's number, in order of first occurrence."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
 
-    for pdf in batches:
-        for text in pdf["text"]:
-            seen.update(words(text, lower=True))
-            seen[END] += 1
-            if len(seen) > 300_000:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents as word numbers, each block's documents (no ``word``)
+    before its words with their counts in its training texts (no ``seq``)."""
+    names = [c.split()[0] for c in BLOCKS.split(", ")]
+    first, at = TaskContext.get().partitionId() << 32, 0
+    number, ids, held, seqs, tokens = Numbers(), [], [], [], 0
 
-def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"word": pdf["word"], "c": pdf["c"], "ending": [ending(w) for w in pdf["word"]]})
+    def out():
+        block, n, v = first + at, len(seqs), len(number)
+        learn = [s for s, h in zip(seqs, held) if not h]
+        c = np.bincount(np.concatenate(learn), minlength=v) if learn else np.zeros(v, np.int64)
+        docs = [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(map(planes, seqs), pa.binary())]
+        rest = [pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+        yield pa.record_batch([pa.array(np.full(n, block)), *docs, *(pa.nulls(n, t) for t in rest)], names=names)
+        found = [np.arange(v, dtype=np.int32), np.fromiter(map(ending, number), np.int32, v)]
+        nulls = [pa.nulls(v, x.type) for x in docs]
+        yield pa.record_batch([pa.array(np.full(v, block)), *nulls, *map(pa.array, found), pa.array(list(number), pa.binary()), pa.array(c)], names=names)
+
+    for b in batches:
+        for doc_id, raw, h in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["held_out"].to_pylist()):
+            ws = raw.lower().split()  # bytes: A-Z and the six ASCII spaces alone
+            ws.append(END)
+            ids.append(doc_id)
+            held.append(h)
+            seqs.append(np.fromiter(map(number.__getitem__, ws), np.int32, len(ws)))
+            tokens += len(ws)
+            if tokens >= BLOCK_TOKENS or len(number) >= BLOCK_WORDS or len(seqs) >= BLOCK_DOCS:
+                yield from out()
+                number, ids, held, seqs, tokens, at = Numbers(), [], [], [], 0, at + 1
+    if seqs:
+        yield from out()
 
 
 def _encode(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(docs: pa.Table, entries: pa.Table) -> pa.Table:
         m: Model = shared.value
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part, out, memo = pdf.iloc[at : at + 500], [], {}
-                for text in part["text"]:
-                    ws = words(text, lower=True)
-                    ws.append(END)
-                    seq = np.empty(len(ws), np.int32)
-                    known, base, inside = 0, 0.0, 0.0
-                    for i, w in enumerate(ws):
-                        hit = memo.get(w)
-                        if hit is None:
-                            c = m.common.get(w)
-                            hit = memo[w] = (m.class_of(w), 1, m.base(c), m.inside(w, c)) if c is not None else (m.class_of(w), 0, 0.0, 0.0)
-                        seq[i] = hit[0]
-                        known += hit[1]
-                        base += hit[2]
-                        inside += hit[3]
-                    out.append((len(ws), known, base, inside, seq))
-                done = pd.DataFrame(out, columns=["n_tokens", "known", "base", "inside", "seq"])
-                for c in ("doc_id", "th", "held_out"):
-                    done[c] = part[c].to_numpy()
-                yield done[["doc_id", "th", "held_out", "n_tokens", "known", "base", "inside", "seq"]]
+        wid, own = entries["wid"].to_numpy(), entries["own"].to_pylist()
+        classes, c = np.empty(len(wid), np.int32), np.empty(len(wid))
+        classes[wid], c[wid] = entries["ending"].to_numpy(), entries["c"].to_numpy()
+        base, inside = np.log10((c + 1) / (m.total + m.distinct + 1)), np.log10((c + 1) / (m.in_class[classes] + 1))
+        for i, w in zip(wid.tolist(), own):
+            if w is not None:
+                classes[i], inside[i] = m.own[w], 0.0
+        seqs = [numbers(s) for s in docs["seq"].to_pylist()]
+        flat, lens = np.concatenate(seqs), np.array([len(s) for s in seqs])
+        starts = np.cumsum(lens) - lens  # no sequence is empty
+        cols = [docs["doc_id"], docs["held_out"], lens, np.add.reduceat((c > 0).astype(np.int64)[flat], starts),
+                np.add.reduceat(base[flat], starts), np.add.reduceat(inside[flat], starts), pa.array([planes(classes[s]) for s in seqs], pa.binary())]
+        return pa.table(cols, names=[x.split()[0] for x in ENCODED.split(", ")])
 
     return run
 
 
-def _rare(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common = shared.value.common
-        names = ["doc_id", "th", "word", "n", "ending"]
-        for pdf in batches:
-            out = []
-            for doc_id, text, th in zip(pdf["doc_id"], pdf["text"], pdf["th"]):
-                out += [(doc_id, th, w, n, ending(w)) for w, n in Counter([*words(text, lower=True), END]).items() if w not in common]
-                if len(out) > 50_000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names).astype({"th": "int64", "n": "int64", "ending": "int32"})
-
-    return run
+def _sequences(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [numbers(s) for s in batch["seq"].to_pylist()]
 
 
 def _expect(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         emit_t, total = np.ascontiguousarray(m.emit.T), None
-        for pdf in batches:
-            seqs = [np.asarray(s, np.int64) for s in pdf["seq"]]
+        for b in batches:
+            seqs = _sequences(b)
             for pick in batches_by_length(seqs):
                 got = expected_counts([seqs[i] for i in pick], m.start, m.trans, emit_t)
-                total = got if total is None else tuple(a + b for a, b in zip(total, got))
+                total = got if total is None else tuple(x + y for x, y in zip(total, got))
         if total is not None:
             flat = np.concatenate([x.ravel() for x in total])
             used = np.flatnonzero(flat)
-            yield pd.DataFrame({"i": used.astype(np.int32), "x": flat[used]})
+            yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(flat[used])], names=["i", "x"])
 
     return run
 
 
 def _score(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         emit_t = np.ascontiguousarray(m.emit.T)
-        for pdf in batches:
-            seqs = [np.asarray(s, np.int64) for s in pdf["seq"]]
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+        for b in batches:
+            seqs = _sequences(b)
             logs = np.zeros(len(seqs))
             for pick in batches_by_length(seqs):
                 logs[pick] = forward([seqs[i] for i in pick], m.start, m.trans, emit_t)[-1]
-            out = pdf.drop(columns=["seq", "inside"])
-            out["score"] = logs / math.log(10) + pdf["inside"]
-            yield out[["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]]
+            score = logs / math.log(10) + b["inside"].to_numpy()
+            yield pa.record_batch([*(b[n] for n in names), pa.array(score)], names=[*names, "score"])
 
     return run
 
@@ -227,61 +235,52 @@ def hmm_scores(
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32(doc_id) mod fold[0] is fold[1] are held out.  Words with
-    at least 1/own_words of all tokens are classes of their own.
+    at least 1/own_words of all tokens are classes of their own; the end is one
+    from 1/broadcast_words of them on.
     """
     spark = docs.sparkSession
-    base = id_text(docs).withColumn("th", doc_key()).withColumn("held_out", id_crc() % fold[0] == fold[1])
-    counted = base.where("not held_out").select("text").mapInPandas(_count, "word binary, c long")
-    vocab = cut_lineage(
-        counted.groupBy("word").agg(F.sum("c").alias("c")).mapInPandas(_endings, "word binary, c long, ending int"), "vocabulary"
-    )
-    total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # sum(c) = total, so at most ``broadcast_words`` words pass.
-    common = {bytes(r["word"]): r["c"] for r in vocab.where(F.col("c") * broadcast_words >= total).select("word", "c").collect()}
-    own = {w: ENDINGS + i for i, w in enumerate(sorted(w for w, c in common.items() if c * own_words >= total or w == END))}
-    is_own = F.col("c") * own_words >= total
+    base = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"), (id_crc() % fold[0] == fold[1]).alias("held_out"))
+    blocks = cut_lineage(base.mapInArrow(_blocks, BLOCKS), "blocks", "zstd")
+    entries = blocks.where("word is not null").select("block", "wid", "ending", "word", "c")
+    total = entries.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+
+    # A block holds a word once: the row of its first block stands for the word.
+    same = Window.partitionBy("word")
+    found = entries.withColumn("c", F.sum("c").over(same)).withColumn("first", F.col("block") == F.min("block").over(same))
+    often = (F.col("c") > 0) & (F.col("c") * own_words >= total)
+    own = often | ((F.col("c") > 0) & (F.col("word") == F.lit(END)) & (F.col("c") * broadcast_words >= total))
+    found = found.select("block", "wid", "ending", "c", "first", often.alias("often"), F.when(own, F.col("word")).alias("own"))
+    found = cut_lineage(found, "found-words", "zstd")
+    vocab = found.where("first and c > 0")
+    # sum(c) = total, so few words are classes of their own.
+    common = {bytes(r["own"]): r["c"] for r in vocab.where("own is not null").select("own", "c").collect()}
+    classes = {w: ENDINGS + i for i, w in enumerate(sorted(common))}
+    rarer, distinct = F.when(~F.col("often"), F.col("c")), 0
     in_class = np.zeros(ENDINGS)
-    counts = np.zeros(ENDINGS + len(own))
-    for r in vocab.where(~is_own).groupBy("ending").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():  # ENDINGS rows
-        in_class[r["ending"]], counts[r["ending"]] = r["c"] + r["v"], r["c"]
-    for w, i in own.items():
+    counts = np.zeros(ENDINGS + len(classes))
+    sizes = vocab.groupBy("ending").agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum(rarer), F.lit(0)).alias("c"), F.count(rarer).alias("rare"))
+    for r in sizes.collect():  # ENDINGS rows
+        in_class[r["ending"]], counts[r["ending"]] = r["c"] + r["rare"], r["c"]
+        distinct += r["v"]
+    for w, i in classes.items():
         counts[i] = common[w]
-    model = Model(own, common, total, distinct, in_class, counts, states)
+    model = Model(classes, common, total, distinct, in_class, counts, states)
     shared = spark.sparkContext.broadcast(model)
 
-    enc = "doc_id long, th long, held_out boolean, n_tokens long, known long, base double, inside double, seq array<int>"
-    encoded = cut_lineage(map_rows(base, _encode(shared), enc), "sequences")
-    rare = cut_lineage(map_rows(base.select("doc_id", "text", "th"), _rare(shared), "doc_id long, th long, word binary, n long, ending int"), "rare-words")
-    sizes = spark.createDataFrame([(i, float(x)) for i, x in enumerate(in_class)], "ending int, size double")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    looked = rare.join(vocab.select("word", "c"), "word", "left").join(F.broadcast(sizes), "ending")
-    sums = looked.groupBy("doc_id", "th").agg(
-        F.sum(F.when(F.col("c").isNull(), 0).otherwise(F.col("n"))).alias("rare_known"),
-        F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(total + distinct + 1)))).alias("rare_base"),
-        F.sum(F.col("n") * F.log10((c + 1) / (F.col("size") + 1))).alias("rare_inside"),
-        F.sum("n").alias("rare_tokens"),
-    )
-    sums = cut_lineage(sums, "rare-sums")
+    seqs = blocks.where("seq is not null").select("block", "doc_id", "held_out", "seq")
+    pairs = seqs.groupBy("block").cogroup(found.select("block", "wid", "ending", "c", "own").groupBy("block"))
+    encoded = cut_lineage(pairs.applyInArrow(_encode(shared), ENCODED), "sequences", "zstd")
+    drop_stage(blocks, found)
 
     learn = encoded.where("not held_out").select("seq")
     for _ in range(rounds):
         now = spark.sparkContext.broadcast(model)
-        rows = learn.mapInPandas(_expect(now), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # one row a parameter
+        rows = learn.mapInArrow(_expect(now), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()  # one row a parameter
         flat = np.zeros(states + states * states + states * model.classes)
         flat[[r["i"] for r in rows]] = [r["x"] for r in rows]
         a, b = states, states + states * states
         model.update(flat[:a], flat[a:b].reshape(states, states), flat[b:].reshape(states, -1))
     final = spark.sparkContext.broadcast(model)
 
-    e, s = encoded.alias("e"), sums.alias("s")
-    zero = F.lit(0.0)
-    # A row repeated n times finds its rare words n times over; n divides out.
-    times = F.greatest(F.lit(1.0), F.coalesce(F.col("s.rare_tokens") / F.nullif(F.col("e.n_tokens") - F.col("e.known"), F.lit(0)), F.lit(1.0)))
-    both = e.join(s, (F.col("e.th") == F.col("s.th")) & F.col("e.doc_id").eqNullSafe(F.col("s.doc_id")), "left").select(
-        "e.doc_id", "e.held_out", "e.n_tokens", "e.seq",
-        (F.col("e.known") + F.coalesce(F.col("s.rare_known") / times, zero)).cast("long").alias("n_known"),
-        (F.col("e.base") + F.coalesce(F.col("s.rare_base") / times, zero)).alias("base_score"),
-        (F.col("e.inside") + F.coalesce(F.col("s.rare_inside") / times, zero)).alias("inside"),
-    )
-    out = map_rows(both, _score(final), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = encoded.mapInArrow(_score(final), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

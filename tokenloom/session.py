@@ -65,7 +65,7 @@ def stage_path(spark: SparkSession, name: str | None = None) -> str:
     return f"{base}/tokenloom-stages/{name or 'stage'}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, name: str | None = None, compression: str | None = None) -> DataFrame:
     """Materialise a stage as a parquet table in the shared checkpoint folder
     and read it back.
 
@@ -76,9 +76,11 @@ def cut_lineage(df: DataFrame, name: str | None = None) -> DataFrame:
     committed atomically so a lost executor only retries its tasks, and the
     re-read gets column pruning and filter pushdown.  Never a local
     checkpoint: executor-local blocks are lost with the executor.
+
+    ``compression``: of the files, where not the session's.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 
