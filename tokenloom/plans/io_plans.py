@@ -189,10 +189,12 @@ def st3_stream_resume(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     src, out, ck = (stage_path(spark, n) for n in ("resume-src", "resume-out", "resume-ckpt"))
     parts = list(_slices(docs, "doc_id", 4))
+    files = []  # files there are after each slice
     for part in parts[:3]:
         part.write.mode("append").parquet(src)
-    # One batch per file of the smallest slice's size at least; the failing record is in the last file.
-    stream = prepare.stream_corpus(spark, src, docs.schema, max_files_per_trigger=1)
+        files.append(len(spark.read.schema(docs.schema).parquet(src).inputFiles()))
+    # A batch takes about a slice's files, as many tasks; two batches hold none of the third slice, where the failing record is.
+    stream = prepare.stream_corpus(spark, src, docs.schema, max_files_per_trigger=max(1, files[1] // 2))
     bad = parts[2].agg(F.max("doc_id")).first()[0]
     poison = F.when(F.col("doc_id") == F.lit(bad), F.raise_error(F.lit("injected failure")).cast("string")).otherwise(F.col("text"))
 
