@@ -45,3 +45,40 @@ def test_every_document():
 
     texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
     assert by_words(texts) == plain(texts)
+
+
+def test_every_letter_encoded_with_others():
+    letters = [chr(c) for c in range(0x250)]
+    ends = ["", *".,;:!?", "'", "..", "́"]
+    texts = [" ".join(f"{a}{x}{b}{e}" for e in ends for a, b in (("", ""), ("a", "Z"), ("ß", "."))) for x in letters if not x.isspace()]
+    assert by_words(texts) == plain(texts)
+
+
+def test_words_of_letters_share_calls(monkeypatch):
+    """Thousands of new words took a call of the whole tokenizer each."""
+    encode, alone = packing.WordEncoder(PATH, False), []
+    whole = packing._tokenizer(PATH)
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            alone.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+
+        model = whole.model
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Counted())
+    rnd = random.Random(3)
+    texts = [" ".join("".join(rnd.choices("abcdeABCDEéÖ", k=7)) + rnd.choice([".", "", "!"]) for _ in range(500)) for _ in range(10)]
+    assert by_words(texts, encode) == plain(texts)
+    assert len(alone) <= 6  # the marks
+
+
+def test_a_task_leaves_few_words_to_its_worker(monkeypatch):
+    """Workers kept up to 2^20 words after the task, beside the next jobs' tasks."""
+    import pandas as pd
+
+    monkeypatch.setattr(packing, "WORDS_STAY", 50)
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    pdf = pd.DataFrame({"doc_id": ["1", "2"], "text": [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), "one two"]})
+    assert sum(len(p) for p in packing._pieces(PATH, 1, 2048, False)(iter([pdf]))) == 2
+    assert max(len(e.known) for e in packing._ENCODERS.values()) <= 50

@@ -56,8 +56,12 @@ def words(text: str, lower: bool = False) -> list[bytes]:
 class WordHash(dict):
     """64-bit hash of a word, remembered; emptied when it grows too large."""
 
+    def __init__(self, most: int = 1 << 19):
+        super().__init__()
+        self.most = most
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= self.most:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h

@@ -13,9 +13,11 @@ length is cut into whole sequences and one remainder.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,13 @@ from tokenloom.llm.common import id_text, map_rows
 from tokenloom.session import cut_lineage
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-WORDS_KEPT = 1 << 20  # distinct words that a worker remembers
-MARKS = (b".", b",", b";", b":", b"!", b"?")
+WORDS_KEPT = 1 << 19  # distinct words that a task remembers at most
+WORDS_STAY = 1 << 16  # of them, those that its worker keeps for the next task: met first, so mostly frequent
+# Letters that are themselves in NFC and are one letter each in lower case, and one mark behind them.
+LETTERS = re.compile("([A-Za-zªµºÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]?)")
+# The sign by which byte-level vocabularies write each byte; the space stays and parts words.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {32: 32}
 _TOKENIZERS: dict = {}
 _ENCODERS: dict = {}
 
@@ -55,36 +62,75 @@ class WordEncoder:
     def __init__(self, path: str, special_as_text: bool):
         self.path, self.special_as_text = path, special_as_text
         self.known: dict[bytes, bytes] = {}
+        self.model = None  # the tokenizer without its normalizer and patterns
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         parts = [t.encode("utf-8", "replace").split() for t in texts]
-        new = list(set().union(*parts).difference(self.known))
+        new = self.unknown(parts)
         if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
-            new = list(set().union(*parts))
-        split = {w: parted(w) for w in new}
-        self.learn(list({p for ps in split.values() for p in ps}.difference(self.known)))
-        for w, ps in split.items():
-            self.known[w] = b"".join(map(self.known.__getitem__, ps))
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in parts]
-
-
-    def learn(self, new: list[bytes]) -> None:
+            self.trim()
+            new = self.unknown(parts)
+        split = [(w, *parted(w)) for w in new]
+        self.learn({c for _, c, letters, _ in split if letters}, {c for _, c, letters, _ in split if not letters}.union(m for *_, m in split if m))
+        known = self.known
+        for w, core, _, mark in split:
+            known[w] = known[core] + known[mark] if mark else known[core]
+        return [b"".join(map(known.__getitem__, ws)) for ws in parts]
+
+    def unknown(self, parts: list[list[bytes]]) -> set[bytes]:
+        return set(filterfalse(self.known.__contains__, chain.from_iterable(parts)))
+
+    def trim(self) -> None:
+        if len(self.known) > WORDS_STAY:
+            self.known = dict(islice(self.known.items(), WORDS_STAY))
+
+    def learn(self, letters: set[bytes], others: set[bytes]) -> None:
+        """Words of lower-case ``letters`` are one piece each to the tokenizer:
+        its vocabulary takes many as one text, and the last id of each is one
+        that ends words.  ``others`` go through the whole tokenizer."""
         tok = _tokenizer(self.path)
         tok.encode_special_tokens = self.special_as_text
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, enc in zip(some, tok.encode_batch_fast([w.decode("utf-8") for w in some], add_special_tokens=False)):
+        if self.model is None:
+            self.model, self.ends = _word_model(self.path)
+        some = [w for w in letters if w not in self.known]
+        alone = [w for w in others if w not in self.known]
+        for at in range(0, len(some), 1024):
+            ws = some[at : at + 1024]
+            text = b" ".join(ws).decode("latin-1").translate(BYTE_SIGNS)
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(ws):  # a vocabulary of another kind
+                alone += ws
+                continue
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(ws, (4 * (ends + 1)).tolist()):
+                self.known[w] = raw[start:end]
+                start = end
+        for at in range(0, len(alone), 4096):
+            ws = alone[at : at + 4096]
+            for w, enc in zip(ws, tok.encode_batch_fast([w.decode("utf-8") for w in ws], add_special_tokens=False)):
                 self.known[w] = np.array(enc.ids, "<u4").tobytes()
 
 
-def parted(word: bytes) -> tuple[bytes, ...]:
-    """A word's ASCII letters and digits in lower case, as the tokenizer reads
-    them, apart from one mark behind them; any other word as it is."""
-    core = word[:-1] if word[-1:] in MARKS else word
-    if not core.isalnum():  # of bytes: ASCII letters and digits alone
-        return (word,)
-    return (core.lower(), word[-1:]) if len(core) < len(word) else (core.lower(),)
+def _word_model(path: str):
+    """The tokenizer's model for words written as bytes' signs with spaces
+    between them, and by id whether it ends words."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    model = Tokenizer(_tokenizer(path).model)
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    vocab, suffix = model.get_vocab(with_added_tokens=False), getattr(model.model, "end_of_word_suffix", None)
+    ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+    ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+    return model, ends
+
+
+def parted(word: bytes) -> tuple[bytes, bool, bytes]:
+    """A word of letters and one mark at most behind them: its letters in lower
+    case, as the tokenizer reads them, true, and the mark.  Any other word as it
+    is, false, and no mark."""
+    found = LETTERS.fullmatch(word.decode("utf-8"))
+    return (found[1].lower().encode(), True, found[2].encode()) if found else (word, False, b"")
 
 
 def _encoder(path: str, special_as_text: bool) -> WordEncoder:
@@ -113,6 +159,7 @@ def _pieces(path: str, end_id: int, max_len: int, special_as_text: bool):
                         out.append((doc_id, s // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
                 at = to
                 yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        encode.trim()  # the worker lives on, also in jobs of another kind
 
     return run
 

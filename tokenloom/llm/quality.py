@@ -24,6 +24,7 @@ from tokenloom.llm.common import WordHash, id_crc
 HASHED = 1 << 14
 N_STATS = 16
 FACTORS = 8
+HASHES_KEPT = 1 << 16  # of words, by a task; as many tasks as cores hold texts beside them
 FEATURES = "idx array<int>, val array<float>, stats array<float>"
 
 
@@ -110,7 +111,7 @@ class FactorisationMachine:
 
 
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    memo = WordHash()
+    memo = WordHash(HASHES_KEPT)
     for pdf in batches:
         for at in range(0, len(pdf), 500):
             part = pdf.iloc[at : at + 500]
@@ -144,7 +145,7 @@ def score(docs: DataFrame, model: FactorisationMachine | None, threshold: float
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        memo, fm = WordHash(), shared.value
+        memo, fm = WordHash(HASHES_KEPT), shared.value
         for text, chars in texts:
             out = np.full(len(text), 0.5)
             for at in range(0, len(text) if fm else 0, 256):
