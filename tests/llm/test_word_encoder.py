@@ -82,3 +82,30 @@ def test_a_task_leaves_few_words_to_its_worker(monkeypatch):
     pdf = pd.DataFrame({"doc_id": ["1", "2"], "text": [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)), "one two"]})
     assert sum(len(p) for p in packing._pieces(PATH, 1, 2048, False)(iter([pdf]))) == 2
     assert max(len(e.known) for e in packing._ENCODERS.values()) <= 50
+
+
+def test_words_before_several_marks_share_calls(monkeypatch):
+    """Each word with two marks or more behind it went through the whole tokenizer."""
+    encode, alone = packing.WordEncoder(PATH, False), []
+    whole = packing._tokenizer(PATH)
+
+    class Counted:
+        def encode_batch_fast(self, texts, **kw):
+            alone.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+
+        model = whole.model
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Counted())
+    rnd = random.Random(4)
+    marks = ["&&&", ".***", "!!", "'", "''", "<|", "...", "_$", ""]
+    texts = [" ".join("".join(rnd.choices("abcdeABCDEéÖſŉ", k=7)) + rnd.choice(marks) for _ in range(500)) for _ in range(10)]
+    texts += ["a<|endoftext|>", "b'<|endoftext|>..", "don't's''", "x" + "!" * 300]
+    assert by_words(texts, encode) == plain(texts)
+    assert len(alone) <= len(marks) + 4
+
+
+def test_spaces_and_null_signs_around_words():
+    texts = ["", " ", "\x0b\x0ca \x0b b\t", "a\x1cb", "a\x85b", "a\x00b", "\ud800 a", " a" * 5]
+    want = [np.frombuffer(b, "<u4").tolist() for b in packing.WordEncoder(PATH, False)(texts)]
+    assert want == plain([t.encode("utf-8", "replace").decode() for t in texts])

@@ -12,15 +12,19 @@ length is cut into whole sequences and one remainder.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
+import string
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, filterfalse, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,11 +35,14 @@ from tokenloom.session import cut_lineage
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 WORDS_KEPT = 1 << 19  # distinct words that a task remembers at most
 WORDS_STAY = 1 << 16  # of them, those that its worker keeps for the next task: met first, so mostly frequent
-# Letters that are themselves in NFC and are one letter each in lower case, and one mark behind them.
-LETTERS = re.compile("([A-Za-zªµºÀ-ÖØ-öø-įı-ſ]+)([.,;:!?]?)")
+# Letters that are themselves in NFC and are one letter each in lower case, and the marks that words are cut before.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ"
+LETTER_SET = "".join(c for c in map(chr, range(0x180)) if re.fullmatch(f"[{LETTERS}]", c))
+MARKS = string.punctuation
 # The sign by which byte-level vocabularies write each byte; the space stays and parts words.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {32: 32}
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+BYTE_SIGNS = "".join(" " if b == 32 else chr(b) if b in _SHOWN else chr(256 + _HIDDEN.index(b)) for b in range(256))
 _TOKENIZERS: dict = {}
 _ENCODERS: dict = {}
 
@@ -54,37 +61,51 @@ class WordEncoder:
 
     The tokenizer drops white space and none of its patterns spans it, and its
     special tokens hold none: a text's ids are those of its words, one after
-    the other.  Each distinct word is encoded once while it is remembered, with
-    words that differ in case or in one mark at the end.
+    the other.  Arrow splits the texts and numbers their distinct words; words
+    that differ in case or in ASCII marks at the end share the ids of their
+    letters and of the marks.  Each such part is encoded once while it is remembered.
     Only the six ASCII spaces part words here; others stay inside, for the
     tokenizer to handle."""
 
     def __init__(self, path: str, special_as_text: bool):
         self.path, self.special_as_text = path, special_as_text
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.model = None  # the tokenizer without its normalizer and patterns
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        parts = [t.encode("utf-8", "replace").split() for t in texts]
-        new = self.unknown(parts)
+        raw = pa.array([t.encode("utf-8", "replace") for t in texts], pa.large_binary()).cast(pa.large_string())
+        split = pc.ascii_split_whitespace(raw)  # empty words where spaces begin or end a text
+        words = split.flatten().dictionary_encode()
+        ids, starts = self.ids(words.dictionary)
+        ids, ends = spans(ids, starts, words.indices.to_numpy())
+        bounds = np.append(0, ends)[split.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word, one after the other, and where each word's start."""
+        core, mark, letters = parted(words)
+        parts = pa.concat_arrays([core, mark]).dictionary_encode()
+        at, names = parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        of_letters = np.zeros(len(names), bool)
+        of_letters[at[: len(words)][letters]] = True
+        new = self.unknown(names)
         if len(self.known) + len(new) > WORDS_KEPT:
             self.trim()
-            new = self.unknown(parts)
-        split = [(w, *parted(w)) for w in new]
-        self.learn({c for _, c, letters, _ in split if letters}, {c for _, c, letters, _ in split if not letters}.union(m for *_, m in split if m))
-        known = self.known
-        for w, core, _, mark in split:
-            known[w] = known[core] + known[mark] if mark else known[core]
-        return [b"".join(map(known.__getitem__, ws)) for ws in parts]
+            new = self.unknown(names)
+        self.learn([names[i] for i in new if of_letters[i]], [names[i] for i in new if not of_letters[i]])
+        found = [self.known[w] for w in names]
+        starts = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+        ids, ends = spans(np.frombuffer(b"".join(found), "<u4"), starts, at.reshape(2, -1).T.ravel())
+        return ids, np.append(0, ends[1::2])
 
-    def unknown(self, parts: list[list[bytes]]) -> set[bytes]:
-        return set(filterfalse(self.known.__contains__, chain.from_iterable(parts)))
+    def unknown(self, names: list[str]) -> list[int]:
+        return [i for i, w in enumerate(names) if w not in self.known]
 
     def trim(self) -> None:
         if len(self.known) > WORDS_STAY:
             self.known = dict(islice(self.known.items(), WORDS_STAY))
 
-    def learn(self, letters: set[bytes], others: set[bytes]) -> None:
+    def learn(self, letters: list[str], others: list[str]) -> None:
         """Words of lower-case ``letters`` are one piece each to the tokenizer:
         its vocabulary takes many as one text, and the last id of each is one
         that ends words.  ``others`` go through the whole tokenizer."""
@@ -92,23 +113,21 @@ class WordEncoder:
         tok.encode_special_tokens = self.special_as_text
         if self.model is None:
             self.model, self.ends = _word_model(self.path)
-        some = [w for w in letters if w not in self.known]
-        alone = [w for w in others if w not in self.known]
-        for at in range(0, len(some), 1024):
-            ws = some[at : at + 1024]
-            text = b" ".join(ws).decode("latin-1").translate(BYTE_SIGNS)
+        for at in range(0, len(letters), 1024):
+            ws = letters[at : at + 1024]
+            text = codecs.charmap_decode(" ".join(ws).encode(), "strict", BYTE_SIGNS)[0]
             ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids])
             if len(ends) != len(ws):  # a vocabulary of another kind
-                alone += ws
+                others = others + ws
                 continue
             raw, start = ids.tobytes(), 0
             for w, end in zip(ws, (4 * (ends + 1)).tolist()):
                 self.known[w] = raw[start:end]
                 start = end
-        for at in range(0, len(alone), 4096):
-            ws = alone[at : at + 4096]
-            for w, enc in zip(ws, tok.encode_batch_fast([w.decode("utf-8") for w in ws], add_special_tokens=False)):
+        for at in range(0, len(others), 4096):
+            ws = others[at : at + 4096]
+            for w, enc in zip(ws, tok.encode_batch_fast(ws, add_special_tokens=False)):
                 self.known[w] = np.array(enc.ids, "<u4").tobytes()
 
 
@@ -125,12 +144,22 @@ def _word_model(path: str):
     return model, ends
 
 
-def parted(word: bytes) -> tuple[bytes, bool, bytes]:
-    """A word of letters and one mark at most behind them: its letters in lower
-    case, as the tokenizer reads them, true, and the mark.  Any other word as it
-    is, false, and no mark."""
-    found = LETTERS.fullmatch(word.decode("utf-8"))
-    return (found[1].lower().encode(), True, found[2].encode()) if found else (word, False, b"")
+def parted(words: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Words of letters and only ASCII marks behind them: their letters in lower
+    case, as the tokenizer reads them, and the marks.  Any other word as it is,
+    and no marks.  Third: which words are the former."""
+    fits = pc.match_substring_regex(words, f"^[{LETTERS}]+[{re.escape(MARKS)}]*$")
+    core = pc.if_else(fits, pc.utf8_lower(pc.ascii_rtrim(words, MARKS)), words)
+    mark = pc.if_else(fits, pc.utf8_ltrim(words, LETTER_SET), pa.scalar("", words.type))
+    return core, mark, fits.to_numpy(zero_copy_only=False)
+
+
+def spans(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` numbered ``which`` (i goes from starts[i] up to
+    starts[i + 1]), one after the other, and where each ends."""
+    n = np.diff(starts)[which]
+    ends = np.cumsum(n)
+    return flat[np.repeat(starts[which] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
 def _encoder(path: str, special_as_text: bool) -> WordEncoder:
@@ -146,9 +175,9 @@ def _pieces(path: str, end_id: int, max_len: int, special_as_text: bool):
         encode = _encoder(path, special_as_text)
         for pdf in batches:
             texts, at = pdf["text"].tolist(), 0
-            while at < len(texts):  # about a million characters together
+            while at < len(texts):  # about two million characters together
                 to, chars = at, 0
-                while to < len(texts) and (to == at or chars + len(texts[to]) <= 1_000_000):
+                while to < len(texts) and (to == at or chars + len(texts[to]) <= 2_000_000):
                     chars += len(texts[to])
                     to += 1
                 out = []
