@@ -56,7 +56,7 @@ def words(text: str, lower: bool = False) -> list[bytes]:
 class WordHash(dict):
     """64-bit hash of a word, remembered; emptied when it grows too large."""
 
-    def __init__(self, most: int = 1 << 19):
+    def __init__(self, most: int = 1 << 16):
         super().__init__()
         self.most = most
 
