@@ -10,7 +10,8 @@ overlap join into maximal repeats.
 
 Tasks know the repeated anchors by a bitmap of ``filter_bits`` bits, whatever the
 corpus (what passes in vain meets nobody).  Contexts and windows are told apart
-by 64-bit hashes of their words.
+by 64-bit hashes of their words.  Words, anchors and seeds are found over blocks
+of many texts at once.
 
 Null text has no words; an empty table gives an empty result; texts of any
 length are read whole.  Rows that repeat doc_id and text are one document, and
@@ -23,14 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import Bits, WordHash, bitmap, doc_key, id_text, map_rows, mix64, words
+from tokenloom.llm.common import Bits, bitmap, doc_key, id_text, mix64, words
 from tokenloom.session import cut_lineage, drop_stage
 
-
 _BASE = 0x9E3779B97F4A7C15
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the first n of 8 bytes
+_LONG = 64  # bytes of the longest word that is hashed with the others
+_BLOCK = 1 << 20  # bytes of text that are worked on at once
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -48,70 +54,97 @@ def span_hashes(h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def anchors_of(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor hash, and first window that it stands for, of each anchor
-    occurrence in a text's word hashes."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of texts that lie one after the other in bytes (text i
+    from bounds[i] up to bounds[i + 1]), and the bounds of the texts in words."""
+    inside = ~_SPACE[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    begin, end = bounds[:-1], bounds[1:] - 1
+    begin, end = begin[begin < len(data)], end[end >= 0]
+    first[begin], last[end] = inside[begin], inside[end]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    h = sizes.astype(np.uint64) * np.uint64(_BASE)
+    eights = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))  # the 8 bytes from each place on
+    which = np.flatnonzero(sizes <= _LONG)
+    at, left = starts[which], sizes[which]
+    while len(which):
+        h[which] = mix64(h[which] ^ (eights[at] & _LOW[np.minimum(left, 8)]))
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    return h, np.searchsorted(starts, bounds)
+
+
+def anchors_of(h: np.ndarray, bounds: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first window that it stands for and number of its windows of
+    each anchor occurrence in texts of word hashes (text i from bounds[i] up to
+    bounds[i + 1]); no window reaches over a text's end."""
     n = len(h) - window + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     places = np.arange(len(h) - k + 1)
     grams = span_hashes(h, places, places + k)
-    least, at = grams[:n].copy(), np.arange(n)
-    for j in range(1, window - k + 1):
-        nxt = grams[j : j + n]
-        less = nxt < least
-        least = np.where(less, nxt, least)
-        at = np.where(less, np.arange(j, j + n), at)
+    least, at, width = grams, places, 1
+    while width <= window - k:  # the first least run of ``width`` places
+        step = min(width, window - k + 1 - width)
+        less = least[step:] < least[:-step]
+        least, at = np.where(less, least[step:], least[:-step]), np.where(less, at[step:], at[:-step])
+        width += step
+    whole = np.flatnonzero(places[:n] + window <= np.repeat(bounds[1:], np.diff(bounds))[:n])
+    at = at[whole]
     cuts = np.flatnonzero(np.diff(at, prepend=-1))
-    return grams[at[cuts]].view(np.int64), cuts
-
-
-def seeds_of(h: np.ndarray, window: int, k: int, known: Bits):
-    """anchor, context hash, first window and number of windows of each
-    occurrence of a known anchor, and the hashes of a text's windows."""
-    anchors, cuts = anchors_of(h, window, k)
-    if not len(cuts):
-        return anchors, anchors, cuts, cuts, anchors
-    n = len(h) - window + 1
-    ends = np.append(cuts[1:], n)
-    keep = known.has(anchors.view(np.uint64))
-    anchors, cuts, ends = anchors[keep], cuts[keep], ends[keep]
-    at = np.arange(n if len(cuts) else 0)
-    return anchors, span_hashes(h, cuts, ends + window - 1).view(np.int64), cuts, ends - cuts, span_hashes(h, at, at + window).view(np.int64)
+    return grams[at[cuts]].view(np.int64), whole[cuts], np.diff(np.append(cuts, len(whole)))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of about _BLOCK bytes of text (one row at least), the hashes of their
+    words, and the bounds of the texts in these."""
+    for batch in batches:
+        text = batch.column("text").cast(pa.large_binary())
+        _, offsets, data = text.buffers()
+        if not len(text) or data is None:  # no words at all
+            continue
+        bounds = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1]
+        data, a = np.frombuffer(data, np.uint8), 0
+        while a < len(text):
+            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + _BLOCK, "right")) - 1)
+            h, at = word_hashes(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a])
+            yield batch.slice(a, b - a), h, at
+            a = b
 
 
 def _anchors(window: int, k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = WordHash()
-        for pdf in batches:
-            for at in range(0, len(pdf), 2000):
-                found = np.concatenate([anchors_of(memo.of(words(t)), window, k)[0] for t in pdf["text"].iloc[at : at + 2000]])
-                anchor, c = np.unique(found, return_counts=True)
-                yield pd.DataFrame({"anchor": anchor, "c": c})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, h, bounds in _blocks(batches):
+            anchor, c = np.unique(anchors_of(h, bounds, window, k)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(c)], ["anchor", "c"])
 
     return run
 
 
 def _seeds(window: int, k: int, repeated):
-    names = ["doc_id", "th", "anchor", "ctx", "start", "n", "hashes"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, known = WordHash(), Bits(repeated.value)
-        for pdf in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, text, th in zip(pdf["doc_id"], pdf["text"], pdf["th"]):
-                anchors, contexts, cuts, sizes, hashes = seeds_of(memo.of(words(text)), window, k, known)
-                if not len(cuts):
-                    continue
-                some = [[doc_id] * len(cuts), [th] * len(cuts), anchors, contexts, cuts, sizes]
-                for col, values in zip(out, some):
-                    col.extend(values)
-                out[-1].extend(hashes[a : a + n] for a, n in zip(cuts.tolist(), sizes.tolist()))
-                if len(out[0]) > 50_000:
-                    yield pd.DataFrame(dict(zip(names, out)))
-                    out = [[] for _ in names]
-            if out[0]:
-                yield pd.DataFrame(dict(zip(names, out)))
+    """anchor, context hash, first window, number of windows and their hashes, of
+    each occurrence of a known anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Bits(repeated.value)
+        for rows, h, bounds in _blocks(batches):
+            anchors, starts, sizes = anchors_of(h, bounds, window, k)
+            keep = known.has(anchors.view(np.uint64))
+            anchors, starts, sizes = anchors[keep], starts[keep], sizes[keep]
+            contexts = span_hashes(h, starts, starts + sizes + window - 1).view(np.int64)
+            ends = np.append(0, np.cumsum(sizes))
+            at = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
+            windows = span_hashes(h, at, at + window).view(np.int64)
+            doc = np.searchsorted(bounds, starts, "right") - 1
+            own = [rows.column(c).take(pa.array(doc)) for c in ("doc_id", "th")]
+            places = [pa.array((starts - bounds[doc]).astype(np.int32)), pa.array(sizes.astype(np.int32))]
+            hashes = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(windows))
+            yield pa.RecordBatch.from_arrays([*own, pa.array(anchors), pa.array(contexts), *places, hashes], ["doc_id", "th", "anchor", "ctx", "start", "n", "hashes"])
 
     return run
 
@@ -120,15 +153,16 @@ def cut_text(text: str, starts, sizes, window: int) -> tuple[str, int, int, list
     """Text without the words that the windows cover (``sizes`` windows from
     each of ``starts``), and what was cut."""
     ws = words(text)
-    edge = np.zeros(len(ws) + 1, np.int64)
-    if starts is not None and len(starts):
-        s = np.asarray(starts, np.int64)
-        np.add.at(edge, s, 1)
-        np.add.at(edge, s + np.asarray(sizes, np.int64) + window - 1, -1)
-    covered = np.cumsum(edge[:-1]) > 0
-    turn = np.flatnonzero(np.diff(np.concatenate(([0], covered.view(np.int8), [0]))))
-    kept = b" ".join(w for w, c in zip(ws, covered.tolist()) if not c).decode("utf-8")
-    return kept, len(ws), int(covered.sum()), [{"start": int(a), "end": int(b)} for a, b in turn.reshape(-1, 2)]
+    if starts is None or not len(starts):
+        return b" ".join(ws).decode("utf-8"), len(ws), 0, []
+    s = np.asarray(starts, np.int64)
+    order = np.argsort(s)
+    s = s[order]
+    e = np.maximum.accumulate(s + np.asarray(sizes, np.int64)[order] + window - 1)
+    apart = s[1:] > e[:-1]
+    begin, end = s[np.append(True, apart)].tolist(), e[np.append(apart, True)].tolist()
+    kept = [w for a, b in zip([0, *end], [*begin, len(ws)]) for w in ws[a:b]]
+    return b" ".join(kept).decode("utf-8"), len(ws), len(ws) - len(kept), [{"start": a, "end": b} for a, b in zip(begin, end)]
 
 
 def _cutter(window: int):
@@ -142,12 +176,13 @@ def _cutter(window: int):
 
 def repeats(base: DataFrame, window: int, k: int, filter_bits: int) -> DataFrame:
     """doc_id, th, starts, sizes: stretches of windows whose words also start earlier."""
-    counted = base.select("text").mapInPandas(_anchors(window, k), "anchor long, c long").groupBy("anchor").agg(F.sum("c").alias("c"))
+    base = base.withColumn("text", F.col("text").cast("binary"))
+    counted = base.select("text").mapInArrow(_anchors(window, k), "anchor long, c long").groupBy("anchor").agg(F.sum("c").alias("c"))
     twice = cut_lineage(counted.where("c > 1").select("anchor"), "anchors")
     known = bitmap(twice, "anchor", filter_bits)
     drop_stage(twice)
     kinds = "doc_id long, th long, anchor long, ctx long, start int, n int, hashes array<long>"
-    seeds = cut_lineage(map_rows(base, _seeds(window, k, known), kinds), "seeds")
+    seeds = cut_lineage(base.mapInArrow(_seeds(window, k, known), kinds), "seeds")
     known.unpersist()
 
     at = F.struct("doc_id", "th", "start")
