@@ -8,6 +8,14 @@ and a stage is either fully visible (``_SUCCESS``) or not.
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from functools import partial
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,27 +116,128 @@ def read_metrics(spark: SparkSession, path: str, keys=("run_id", "step", "name")
     return d.groupBy(*keys).agg(*[F.max_by(c, "attempt").alias(c) for c in vals])
 
 
+def _local_path(spark: SparkSession, path: str) -> str | None:
+    """The path as the local file system names it; None in any other store."""
+    fs, p = _fs(spark, path)
+    return str(p.toUri().getPath()) if fs.getScheme() == "file" else None
+
+
+def _folder(key: str, value: str | None) -> str:
+    """The folder that Spark's writers make for a partition value."""
+    value = re.sub("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]", lambda m: f"%{ord(m[0]):02X}", value or "")
+    return f"{key}={value or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def _write_small_files(batches: Iterator[pd.DataFrame], root: str, run: str, name: str) -> int:
+    """A text file for each (run, name) of sorted rows (run, name, line), seen
+    under its own name when it is whole; returns the number of files."""
+    n, at, file, whole = 0, None, None, ""
+    part = f".part-{uuid.uuid4().hex}"  # hidden from readers, and no other attempt's
+    for b in batches:
+        for r, c, line in b.itertuples(index=False, name=None):
+            if (r, c) != at:
+                if file:
+                    file.close()
+                    os.replace(file.name, whole)
+                at, n = (r, c), n + 1
+                folder = f"{root}/{_folder(run, r)}/{_folder(name, c)}"
+                os.makedirs(folder, exist_ok=True)
+                file, whole = open(f"{folder}/{part}", "w", encoding="utf-8", newline=""), f"{folder}/part-00000.txt"  # noqa: SIM115
+            file.write(f"{'' if line is None else line}\n")
+    if file:
+        file.close()
+        os.replace(file.name, whole)
+    return n
+
+
 def write_checkpoint_files(files: DataFrame, path: str, run: str = "run_id", name: str = "name", per_task: int = 2000) -> None:
     """A small file for each checkpoint, in a folder of its run and name (the
     catalog that :func:`list_checkpoints` reads).  The cost is in the files, not
     in the rows, so the number of tasks follows from the number of files, and
     each task moves its own files into place (the default commit moves all of
-    them one by one on the driver)."""
+    them one by one on the driver).  In the local file system the tasks make the
+    files themselves: Hadoop starts a ``chmod`` for each folder, file and checksum."""
+    spark = files.sparkSession
     files = cut_lineage(files, "checkpoint-names")
-    tasks = max(files.count() // per_task, files.sparkSession.sparkContext.defaultParallelism)
-    w = files.repartition(tasks, run).write.mode("overwrite").partitionBy(run, name)
-    w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+    tasks = max(files.count() // per_task, spark.sparkContext.defaultParallelism)
+    root = _local_path(spark, path)
+    if root is None:
+        w = files.repartition(tasks, run).write.mode("overwrite").partitionBy(run, name)
+        w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+        return
+    (line,) = [c for c in files.columns if c not in (run, name)]
+    rows = files.select(F.nullif(F.col(run).cast("string"), F.lit("")).alias("r"), F.nullif(F.col(name).cast("string"), F.lit("")).alias("c"),
+                        F.col(line).alias("line"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"n": [_write_small_files((b.astype(object).where(b.notna(), None) for b in batches), root, run, name)]})
+
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+    fs.mkdirs(p)
+    rows.repartition(tasks, "r", "c").sortWithinPartitions("r", "c").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")).close()
+
+
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def _local_entries(folder: str, glob: str | None) -> Iterator[tuple[str, bool]]:
+    """What a folder holds, as ``binaryFile`` lists it, without empty files:
+    (path, whether it is a folder)."""
+    with os.scandir(folder) as entries:
+        for e in entries:
+            if e.is_dir():
+                if not _hidden(e.name) or e.name.startswith(("_metadata", "_common_metadata")):
+                    yield e.path, True
+            elif not _hidden(e.name) and (glob is None or fnmatchcase(e.name, glob)) and e.stat().st_size:
+                yield e.path, False
+
+
+def _local_files(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """Paths of the files under a local folder.  Its folders, and those in them,
+    are dealt to the tasks, which list them: neither statuses nor names of the
+    files pass through the driver."""
+
+    def walk(batches: Iterator[pd.DataFrame], levels: int) -> Iterator[pd.DataFrame]:
+        found: list[tuple[str, bool]] = []
+        for b in batches:
+            todo = [(p, inner, 0) for p, inner in b.itertuples(index=False, name=None)]
+            while todo:
+                p, inner, level = todo.pop()
+                if not inner or level == levels:
+                    found.append((p, inner))
+                    if len(found) >= 10_000:
+                        yield pd.DataFrame(found, columns=["path", "inner"])
+                        found = []
+                else:
+                    todo.extend((*e, level + 1) for e in _local_entries(p, glob))
+        yield pd.DataFrame(found, columns=["path", "inner"])
+
+    schema = "path string, inner boolean"
+    d = spark.createDataFrame([(root, True)], schema)
+    for levels in (1, 1, -1):
+        d = d.repartition(spark.sparkContext.defaultParallelism * 4, "path").mapInPandas(partial(walk, levels=levels), schema)
+    return d.select(F.concat(F.lit("file:"), "path").alias("path"))
 
 
 def list_checkpoints(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Checkpoints under ``path`` with the step parsed from the name
     (``ckpt_step_0000050.pkl`` or ``checkpoint-50``, as a file or a folder
-    anywhere in the path).  ``binaryFile`` listing with only ``path``
-    selected, so file contents are never read.  One row per checkpoint."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    files = r.load(path).select("path")
+    anywhere in the path).  File contents are never read: tasks list a folder of
+    the local file system, elsewhere (or with a pattern of more than ``*`` and
+    ``?``) ``binaryFile`` lists with only ``path`` selected.  One row per
+    checkpoint."""
+    root = _local_path(spark, path)
+    if root and os.path.isdir(root) and not re.search(r"[*?{}\[\]\\]", root) and not re.search(r"[{}\[\]\\]", glob or ""):
+        files = _local_files(spark, root.rstrip("/") or "/", glob)
+    else:
+        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        files = r.load(path).select("path")
     name = F.regexp_extract("path", "(ckpt_step_[0-9]+\\.pkl|checkpoint-[0-9]+)", 1)
     run = F.regexp_extract("path", "run_id=([0-9]+)", 1)
     step = F.regexp_extract(name, "([0-9]+)", 1)
