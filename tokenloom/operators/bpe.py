@@ -43,7 +43,7 @@ from tokenloom.session import cut_lineage, drop_stage, stage_path
 
 SEGMENT_SYMBOLS = 1 << 22  # symbols that a segment holds at first, about
 MOST_STEPS = 64  # merges that a round tries
-MOST_TRIED = 512  # merges that a pass over the segments makes
+MOST_TRIED = 1024  # merges that a pass over the segments makes
 MOST_PIECES = 1 << 19  # distinct pieces that come to the driver
 ENCODED_SYMBOLS = 1 << 22  # symbols that are merged at once on encode
 LIVE = 0.3  # share of all pairs at which units are not cut
@@ -74,10 +74,6 @@ def units(df: DataFrame, col: str = "text", pretokenize: str = "whitespace") ->
     return u.groupBy("unit").agg(F.count(F.lit(1)).alias("count"))
 
 
-def _chars(col) -> F.Column:
-    return F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0))
-
-
 def _segments(st: DataFrame) -> tuple[DataFrame, list[str]]:
     """Distinct units as segments of about ``SEGMENT_SYMBOLS`` code points (a
     stage table), and their alphabet in order."""
@@ -98,7 +94,7 @@ def _segments(st: DataFrame) -> tuple[DataFrame, list[str]]:
 def _stage(segments: DataFrame) -> DataFrame:
     """A stage table of two segments a file, so that a task reads few."""
     path = stage_path(segments.sparkSession, "bpe-segments")
-    segments.write.option("maxRecordsPerFile", 2).parquet(path, compression="zstd")
+    segments.write.option("maxRecordsPerFile", 2).option("parquet.enable.dictionary", "false").parquet(path, compression="zstd")
     return segments.sparkSession.read.schema(segments.schema).parquet(path)
 
 
@@ -187,8 +183,9 @@ def _next_merges(segments: DataFrame, fix, table: _PairTable, most: int, live: f
         if len(pieces) <= MOST_PIECES or len(found) == 1:
             break
         live /= 2
-    units = [np.frombuffer(p, np.int32).tolist() for p in pieces["piece"].to_pylist()]
-    return Segment.build(units, pieces["c"].to_pylist()).most_frequent_merges(least, most, name), live
+    out = Segment.of_pieces(pieces["piece"].to_pylist(), pieces["c"].to_pylist()).most_frequent_merges(least, most, name)
+    best = (table.best() >> 32, table.best() & 0xFFFFFFFF)
+    return out if out[:1] == [best] else [best], live
 
 
 class _Tried:
@@ -314,12 +311,10 @@ class _PairTable:
         """Likely next merges (left, right, id), the first one certain: counts
         of new pairs are estimated as if neighbours were independent.
         ``name(a, b)`` gives the merged id and whether it is a new one."""
-        first: dict[int, float] = {}
-        second: dict[int, float] = {}
-        for k, c in self.counts.items():
-            first[k >> 32] = first.get(k >> 32, 0) + c
-            second[k & 0xFFFFFFFF] = second.get(k & 0xFFFFFFFF, 0) + c
-        likely = {k: float(-c) for c, k in nsmallest(8 * most, ((-c, k) for k, c in self.counts.items()))}
+        codes, counts = (np.fromiter(x, np.int64, len(self.counts)) for x in (self.counts.keys(), self.counts.values()))
+        first, second = (dict(enumerate(np.bincount(x, counts).tolist())) for x in (codes >> 32, codes & 0xFFFFFFFF))
+        top = np.lexsort((codes, -counts))[: 8 * most]
+        likely = dict(zip(codes[top].tolist(), counts[top].astype(float).tolist()))
         out = []
         while likely and len(out) < most:
             k = min(likely, key=lambda k: (-likely[k], k))

@@ -160,22 +160,13 @@ def summed(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[first], np.add.reduceat(values[order], first)
 
 
-def pair_sums(left: np.ndarray, right: np.ndarray, weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Each pair once, in order, with the sum of its weights (None: ones)."""
-    k = int(max(left.max(initial=0), right.max(initial=0))) + 1
-    if k <= 4096:
-        sums = np.bincount(left.astype(np.int64) * k + right, weights)
-        at = np.flatnonzero(sums)
-        return at // k << 32 | at % k, sums[at].astype(np.int64)
-    return summed(left.astype(np.int64) << 32 | right, np.ones(len(left), np.int64) if weights is None else weights)
-
-
 class Segment:
     """Units (symbols, count) and the places of each pair."""
 
     def __init__(self, symbols, starts, counts, pairs=None, heads=None, posts=None):
         self.symbols, self.starts, self.counts = symbols, starts, counts
         self.pairs, self.heads, self.posts = pairs, heads, posts
+        self.more = None  # whether a symbol's unit comes more than once, when asked for
 
     @classmethod
     def build(cls, units: list[list[int]], counts: list[int]) -> Segment:
@@ -199,11 +190,25 @@ class Segment:
         inside[self.starts[1:-1] - 1] = False
         return inside
 
-    def _weights(self, at: np.ndarray) -> np.ndarray | None:
-        """Counts of the units at places; None: all ones."""
-        if (self.counts == 1).all():
-            return None
-        return self.counts[np.searchsorted(self.starts, at, side="right") - 1]
+    def _again(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places that lie in units that come more than once, and how often more."""
+        if self.more is None:
+            self.more = np.repeat(self.counts > 1, np.diff(self.starts))
+        at = at[self.more[at]]
+        return at, self.counts[np.searchsorted(self.starts, at, side="right") - 1] - 1
+
+    def _sums(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each pair that begins at one of the places, once, with its count."""
+        s = self.symbols
+        k = int(s.max(initial=0)) + 1
+        more, times = self._again(at)
+        if k <= 4096:
+            sums = np.bincount(s[at].astype(np.int64) * k + s[at + 1], minlength=k * k)
+            np.add.at(sums, s[more].astype(np.int64) * k + s[more + 1], times)
+            at = np.flatnonzero(sums)
+            return at // k << 32 | at % k, sums[at]
+        at = np.concatenate((at, more))
+        return summed(s[at].astype(np.int64) << 32 | s[at + 1], np.concatenate((np.ones(len(at) - len(more), np.int64), times)))
 
     def relabelled(self, fix: tuple[int, np.ndarray, np.ndarray]) -> Segment:
         """With symbols from ``first`` on replaced by those that they stand for:
@@ -241,14 +246,13 @@ class Segment:
         made = np.zeros(len(steps), np.int64)
         for j, m in enumerate(steps):
             replay.merge(*m)
-            w = self._weights(replay.at)
-            made[j] = len(replay.at) if w is None else w.sum()
+            made[j] = len(replay.at) + self._again(replay.at)[1].sum()
         held = replay.symbols >= 0
         sizes = np.add.reduceat(held, self.starts[:-1], dtype=np.int64) if len(self.counts) else _NOTHING
         new = Segment(replay.symbols[held], np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), self.counts)
         fresh = new.symbols >= min(c for _, _, c in steps)
         at = np.flatnonzero((fresh[:-1] | fresh[1:]) & new._inside())
-        return new, made, pair_sums(new.symbols[at], new.symbols[at + 1], new._weights(at))
+        return new, made, new._sums(at)
 
     def pieces(self, live: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         """The units cut at all pairs that are not in ``live`` (sorted codes):
@@ -260,21 +264,37 @@ class Segment:
         first = np.flatnonzero(np.diff(at, prepend=-2) > 1)  # pairs side by side make a piece
         starts, sizes = at[first], np.diff(np.append(first, len(at))) + 1
         heads = np.cumsum(sizes) - sizes
-        inner = np.arange(int(sizes.sum())) - np.repeat(heads, sizes)
-        flat = s[np.repeat(starts, sizes) + inner]
+        held = np.zeros(len(s), bool)
+        held[at] = True
+        held[starts + sizes - 1] = True
+        flat = s[held]
+        inner = np.arange(len(flat)) - np.repeat(heads, sizes)
         mixed = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-        mixed *= _ODD[inner & 1023] + inner.astype(np.uint64) // np.uint64(1024) * np.uint64(2)
-        hashes, one, which = np.unique(np.add.reduceat(mixed, heads), return_index=True, return_inverse=True)
-        w = self._weights(starts)
-        how_often = np.bincount(which, w).astype(np.int64)
+        mixed *= _ODD[inner & 1023]
+        hashes = np.add.reduceat(mixed, heads)
+        order = np.argsort(hashes)
+        one = np.flatnonzero(np.diff(hashes[order], prepend=hashes[order[0]] + np.uint64(1)))
+        times = np.ones(len(starts), np.int64)
+        if (self.counts > 1).any():
+            times = self.counts[np.searchsorted(self.starts, starts, side="right") - 1]
+        how_often = np.add.reduceat(times[order], one)
+        one = order[one]
         texts = [flat[i:j].tobytes() for i, j in zip(heads[one].tolist(), (heads[one] + sizes[one]).tolist())]
-        return hashes, texts, how_often
+        return hashes[one], texts, how_often
 
     def _found(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where pairs with one of the sorted codes begin, and the numbers of these."""
         if not len(wanted) or len(self.symbols) < 2:
             return _NOTHING, _NOTHING
+        k = int(self.symbols.max()) + 1
+        if k <= 4096:
+            number = np.full(k * k, -1, np.int32)
+            there = np.flatnonzero((wanted >> 32 < k) & (wanted & 0xFFFFFFFF < k))
+            number[(wanted[there] >> 32) * k + (wanted[there] & 0xFFFFFFFF)] = there
+            which = number[self.symbols[:-1] * np.int32(k) + self.symbols[1:]]
+            at = np.flatnonzero(self._inside() & (which >= 0))
+            return at, which[at]
         flags = np.zeros(FLAGS, bool)  # a hash first, then the pairs themselves
         flags[_hashed(wanted >> 32, wanted & 0xFFFFFFFF)] = True
         at = np.flatnonzero(self._inside() & flags[_hashed(self.symbols[:-1], self.symbols[1:])])
@@ -309,8 +329,7 @@ class Segment:
 
     def all_pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Counts of all pairs, without an index."""
-        at = np.flatnonzero(self._inside())
-        return pair_sums(self.symbols[at], self.symbols[at + 1], self._weights(at))
+        return self._sums(np.flatnonzero(self._inside()))
 
     def indexed(self, only: set[int] | None = None) -> Segment:
         """With the places of every pair, or of those in ``only``, in order."""
@@ -390,6 +409,12 @@ class Segment:
         small = self.symbols.max(initial=0) < 1 << 16
         return (b"2" if small else b"4") + self.symbols.astype(np.uint16 if small else np.int32).tobytes(), self.starts.tobytes(), self.counts.tobytes()
 
+    @classmethod
+    def of_pieces(cls, pieces: list[bytes], counts: list[int]) -> Segment:
+        """Units of :meth:`pieces`."""
+        starts = np.concatenate(([0], np.cumsum([len(p) // 4 for p in pieces]))).astype(np.int64)
+        return cls(np.frombuffer(b"".join(pieces), np.int32), starts, np.array(counts, np.int64))
+
     @classmethod
     def of_units_row(cls, symbols: bytes, starts: bytes, counts: bytes) -> Segment:
         kind = np.uint16 if symbols[:1] == b"2" else np.int32
