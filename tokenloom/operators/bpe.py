@@ -420,7 +420,7 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
                 continue
             if not ranks:
                 break
-            segments, top = _recounted(segments, top_pairs, lambda seg, fix=fix: seg.relabelled(fix))
+            segments, top = _recounted(segments, top_pairs, lambda seg, fix=fix: seg.relabelled(fix) if fix else seg)
             table, ranks, fix = _PairTable(top, top_pairs), {}, None
             continue
         first = len(tokens)
@@ -466,7 +466,7 @@ def train_bpe(df: DataFrame, col: str = "text", vocab_size: int = 20000, special
                 break
         fix = tried.fix()
         if again is not None and len(tokens) < vocab_size:
-            segments, top = _recounted(segments, top_pairs, lambda seg, fix=fix, again=again: seg.relabelled(fix).indexed().merged(again))
+            segments, top = _recounted(segments, top_pairs, lambda seg, fix=fix, again=again: (seg.relabelled(fix) if fix else seg).indexed().merged(again))
             table, ranks, fix = _PairTable(top, top_pairs), {}, None
     drop_stage(segments)
     vocab = spark.createDataFrame([(t, i, i < len(specials)) for i, t in enumerate(tokens)], VOCAB_SCHEMA)
